@@ -53,21 +53,25 @@ def newer_than_state(
     return joined.filter(F.col("_bound").isNull() | (F.col(field) > F.col("_bound"))).select(*df.columns)
 
 
-def max_cursor(df: DataFrame, field: str, compare: str = "typed") -> Column:
+def max_cursor(df: DataFrame, field: str, compare: str = "typed", floor: Any = None) -> Column:
     """The aggregate that gives the new cursor as text.
 
-    ``string`` compares the text forms, under which ``9`` is past ``10``.
+    ``string`` compares the text forms, under which ``9`` is past ``10``. ``floor``
+    is the old cursor, below which the new one never falls.
     """
     dtype = df.select(field).schema[0].dataType.typeName()
     if compare == "string":
         return F.max(cursor_text(F.col(field), dtype))
-    return cursor_text(F.max(field), dtype)
+    best = F.max(field)
+    if floor is not None:
+        best = F.greatest(best, cursor_literal(df, field, floor))
+    return cursor_text(best, dtype)
 
 
-def sync_stats(df: DataFrame, stream: str, field: str | None = None, page: str | None = None) -> DataFrame:
+def sync_stats(df: DataFrame, stream: str, field: str | None = None, page: Column | str | None = None) -> DataFrame:
     """One row: records, pages and new cursor of a stream."""
     cursor = max_cursor(df, field) if field else F.lit(None).cast("string")
-    pages = F.count_distinct(page) if page else F.lit(0).cast("bigint")
+    pages = F.count_distinct(page) if page is not None else F.lit(0).cast("bigint")
     return df.agg(F.count("*").alias("records"), pages.alias("pages"), cursor.alias("cursor")).select(
         F.lit(stream).alias("stream"), "records", "pages", "cursor"
     )

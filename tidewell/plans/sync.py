@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..operators.conform import conform
 from ..operators.errors import TooManyErrors, check_errors, good_records
-from ..operators.incremental import newer_than
+from ..operators.incremental import max_cursor, newer_than
 from ..operators.paging import (
     CHAIN,
     chain_ends,
@@ -47,22 +47,31 @@ class SyncResult:
         return (self.stream, None, self.records, 0, int(self.status == "FAILED"), self.error)
 
 
-def _write(df: DataFrame, base: str, stream: str, run_id: str, sync: SyncSpec, keys, cursor, **kw: Any) -> dict[str, Any]:
-    if sync.write_mode == "append_dedup":
-        if not keys:
-            raise ValueError(f"append_dedup of {stream!r} needs a primary key")
-        seen = Observation()
-        from ..operators.incremental import max_cursor
-
-        metrics = [F.count(F.lit(1)).alias("rows")] + ([max_cursor(df, cursor).alias("cursor")] if cursor else [])
-        order = [cursor] if cursor else list(keys)
-        # Rows that tie on the cursor are told apart by their content.
-        rest = F.xxhash64(*[F.col(c) for c in df.columns])
-        marked = df.observe(seen, *metrics).withColumn("_tie", rest)
-        append_dedup(marked, base, stream, list(keys), [*order, "_tie"])
-        found = seen.get
-        return {"rows": found["rows"], "cursor": found.get("cursor")}
-    return write_stream_table(df, base, stream, run_id, cursor_field=cursor, mode=sync.write_mode, **kw)
+def _write(
+    df: DataFrame,
+    base: str,
+    stream: str,
+    run_id: str,
+    sync: SyncSpec,
+    keys: tuple[str, ...],
+    cursor: str | None,
+    floor: str | None,
+    **options: Any,
+) -> dict[str, Any]:
+    if sync.write_mode != "append_dedup":
+        return write_stream_table(
+            df, base, stream, run_id, cursor_field=cursor, cursor_floor=floor, mode=sync.write_mode, **options
+        )
+    if not keys:
+        raise ValueError(f"append_dedup of {stream!r} needs a primary key")
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if cursor:
+        metrics.append(max_cursor(df, cursor, floor=floor).alias("cursor"))
+    # Rows that tie on the cursor are told apart by their content.
+    marked = df.observe(seen, *metrics).withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    append_dedup(marked, base, stream, list(keys), [cursor, "_tie"] if cursor else ["_tie"])
+    return {"rows": seen.get["rows"], "cursor": seen.get.get("cursor")}
 
 
 def sync_table(
@@ -78,7 +87,7 @@ def sync_table(
     sync = sync or SyncSpec()
     cursor = get_cursor(state, spec.name) if spec.cursor_field and sync.sync_mode == "incremental" else None
     rows = newer_than(df, spec.cursor_field, cursor, spec.lookback_seconds) if cursor else df
-    done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, spec.cursor_field, **write_options)
+    done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, spec.cursor_field, cursor, **write_options)
     new_cursor = done["cursor"] or cursor
     if new_cursor is not None:
         update = df.sparkSession.createDataFrame([(spec.name, new_cursor)], "stream string, cursor string")
@@ -130,7 +139,7 @@ def sync_landed(
     cursor = get_cursor(state, spec.name) if spec.cursor_field and sync.sync_mode == "incremental" else None
     rows = newer_than(typed, spec.cursor_field, cursor) if cursor else typed
     try:
-        done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, spec.cursor_field, **write_options)
+        done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, spec.cursor_field, cursor, **write_options)
         if sync.error_strategy != "fail":
             check_errors(watch.get["errors"], sync.max_errors)
     except TooManyErrors as error:

@@ -57,6 +57,7 @@ def write_stream_table(
     fmt: str = "parquet",
     compression: str = "snappy",
     cursor_field: str | None = None,
+    cursor_floor: Any = None,
     sort: bool = False,
     mode: str = "append",
     allow_empty: bool = True,
@@ -73,7 +74,7 @@ def write_stream_table(
     seen = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
     if cursor_field:
-        metrics.append(max_cursor(df, cursor_field).alias("cursor"))
+        metrics.append(max_cursor(df, cursor_field, floor=cursor_floor).alias("cursor"))
     watched = df.observe(seen, *metrics)
     if sort and cursor_field:
         watched = watched.sortWithinPartitions(cursor_field)

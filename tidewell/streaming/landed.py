@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.incremental import max_cursor
-from ..operators.state import publish_state, read_state, upsert_state
+from ..operators.state import current_version, publish_state, read_state, upsert_state
 from ..sinks.tables import append_dedup, write_stream_table
 
 
@@ -62,9 +62,14 @@ def stream_sync(
 
 
 def _advance(spark: SparkSession, folder: str, name: str, cursor: str, number: int) -> None:
-    """Publish the cursor of a batch; a cursor never moves back."""
+    """Publish the cursor of a batch, once; a cursor never moves back."""
+    version = current_version(spark, folder)
+    if version is not None and version >= number:
+        return
     state = read_state(spark, folder)
     update = spark.createDataFrame([(name, cursor)], "stream string, cursor string")
     old = state.filter(F.col("stream") == name).select("stream", "cursor")
-    best = update.unionByName(old).groupBy("stream").agg(F.max("cursor").alias("cursor"))
+    # Numbers compare as numbers, everything else as text.
+    rank = F.struct(F.col("cursor").try_cast("decimal(38,9)"), F.col("cursor"))
+    best = update.unionByName(old).groupBy("stream").agg(F.max_by("cursor", rank).alias("cursor"))
     publish_state(upsert_state(state, best), folder, number)
