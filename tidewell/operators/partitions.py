@@ -63,7 +63,7 @@ def datetime_partitions(
     base = bounds if bounds is not None else spark.range(1)
 
     def moment(value: str | Column) -> Column:
-        if value == "now":
+        if isinstance(value, str) and value == "now":
             return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
         return (F.lit(value) if isinstance(value, str) else value).cast("timestamp_ntz")
 

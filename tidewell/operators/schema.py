@@ -88,18 +88,18 @@ def _step_text(key: Column, first: bool) -> Column:
 
 
 def _depth(records: DataFrame, column: str, max_depth: int) -> int:
-    """How many levels the records nest, from one aggregate over their shapes."""
-    shape = records.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
-    if shape is None:
-        return 0
-    if "VARIANT" in shape:  # mixed kinds hide what lies below them
-        return max_depth
-    # Keys are quoted when they hold special characters.
-    depth = deepest = 0
-    for bracket in re.findall(r"[<>]", re.sub(r"`[^`]*`", "", shape)):
-        depth += 1 if bracket == "<" else -1
-        deepest = max(deepest, depth)
-    return min(deepest, max_depth)
+    """How many levels the records nest, from one aggregate over their brackets.
+
+    Dropping all innermost pairs takes one level off, so the depth is the number of
+    rounds until nothing is left.
+    """
+    bare = F.regexp_replace(column, r'"(?:[^"\\]++|\\.)*+"', "")
+    brackets = F.regexp_replace(F.translate(bare, "[]", "{}"), "[^{}]++", "")
+    rounds = records.select(brackets.alias("_r0"))
+    for i in range(max_depth):
+        rounds = rounds.withColumn(f"_r{i + 1}", F.replace(f"_r{i}", F.lit("{}"), F.lit("")))
+    depth = sum((F.when(F.col(f"_r{i}") != "", 1).otherwise(0) for i in range(max_depth + 1)), F.lit(0))
+    return min(rounds.agg(F.max(depth)).first()[0] or 0, max_depth)
 
 
 def infer_paths(
