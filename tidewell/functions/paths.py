@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Step = str | int | None  # a key, an array index, or None for the wildcard
@@ -77,28 +77,29 @@ def path_string(value: Column, path: str) -> Column:
     return F.when(~kind.rlike("^(VOID|ARRAY|OBJECT)"), found.cast("string"))
 
 
-def extract_elements(value: Column, path: str | None) -> Column:
-    """The records at a path, as ``array<variant>``.
+def extract_elements(df: DataFrame, value: str, path: str | None, name: str) -> DataFrame:
+    """Add the records at a path of the VARIANT column ``value``, as ``array<variant>``.
 
     An array gives its elements, any other value gives itself, an absent value
-    gives nothing. Each wildcard opens one level of arrays or objects.
+    gives nothing. Each wildcard opens one level of arrays or objects. The walk
+    gets a column of its own, so that it is done once and not at each mention.
     """
     steps = parse_path(path) if path else []
-    if None not in steps:
-        found = _walk(value, steps)
-        return F.when(found.isNull(), _no_elements()).otherwise(F.coalesce(_as_array(found), F.array(found)))
-    cut = steps.index(None)
-    found = _open(_walk(value, steps[:cut]))
-    rest = steps[cut + 1 :]
+    cut = steps.index(None) if None in steps else len(steps)
+    walked = df.withColumn("_found", _walk(F.col(value), steps[:cut]))
+    found = F.col("_found")
+    if cut == len(steps):
+        items = F.when(found.isNull(), _no_elements()).otherwise(F.coalesce(_as_array(found), F.array(found)))
+        return walked.withColumn(name, items).drop("_found")
+    items, rest = _open(found), steps[cut + 1 :]
     while rest:
         cut = rest.index(None) if None in rest else len(rest)
-        run = rest[:cut]
-        if run:
-            found = _walk_all(found, run)
+        if cut:
+            items = _walk_all(items, rest[:cut])
         if cut < len(rest):
-            found = F.flatten(F.transform(found, _open))
+            items = F.flatten(F.transform(items, _open))
         rest = rest[cut + 1 :]
-    return F.coalesce(found, _no_elements())
+    return walked.withColumn(name, F.coalesce(items, _no_elements())).drop("_found")
 
 
 def _walk_all(values: Column, steps: list[Step]) -> Column:

@@ -31,7 +31,7 @@ def json_value(df: DataFrame, name: str) -> Column:
     """A column the way it is written into JSON."""
     dtype, value = df.schema[name].dataType, F.col(f"`{name}`")
     if isinstance(dtype, T.BinaryType):
-        return F.base64(value)
+        return base64_text(value)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return cursor_text(value, dtype.typeName())
     if isinstance(dtype, T.DecimalType):
@@ -42,6 +42,11 @@ def json_value(df: DataFrame, name: str) -> Column:
     return value
 
 
+def base64_text(value: Column) -> Column:
+    """Bytes as base64 without line breaks."""
+    return F.translate(F.base64(value), "\r\n", "")
+
+
 def to_records(df: DataFrame, *keep: str) -> DataFrame:
     """The rows as JSON text in ``record``, next to the columns in ``keep``."""
     body = [c for c in df.columns if c not in keep]

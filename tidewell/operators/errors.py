@@ -17,8 +17,9 @@ def good_records(decoded: DataFrame, strategy: str = "fail", watch: Observation
     ``watch`` then counts them in the same job, for ``check_errors``.
     """
     if strategy == "fail":
-        broken = F.raise_error(F.concat(F.lit("cannot decode: "), F.col("error"))).cast("boolean")
-        return decoded.filter(F.when(F.col("error").isNotNull(), broken).otherwise(True)).drop("error")
+        # In the projection rather than a filter, which would be pushed down and read bodies twice.
+        broken = F.raise_error(F.concat(F.lit("cannot decode: "), F.col("error"))).cast("string")
+        return decoded.withColumn("record", F.coalesce("record", broken)).drop("error")
     if strategy not in ("skip", "retry"):
         raise ValueError(f"unknown error strategy: {strategy}")
     if watch is not None:

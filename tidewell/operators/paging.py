@@ -31,7 +31,8 @@ def page_signals(pages: DataFrame, paging: Paging, records_path: str | None = No
     if "n_records" in pages.columns:
         count = F.col("n_records").cast("bigint")
     else:
-        count = F.coalesce(F.size(extract_elements(body, records_path)), F.lit(0)).cast("bigint")
+        parsed = extract_elements(parsed, "_v", records_path, "_values")
+        count = F.size("_values").cast("bigint")
     total = F.lit(None).cast("bigint")
     hit = F.lit(False)
     if stop is not None and stop.kind in ("total_count", "total_pages"):

@@ -68,9 +68,7 @@ def _write(
     metrics = [F.count(F.lit(1)).alias("rows")]
     if cursor:
         metrics.append(max_cursor(df, cursor, floor=floor).alias("cursor"))
-    # Rows that tie on the cursor are told apart by their content.
-    marked = df.observe(seen, *metrics).withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
-    append_dedup(marked, base, stream, list(keys), [cursor, "_tie"] if cursor else ["_tie"])
+    append_dedup(df.observe(seen, *metrics), base, stream, list(keys), [cursor] if cursor else [], sync.buckets)
     return {"rows": seen.get["rows"], "cursor": seen.get.get("cursor")}
 
 

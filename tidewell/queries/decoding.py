@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ..functions.coerce import csv_value_type, quote_json, xml_text_type
 from ..functions.paths import path_string, path_variant
-from ..operators.conform import conform, records_json, to_records, union_streams
+from ..operators.conform import base64_text, conform, records_json, to_records, union_streams
 from ..operators.errors import good_records, retry_worklist
 from ..sources.decode import decode_pages, decode_typed, page_values
 from .common import Query, envelope, packed, table
@@ -145,7 +145,7 @@ def typed_to_json(spark, folder):
 
 def blob_values(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", F.encode("url", "utf-8").alias("body"))
-    return pages.select("page_id", F.base64("body").alias("body64"), records_json(pages, "body").alias("record"))
+    return pages.select("page_id", base64_text(F.col("body")).alias("body64"), records_json(pages, "body").alias("record"))
 
 
 def conflict_to_string(spark, folder):

@@ -42,7 +42,7 @@ def landed_sync(spark, folder):
         "orders", "json", "data", Paging("offset", Stop("empty_page"), limit=PER_PAGE), ("o_custkey",), "o_orderkey"
     )
     base = scratch_path(spark, "landed")
-    sync_landed(pages, spec, empty_state(spark), base, "run-1", SyncSpec(write_mode="append_dedup"))
+    sync_landed(pages, spec, empty_state(spark), base, "run-1", SyncSpec(write_mode="append_dedup", buckets=16))
     return spark.read.parquet(f"{base}/orders").select("o_custkey", "o_orderkey", "o_totalprice", "day")
 
 

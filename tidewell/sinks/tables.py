@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..operators.conform import records_json
 from ..operators.dedup import latest_per_key, merge_latest
 from ..operators.incremental import max_cursor
+from ..session import scratch_path
 
 # The compression names that are accepted for Parquet.
 COMPRESSION = ("snappy", "zstd", "gzip", "none")
@@ -100,30 +101,49 @@ def read_stream_table(spark: SparkSession, base: str, stream: str, fmt: str = "p
 
 
 def append_dedup(
-    fresh: DataFrame, base: str, stream: str, keys: list[str], order: list[str], buckets: int = 256
+    fresh: DataFrame, base: str, stream: str, keys: list[str], order: list[str], buckets: int = 64
 ) -> DataFrame:
     """Merge rows into a table that has one row per key, the latest winning.
 
     The table is cut into ``bucket`` folders by a hash of the key. Only buckets that
     the fresh rows touch are read and rewritten; the list of touched buckets is at
     most ``buckets`` numbers long. The bucket count of a table is fixed at its start.
+
+    The folded fresh rows are staged in the shared folder: they are used several times,
+    and as files their size is known when the joins with the table are planned.
     """
     spark, path = fresh.sparkSession, stream_path(base, stream)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    fresh = latest_per_key(fresh.withColumn("bucket", bucket), [*keys, "bucket"], order)
+    keys = [*keys, "bucket"]
+    staged = scratch_path(spark, "fresh")
+    placed = _tied(fresh.withColumn("bucket", bucket))
+    latest_per_key(placed, keys, [*order, "_tie"]).drop("_tie").write.parquet(staged)
+    fresh = spark.read.parquet(staged)
     try:
-        table = spark.read.parquet(path)
+        table = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
         merged = fresh
     else:
         touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
         old = table.filter(F.col("bucket").isin(*touched)) if touched else table.limit(0)
-        merged = merge_latest(old.select(*fresh.columns), fresh, [*keys, "bucket"], order)
-    # A bucket is written by a few tasks, not by every task that met one of its rows.
-    placed = merged.repartition(F.col("bucket"), F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(8)))
-    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        old, fresh = _aligned(old, fresh), _aligned(fresh, old)
+        merged = merge_latest(_tied(old), _tied(fresh), keys, [*order, "_tie"]).drop("_tie")
+    # Small buckets share a task and large ones are split over several, by their size at run time.
+    rebalanced = merged.hint("rebalance", F.col("bucket"))
+    writer = rebalanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("bucket").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def _tied(df: DataFrame) -> DataFrame:
+    """Rows that tie on the order columns are told apart by their content."""
+    return df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]))
+
+
+def _aligned(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns it lacks next to ``other`` as NULLs, columns by name."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in df.columns}
+    return df.withColumns(absent).select(*sorted({*df.columns, *absent}))
 
 
 def write_json_array(df: DataFrame, path: str) -> None:

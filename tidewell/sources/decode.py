@@ -41,13 +41,13 @@ def decode_pages(
 ) -> DataFrame:
     """Records of JSON, JSON Lines, CSV or XML pages."""
     if fmt == "json":
-        return _one_row_per_item(pages, _json_items(F.col("body"), records_path))
+        return _json(pages, records_path)
     if fmt == "jsonl":
-        return _jsonl(pages)
+        return _one_row_per_item(pages, _jsonl_items(F.col("body")), "line")
     if fmt == "csv":
         return _csv(pages, delimiter, has_header)
     if fmt == "xml":
-        return _one_row_per_item(pages, _xml_items(F.col("body"), records_path))
+        return _xml(pages, records_path)
     raise ValueError(f"unknown format: {fmt}")
 
 
@@ -94,61 +94,67 @@ def _keep(pages: DataFrame) -> list[str]:
     return [c for c in pages.columns if c != "body"]
 
 
-def _one_row_per_item(pages: DataFrame, items: Column) -> DataFrame:
-    """Explode ``array<string>`` items; a NULL array marks a page that is not readable."""
-    listed = pages.select(*_keep(pages), items.alias("_items"))
-    rows = listed.select(
-        *_keep(pages),
-        F.posexplode_outer("_items").alias("pos", "record"),
-        F.when(F.col("_items").isNull(), F.lit("bad body")).alias("error"),
-    )
-    return rows.filter(F.col("record").isNotNull() | F.col("error").isNotNull())
+def _one_row_per_item(
+    pages: DataFrame, items: Column, what: str = "body", drop: tuple[str, ...] = ()
+) -> DataFrame:
+    """Explode ``array<string>`` items: a NULL array is an unreadable page, a NULL item an unreadable
+    record, and an empty text a blank line.
 
+    What is bad shows in the exploded values only, so that filters on it stay above the
+    explode and the body is read once.
+    """
+    keep = [c for c in _keep(pages) if c not in drop]
+    listed = pages.select(*keep, F.coalesce(items, F.array(F.lit(None).cast("string"))).alias("_items"))
+    rows = listed.select(*keep, F.posexplode_outer("_items").alias("pos", "record"))
+    rows = rows.filter("pos IS NOT NULL AND (record IS NULL OR record <> '')")
+    text = F.lit("bad body") if what == "body" else F.concat(F.lit(f"bad {what} "), (F.col("pos") + 1).cast("string"))
+    return rows.withColumn("error", F.when(F.col("record").isNull(), text))
 
-def _json_items(body: Column, path: str | None) -> Column:
-    """The records of a JSON body as JSON texts.
+
+def _json(pages: DataFrame, path: str | None) -> DataFrame:
+    """The records of JSON bodies as JSON texts.
 
     The usual shape, an array of objects behind plain keys, is read in one pass
     that keeps the text of each record as it is. Every other shape goes through
-    VARIANT.
+    VARIANT. Costly values get columns of their own, so that each is computed once.
     """
-    parsed = F.try_parse_json(body)
-    general = F.when(
-        parsed.isNotNull(), F.transform(extract_elements(parsed, path), lambda v: F.to_json(v))
-    )
     steps = parse_path(path) if path else []
     if steps and steps[-1] is None:
         steps = steps[:-1]
-    if not all(isinstance(s, str) for s in steps):
-        return general
+    plain_path = all(isinstance(s, str) for s in steps)
+    body = F.col("body")
+    if plain_path:
+        shape: T.DataType = T.ArrayType(T.StringType())
+        for step in reversed(steps):
+            shape = T.StructType([T.StructField(step, shape)])
+        direct = F.from_json(body, shape)
+        for step in steps:
+            direct = direct.getField(step)
+        # Strings lose their quotes and nulls vanish in the direct read.
+        odd = F.exists("_direct", lambda r: r.isNull() | ~r.startswith("{"))
+        pages = pages.withColumn("_direct", direct)
+        pages = pages.withColumn("_direct", F.when(~odd, F.col("_direct")))
+    else:
+        pages = pages.withColumn("_direct", F.lit(None).cast("array<string>"))
+    pages = pages.withColumn("_v", F.when(F.col("_direct").isNull(), F.try_parse_json(body)))
+    pages = extract_elements(pages, "_v", path, "_values")
+    texts = F.transform("_values", lambda v: F.to_json(v))
     if not steps:
         whole = F.btrim(body, F.lit(WHITE_SPACE))
-        general = F.when(parsed.isNotNull() & whole.startswith("{"), F.array(whole)).otherwise(general)
-    shape: T.DataType = T.ArrayType(T.StringType())
-    for step in reversed(steps):
-        shape = T.StructType([T.StructField(step, shape)])
-    direct = F.from_json(body, shape)
-    for step in steps:
-        direct = direct.getField(step)
-    # Strings lose their quotes and nulls vanish in the direct read.
-    plain = ~F.exists(direct, lambda r: r.isNull() | ~r.startswith("{"))
-    return F.when(direct.isNotNull() & plain, direct).otherwise(general)
+        texts = F.when(whole.startswith("{"), F.array(whole)).otherwise(texts)
+    items = F.coalesce("_direct", F.when(F.col("_v").isNotNull(), texts))
+    return _one_row_per_item(pages, items, drop=("_direct", "_v", "_values"))
 
 
 def _trimmed_lines(body: Column) -> Column:
     return F.transform(F.split(body, "\r?\n"), lambda line: F.btrim(line, F.lit(WHITE_SPACE)))
 
 
-def _jsonl(pages: DataFrame) -> DataFrame:
-    lines = pages.select(*_keep(pages), F.posexplode(_trimmed_lines(F.col("body"))).alias("_line", "_text"))
-    good = F.try_parse_json("_text").isNotNull()
-    error = F.when(~good, F.concat(F.lit("bad line "), (F.col("_line") + 1).cast("string")))
-    return lines.filter("_text <> ''").select(
-        *_keep(pages),
-        F.col("_line").alias("pos"),
-        F.when(good, F.col("_text")).alias("record"),
-        error.alias("error"),
-    )
+def _jsonl_items(body: Column) -> Column:
+    def checked(line: Column) -> Column:
+        return F.when((line == "") | F.try_parse_json(line).isNotNull(), line)
+
+    return F.when(body.isNull(), F.array().cast("array<string>")).otherwise(F.transform(_trimmed_lines(body), checked))
 
 
 def csv_cells(line: Column, delimiter: str = ",") -> Column:
@@ -186,7 +192,8 @@ def _csv(pages: DataFrame, delimiter: str, has_header: bool) -> DataFrame:
     )
     start = 2 if has_header else 1
     rest = F.slice("_lines", start, F.greatest(F.size("_lines"), F.lit(1)))
-    rows = split.select(*_keep(pages), "_cols", F.posexplode(rest).alias("pos", "_text"))
+    rows = split.select(*_keep(pages), "_cols", rest.alias("_rest"))
+    rows = rows.select(*_keep(pages), "_cols", F.posexplode_outer("_rest").alias("pos", "_text"))
     rows = rows.withColumn("_text", F.btrim("_text", F.lit(trim))).filter("_text <> ''")
     rows = rows.select(*_keep(pages), "pos", "_cols", csv_cells(F.col("_text"), delimiter).alias("_cells"))
     cell = lambda c: csv_value_json(F.coalesce(F.get("_cells", c["i"]), F.lit("")))
@@ -202,6 +209,7 @@ def _xml_value(body: Column) -> Column:
     return F.when(~broken, F.from_xml(body, "variant", XML_OPTIONS))
 
 
-def _xml_items(body: Column, path: str | None) -> Column:
-    value = _xml_value(body)
-    return F.when(value.isNotNull(), F.transform(extract_elements(value, path), lambda v: F.to_json(v)))
+def _xml(pages: DataFrame, path: str | None) -> DataFrame:
+    pages = extract_elements(pages.withColumn("_v", _xml_value(F.col("body"))), "_v", path, "_values")
+    items = F.when(F.col("_v").isNotNull(), F.transform("_values", lambda v: F.to_json(v)))
+    return _one_row_per_item(pages, items, drop=("_v", "_values"))

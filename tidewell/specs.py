@@ -73,6 +73,7 @@ class SyncSpec:
     write_mode: WriteMode = "append"
     error_strategy: ErrorStrategy = "fail"
     max_errors: int = 100
+    buckets: int = 64
 
 
 @dataclass(frozen=True)
