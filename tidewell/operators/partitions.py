@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.temporal import Duration, java_pattern, parse_duration
+from ..functions.temporal import Duration, java_pattern, parse_datetime, parse_duration
 
 
 def _rows(df: DataFrame, stream: str, identity: Column, values: dict[str, Column]) -> DataFrame:
@@ -65,12 +65,14 @@ def datetime_partitions(
     def moment(value: str | Column) -> Column:
         if isinstance(value, str) and value == "now":
             return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
-        return (F.lit(value) if isinstance(value, str) else value).cast("timestamp_ntz")
+        return parse_datetime(F.lit(value)) if isinstance(value, str) else value.cast("timestamp_ntz")
 
     length = parse_duration(step)
     cut = base.select(moment(start).alias("_start"), moment(end).alias("_end")).filter("_start < _end")
     last = F.col("_end") - F.expr("INTERVAL '0.000001' SECOND")  # a sequence includes its end
-    slices = cut.select("_end", "_start", F.posexplode(F.sequence("_start", last, F.expr(length.sql()))).alias("n", "slice_start"))
+    # The bounds are tested again: a filter alone does not keep a sequence from being built backwards.
+    starts = F.when(F.col("_start") < F.col("_end"), F.sequence("_start", last, F.expr(length.sql())))
+    slices = cut.select("_end", "_start", F.posexplode(starts).alias("n", "slice_start"))
     # Months are counted from the start, so that a step from the 31st does not drift.
     following = F.expr(f"_start + (n + 1) * {length.sql()}")
     slices = slices.withColumn("slice_end", F.least(following, "_end"))
