@@ -93,8 +93,10 @@ def test_nested_objects_and_arrays(recs):
 def test_depth_limit(recs):
     deep = {"a": {"b": {"c": {"d": 1}}}}
     found = json_schema(infer_paths(recs(deep), max_depth=2))["properties"]
-    assert found["a"]["properties"]["b"]["type"] == "object"
-    assert "properties" not in found["a"]["properties"]["b"]
+    assert found["a"]["properties"]["b"]["properties"] == {"c": {"type": "object"}}
+    flat = json_schema(infer_paths(recs({"a": {"b": {"c": 1}}, "l": [[[1]]]}), max_depth=2))["properties"]
+    assert flat["a"]["properties"]["b"]["properties"] == {"c": {"type": "object"}}
+    assert flat["l"]["items"]["items"] == {"type": "object"}
 
 
 def test_odd_keys(recs):

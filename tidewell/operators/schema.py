@@ -96,10 +96,10 @@ def _depth(records: DataFrame, column: str, max_depth: int) -> int:
     bare = F.regexp_replace(column, r'"(?:[^"\\]++|\\.)*+"', "")
     brackets = F.regexp_replace(F.translate(bare, "[]", "{}"), "[^{}]++", "")
     rounds = records.select(brackets.alias("_r0"))
-    for i in range(max_depth):
+    for i in range(max_depth + 1):
         rounds = rounds.withColumn(f"_r{i + 1}", F.replace(f"_r{i}", F.lit("{}"), F.lit("")))
     depth = sum((F.when(F.col(f"_r{i}") != "", 1).otherwise(0) for i in range(max_depth + 1)), F.lit(0))
-    return min(rounds.agg(F.max(depth)).first()[0] or 0, max_depth)
+    return rounds.agg(F.max(depth)).first()[0] or 0
 
 
 def infer_paths(
@@ -117,37 +117,40 @@ def infer_paths(
     """
     if depth is None:
         depth = _depth(records, column, max_depth)
-    rows = records.select(F.try_parse_json(column).alias("_v")).filter("_v IS NOT NULL")
-    rows = rows.select(_shape(F.col("_v")).alias("_t0"), F.lit(None).cast("string").alias("_f"), "_v")
+    rows = records.select(F.lit(None).cast("string").alias("_f"), F.try_parse_json(column).alias("_v"))
     for level in range(1, depth + 1):
         inner = rows.sparkSession.tvf.variant_explode_outer(F.col("_v").outer())
         opened = rows.lateralJoin(inner.toDF("_pos", "_key", "_child"), how="left")
-        done = [c for c in rows.columns if c[:2] in ("_t", "_s", "_z")]
-        shape = _shape(F.col("_child")) if level <= max_depth else F.lit(LIMIT)
-        opened = opened.select(
-            *done,
+        # What opened is a container; only scalars and empty containers have their shape looked up.
+        shape = F.when(F.col("_key").isNotNull(), "OBJECT").when(F.col("_pos").isNotNull(), "ARRAY")
+        rows = _told(opened, level - 1, shape.otherwise(_shape(F.col("_v"))), formats).select(
+            *[c for c in rows.columns if c[:2] in ("_t", "_s", "_z")],
+            f"_t{level - 1}",
             "_f",
             _step_text(F.col("_key"), first=level == 1).alias(f"_s{level}"),
             (F.col("_pos") > 0).alias(f"_z{level}"),
-            F.when(F.col("_child").isNotNull(), shape).alias(f"_t{level}"),
-            "_child",
-        )
-        text = F.when(F.col(f"_t{level}") == "STRING", F.col("_child").cast("string"))
-        rows = opened.withColumn("_x", text).select(
-            *[c for c in opened.columns if c not in ("_f", "_child")],
-            F.coalesce("_f", format_name(F.col("_x"), formats)).alias("_f"),
             F.col("_child").alias("_v"),
         )
+    last = F.when(F.col("_v").isNotNull(), LIMIT) if depth > max_depth else _shape(F.col("_v"))
+    rows = _told(rows, depth, last, formats).drop("_v")
     # Rows that differ only in their values fold here, before any shuffle.
-    leaves = rows.groupBy(*[c for c in rows.columns if c != "_v"]).agg(F.count("*").alias("_m"))
+    leaves = rows.groupBy(*rows.columns).agg(F.count("*").alias("_m"))
     return _entries(leaves, depth).groupBy("path").agg(
-        F.sum(F.when(F.col("kind") != EMPTY, F.col("_m")).otherwise(0)).alias("n"),
+        F.sum(F.when(F.col("real"), F.col("_m")).otherwise(0)).alias("n"),
         F.sum(F.when(F.col("kind") == OBJECT, F.col("_m")).otherwise(0)).alias("objects"),
         F.bit_or("kind").alias("types"),
         F.bit_or("format").alias("formats"),
     )
 
 
+def _told(rows: DataFrame, level: int, shape: Column, formats: tuple[str, ...]) -> DataFrame:
+    """Add the shape of ``_v`` as ``_t{level}``, and note the format of a string."""
+    kind = f"_t{level}"
+    text = F.when(F.col(kind) == "STRING", F.col("_v").cast("string"))
+    told = rows.withColumn(kind, shape).withColumn("_x", text)
+    return told.withColumn("_f", F.coalesce("_f", format_name(F.col("_x"), formats))).drop("_x")
+
+
 def _entries(leaves: DataFrame, depth: int) -> DataFrame:
     """Each value once: a leaf carries its ancestors, and only their first leaf reports them."""
     bit = F.lit(0)
@@ -160,20 +163,22 @@ def _entries(leaves: DataFrame, depth: int) -> DataFrame:
         first = kind.isNotNull()
         for below in range(level + 1, depth + 1):
             first = first & ~F.coalesce(F.col(f"_z{below}"), F.lit(False))
-        entry = F.struct(
-            path.alias("path"), kind.alias("kind"), F.when(kind == STRING, bit).otherwise(0).alias("format")
-        )
+        form = F.when(kind == STRING, bit).otherwise(0)
+        entry = F.struct(path.alias("path"), kind.alias("kind"), form.alias("format"), F.lit(True).alias("real"))
         entries.append(F.when(first, entry))
         # An array that opened to nothing is empty; its items are of unknown kind.
         hollow = kind == ARRAY
         if level < depth:
             hollow = hollow & F.col(f"_t{level + 1}").isNull()
         items = F.struct(
-            F.concat(path, F.lit("[]")).alias("path"), F.lit(EMPTY).alias("kind"), F.lit(0).alias("format")
+            F.concat(path, F.lit("[]")).alias("path"),
+            F.lit(EMPTY).alias("kind"),
+            F.lit(0).alias("format"),
+            F.lit(False).alias("real"),
         )
         entries.append(F.when(hollow, items))
     opened = leaves.select("_m", F.explode(F.array_compact(F.array(*entries))).alias("_e"))
-    return opened.select("_m", "_e.path", "_e.kind", "_e.format")
+    return opened.select("_m", "_e.path", "_e.kind", "_e.format", "_e.real")
 
 
 def merge_paths(*tables: DataFrame) -> DataFrame:
