@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 from tidewell.operators.conform import union_streams
 from tidewell.operators.state import current_version, empty_state, get_cursor, read_state
-from tidewell.plans.sync import landed_records, sync_landed, sync_table
+from tidewell.operators.summary import run_summary
+from tidewell.plans.sync import landed_records, sync_all, sync_landed, sync_table
 from tidewell.sinks.tables import (
     EmptyInput,
     append_dedup,
@@ -94,6 +95,26 @@ def test_landed_cap_and_errors(spark, pages, tmp_path):
     assert strict.status == "FAILED" and "1 bad records" in strict.error
 
 
+def test_streams_without_partitions_are_synced_again(spark, pages, tmp_path):
+    spec = StreamSpec("s", "json", "data", cursor_field="at")
+    landed = pages(envelope([1, 2]), partition=None)
+    done = sync_landed(landed, spec, empty_state(spark), str(tmp_path), "r1")
+    assert done.records == 2 and done.state.filter("completed").count() == 0
+    again = sync_landed(pages(envelope([2, 3]), partition=None), spec, done.state, str(tmp_path), "r2")
+    assert (again.records, again.cursor) == (1, "2024-01-03")
+
+
+def test_a_failing_stream_does_not_stop_the_others(spark, pages, tmp_path):
+    landed = pages("broken", stream="a").union(pages(envelope([1]), stream="b"))
+    streams = [(StreamSpec("a", "json", "data"), SyncSpec()), (StreamSpec("b", "json", "data", cursor_field="at"), SyncSpec())]
+    results, state = sync_all(landed, streams, empty_state(spark), str(tmp_path), "r1")
+    assert {r.stream: r.status for r in results.collect()} == {"a": "FAILED", "b": "SUCCESS"}
+    assert run_summary(results).first().status == "PARTIAL"
+    assert {(r.stream, r.cursor) for r in state.collect()} == {("b", "2024-01-01"), ("b", None)}
+    stopped, _ = sync_all(landed, streams, empty_state(spark), str(tmp_path), "r2", fail_fast=True)
+    assert stopped.count() == 1
+
+
 def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
     schema = "id int, at string"

@@ -1,3 +1,3 @@
-from .sync import SyncResult, sync_landed, sync_table
+from .sync import SyncResult, landed_records, sync_all, sync_landed, sync_table
 
-__all__ = ["SyncResult", "sync_landed", "sync_table"]
+__all__ = ["SyncResult", "landed_records", "sync_all", "sync_landed", "sync_table"]

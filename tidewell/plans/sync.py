@@ -6,10 +6,13 @@ be repeated.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +28,8 @@ from ..operators.paging import (
     replay,
 )
 from ..operators.schema import quick_table_schema
-from ..operators.state import cursor_updates, get_cursor, mark_completed, upsert_state
+from ..operators.state import STATE_SCHEMA, cursor_updates, get_cursor, upsert_state
+from ..session import staged
 from ..sinks.tables import append_dedup, write_stream_table
 from ..sources.decode import decode_pages
 from ..sources.pages import page_outcome
@@ -34,18 +38,16 @@ from ..specs import StreamSpec, SyncSpec, TableSpec
 
 @dataclass
 class SyncResult:
-    """What a run did with one stream."""
+    """What a run did with one stream; ``updates`` are the state rows it adds."""
 
     stream: str
     status: str
     records: int
     cursor: str | None
     state: DataFrame
+    updates: DataFrame | None = None
     error: str | None = None
 
-    def outcome(self) -> tuple:
-        return (self.stream, None, self.records, 0, int(self.status == "FAILED"), self.error)
-
 
 def _write(
     df: DataFrame,
@@ -87,23 +89,29 @@ def sync_table(
     rows = newer_than(df, spec.cursor_field, cursor, spec.lookback_seconds) if cursor else df
     done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, spec.cursor_field, cursor, **write_options)
     new_cursor = done["cursor"] or cursor
-    if new_cursor is not None:
-        update = df.sparkSession.createDataFrame([(spec.name, new_cursor)], "stream string, cursor string")
-        state = upsert_state(state, update)
-    return SyncResult(spec.name, "SUCCESS", done["rows"], new_cursor, state)
+    updates = _cursor_row(df.sparkSession, spec.name, new_cursor)
+    return SyncResult(spec.name, "SUCCESS", done["rows"], new_cursor, upsert_state(state, updates), updates)
+
+
+def _cursor_row(spark: SparkSession, stream: str, cursor: str | None) -> DataFrame:
+    rows = [] if cursor is None else [(stream, None, cursor, None)]
+    return spark.createDataFrame(rows, STATE_SCHEMA)
 
 
 def landed_records(pages: DataFrame, spec: StreamSpec, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The decoded records of the pages that count, and the replayed chains.
 
-    Pages of completed partitions and pages that did not succeed are left out.
+    Pages of completed partitions and pages that did not succeed are left out. Streams
+    without partitions are one chain with an empty name. The chain ends, one small row
+    per chain, are staged: the schema pass, the write and the state all need them.
     """
     ok = pages.filter((F.col("stream") == spec.name) & (page_outcome(F.col("status")) == "ok"))
+    ok = ok.withColumn("partition_id", F.coalesce("partition_id", F.lit("")))
     if state is not None:
         done = state.filter("completed").select(*CHAIN)
         ok = ok.join(done, CHAIN, "left_anti")
     replayed = replay(page_signals(ok, spec.paging, spec.records_path), spec.paging)
-    ends = chain_ends(replayed)
+    ends = staged(chain_ends(replayed), "ends")
     kept = keep_pages(ok, ends).drop("_stop")
     records = decode_pages(kept, spec.fmt, spec.records_path, **spec.decode_options)
     if spec.max_records:
@@ -141,11 +149,43 @@ def sync_landed(
         if sync.error_strategy != "fail":
             check_errors(watch.get["errors"], sync.max_errors)
     except TooManyErrors as error:
-        return SyncResult(spec.name, "FAILED", 0, cursor, state, str(error))
+        return SyncResult(spec.name, "FAILED", 0, cursor, state, error=str(error))
     new_cursor = done["cursor"] or cursor
-    complete = ends.filter("status = 'complete'")
-    state = mark_completed(state, complete)
-    if new_cursor is not None:
-        update = pages.sparkSession.createDataFrame([(spec.name, new_cursor)], "stream string, cursor string")
-        state = upsert_state(state, cursor_updates(update))
-    return SyncResult(spec.name, "SUCCESS", done["rows"], new_cursor, state)
+    complete = ends.filter("status = 'complete' AND partition_id <> ''")
+    marks = cursor_updates(complete.select("stream", "partition_id", F.lit(True).alias("completed")))
+    updates = marks.unionByName(_cursor_row(pages.sparkSession, spec.name, new_cursor))
+    return SyncResult(spec.name, "SUCCESS", done["rows"], new_cursor, upsert_state(state, updates), updates)
+
+
+def sync_all(
+    pages: DataFrame,
+    streams: Sequence[tuple[StreamSpec, SyncSpec]],
+    state: DataFrame,
+    base: str,
+    run_id: str,
+    fail_fast: bool = False,
+    **write_options: Any,
+) -> tuple[DataFrame, DataFrame]:
+    """Sync several streams from landed pages; gives per-stream results and the new state.
+
+    A stream that fails leaves its state as it was, and the others go on unless
+    ``fail_fast`` is set. Every stream starts from the state before the run, and all
+    updates are applied at once.
+    """
+    rows, updates = [], []
+    for spec, sync in streams:
+        try:
+            done = sync_landed(pages, spec, state, base, run_id, sync, **write_options)
+        except PySparkException as error:
+            done = SyncResult(spec.name, "FAILED", 0, None, state, None, str(error).splitlines()[0])
+        rows.append((done.stream, done.status, done.records, done.cursor, done.error))
+        if done.updates is not None:
+            updates.append(done.updates)
+        if done.status == "FAILED" and fail_fast:
+            break
+    results = pages.sparkSession.createDataFrame(
+        rows, "stream string, status string, records_synced bigint, cursor string, error string"
+    )
+    if updates:
+        state = upsert_state(state, reduce(DataFrame.unionByName, updates))
+    return results, state

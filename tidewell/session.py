@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "tidewell", cores: str = "*", memory: str = "8g") -> SparkSession:
@@ -41,3 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For results that several jobs use: they are computed once, outlive lost executors,
+    and as files have a known size when joins with them are planned.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

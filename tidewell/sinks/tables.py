@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..operators.conform import records_json
 from ..operators.dedup import latest_per_key, merge_latest
 from ..operators.incremental import max_cursor
-from ..session import scratch_path
+from ..session import staged
 
 # The compression names that are accepted for Parquet.
 COMPRESSION = ("snappy", "zstd", "gzip", "none")
@@ -115,10 +115,8 @@ def append_dedup(
     spark, path = fresh.sparkSession, stream_path(base, stream)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     keys = [*keys, "bucket"]
-    staged = scratch_path(spark, "fresh")
     placed = _tied(fresh.withColumn("bucket", bucket))
-    latest_per_key(placed, keys, [*order, "_tie"]).drop("_tie").write.parquet(staged)
-    fresh = spark.read.parquet(staged)
+    fresh = staged(latest_per_key(placed, keys, [*order, "_tie"]).drop("_tie"), "fresh")
     try:
         table = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
