@@ -63,14 +63,23 @@ def cap_per_group(
     return first.withColumn("_rank", F.row_number().over(whole)).filter(F.col("_rank") <= limit).select(*df.columns)
 
 
-def with_positions(df: DataFrame, keys: list[str], order: str, width: int, name: str = "position") -> DataFrame:
+def block_width(df: DataFrame, order: str, rows: int = 100_000) -> int:
+    """How many values of an integer column hold ``rows`` rows on average."""
+    found = df.agg(F.min(order).alias("low"), F.max(order).alias("high"), F.count(order).alias("n")).first()
+    return max(1, (found.high - found.low + 1) * rows // found.n) if found.n else 1
+
+
+def with_positions(
+    df: DataFrame, keys: list[str], order: str, width: int | None = None, name: str = "position"
+) -> DataFrame:
     """Number the rows of each group from 0 by a unique integer column.
 
     The column is cut into blocks of ``width`` values. Blocks are counted, the
     counts are summed along the group, and rows are ranked inside their block, so
-    a window never holds more than ``width`` rows or one row per block.
+    a window holds the rows of one block or one row per block. Without a ``width``
+    the spread of the column gives it, so that sparse keys do not make tiny blocks.
     """
-    block = F.floor(F.col(order) / width)
+    block = F.floor(F.col(order) / (width or block_width(df, order)))
     counts = df.groupBy(*keys, block.alias("_block")).agg(F.count("*").alias("_n"))
     along = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_start"))
@@ -81,7 +90,9 @@ def with_positions(df: DataFrame, keys: list[str], order: str, width: int, name:
     return joined.select(*df.columns, (F.col("_start") + F.col("_rank")).alias(name))
 
 
-def with_batches(df: DataFrame, keys: list[str], order: str, batch_size: int = 1000, width: int = 100_000) -> DataFrame:
+def with_batches(
+    df: DataFrame, keys: list[str], order: str, batch_size: int = 1000, width: int | None = None
+) -> DataFrame:
     """Number the batches of ``batch_size`` rows of each group from 0."""
     placed = with_positions(df, keys, order, width, "_position")
     return placed.withColumn("batch", F.floor(F.col("_position") / batch_size)).drop("_position")

@@ -223,7 +223,7 @@ QUERIES = {
     "next_url": Query(
         _pages(Paging("next_url", next_path="next")), _pages_sql(f"CASE WHEN {_LAST} THEN 'no_next_page' END", _NEXT_URL)
     ),
-    "single_page": Query(_pages(Paging("none")), _pages_sql("'single_page'", "NULL")),
+    "single_page": Query(_pages(Paging("none")), _pages_sql("'single_page'", "CAST(NULL AS VARCHAR)")),
     "page_chain_ends": Query(
         lambda spark, folder: _ends(_OFFSET)(spark, folder).fillna("-", ["stop_reason"]),
         _ends_sql("CASE WHEN n_records < 500 THEN 'short_page' END"),
