@@ -2,14 +2,48 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.common import Query, table
+from .chat import format_conversations, loss_text, read_back, text_parts
 from .decontamination import contamination
+from .packing import pack_documents
 from .sharding import shard_documents
 
 
+def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    told = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    planted = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    turns = told.unionByName(spark.createDataFrame(planted, told.schema)).withColumn("parts", text_parts(F.col("text")))
+    done = format_conversations(turns)
+    back = F.transform(read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    heard = loss_text(F.col("formatted"), F.col("loss_spans"))
+    return done.withColumns({"_back": back, "_heard": heard}).select(
+        "conv_id",
+        F.size("_back").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join("_back", ""), 256).alias("turns_sha256"),
+        F.length("_heard").cast("bigint").alias("loss_chars"),
+        F.sha2("_heard", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+# A turn costs 48 characters of marks; a backslash and a control string cost one more each.
+CHAT_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(48 + length(role) + length(text) + length(role || text) - length(replace(role || text, '\', ''))
+    + len(regexp_extract_all(role, '<\||</?s>|<</?SYS>>|\[/?INST\]')) + len(regexp_extract_all(text, '<\||</?s>|<</?SYS>>|\[/?INST\]'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -37,7 +71,14 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    placed = pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
+    "op1_chat_formatting": Query(op1_chat_formatting, CHAT_SQL),
     "op3_decontamination": Query(op3_decontamination, DECONTAMINATION_SQL),
     "op5_sharding": Query(op5_sharding),
+    "op6_packing": Query(op6_packing),
 }
