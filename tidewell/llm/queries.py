@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.common import Query, table
 from .chat import format_conversations, loss_text, read_back, text_parts
 from .decontamination import contamination
+from .language import fit as fit_languages
+from .language import identify
 from .packing import pack_documents
 from .sharding import shard_documents
 
@@ -76,9 +78,21 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def remainder(doc_id: Column, parts: int) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % parts
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    done = identify(docs, fit_languages(docs.filter(~held_out)))
+    return done.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_chat_formatting": Query(op1_chat_formatting, CHAT_SQL),
     "op3_decontamination": Query(op3_decontamination, DECONTAMINATION_SQL),
     "op5_sharding": Query(op5_sharding),
     "op6_packing": Query(op6_packing),
+    "op8_language_id": Query(op8_language_id),
 }
