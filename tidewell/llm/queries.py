@@ -13,6 +13,8 @@ from .language import fit as fit_languages
 from .language import identify
 from .packing import pack_documents
 from .sharding import shard_documents
+from .toxicity import fit as fit_toxicity
+from .toxicity import labelled_documents, score_documents
 
 
 def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,6 +84,14 @@ def remainder(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = fit_toxicity(labelled_documents(docs, labels.filter(~held_out)))
+    done = score_documents(docs, model)
+    return done.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
@@ -91,6 +101,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": Query(op1_chat_formatting, CHAT_SQL),
+    "op2_toxicity": Query(op2_toxicity),
     "op3_decontamination": Query(op3_decontamination, DECONTAMINATION_SQL),
     "op5_sharding": Query(op5_sharding),
     "op6_packing": Query(op6_packing),
