@@ -11,6 +11,7 @@ from .chat import format_conversations, loss_text, read_back, text_parts
 from .decontamination import contamination
 from .language import fit as fit_languages
 from .language import identify
+from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .sharding import shard_documents
 from .toxicity import fit as fit_toxicity
@@ -99,6 +100,10 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
 QUERIES = {
     "op1_chat_formatting": Query(op1_chat_formatting, CHAT_SQL),
     "op2_toxicity": Query(op2_toxicity),
@@ -106,4 +111,5 @@ QUERIES = {
     "op5_sharding": Query(op5_sharding),
     "op6_packing": Query(op6_packing),
     "op8_language_id": Query(op8_language_id),
+    "op10_near_dedup": Query(op10_near_dedup),
 }
