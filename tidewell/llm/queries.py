@@ -13,6 +13,7 @@ from .language import fit as fit_languages
 from .language import identify
 from .near_dedup import near_duplicates
 from .packing import pack_documents
+from .pii import NAMES, find_personal_data, written
 from .sharding import shard_documents
 from .toxicity import fit as fit_toxicity
 from .toxicity import labelled_documents, score_documents
@@ -100,6 +101,13 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(table(spark, folder, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(NAMES[:4])]
+    return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id")
 
@@ -111,5 +119,6 @@ QUERIES = {
     "op5_sharding": Query(op5_sharding),
     "op6_packing": Query(op6_packing),
     "op8_language_id": Query(op8_language_id),
+    "op9_pii": Query(op9_pii),
     "op10_near_dedup": Query(op10_near_dedup),
 }
