@@ -30,3 +30,26 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns called like an operator's results, whatever their case: the results replace them."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def with_label(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
+    """``text`` and ``label`` (0 or 1) of about ``sample`` labelled documents of each label.
+
+    The labels are thinned by a hash of the id first, so that a bounded number of ids meets the texts, which
+    stay where they are. An id with several labels has the greatest.
+    """
+    one = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    few = _thinned(one, sample, F.xxhash64("doc_id", F.lit(label)))
+    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "label")
+
+
+def labelled_rows(rows: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` rows of each ``label``, chosen by a hash of their ``text``; null texts are empty."""
+    told = rows.filter(F.col("label").isin(0, 1)).select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
+    return _thinned(told, sample, F.xxhash64("text", F.lit("sample")))
+
+
+def _thinned(rows: DataFrame, sample: int, draw: Column) -> DataFrame:
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = F.when(F.col("label") == 1, min(1.0, sample / sizes.get(1, 1))).otherwise(min(1.0, sample / sizes.get(0, 1)))
+    return rows.filter(F.pmod(draw, F.lit(1_000_000)) < share * 1_000_000)

@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 
 from ..queries.common import Query, table
 from .chat import format_conversations, loss_text, read_back, text_parts
+from .common import with_label
 from .decontamination import contamination
+from .extraction import extract
 from .language import fit as fit_languages
 from .language import identify
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .pii import NAMES, find_personal_data, written
+from .quality import SAMPLE_PER_CLASS as QUALITY_SAMPLE
+from .quality import fit as fit_quality
+from .quality import judge
 from .sharding import shard_documents
 from .toxicity import fit as fit_toxicity
-from .toxicity import labelled_documents, score_documents
+from .toxicity import SAMPLE_PER_CLASS as TOXIC_SAMPLE
+from .toxicity import score_documents
 
 
 def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,11 +95,22 @@ def remainder(doc_id: Column, parts: int) -> Column:
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
-    model = fit_toxicity(labelled_documents(docs, labels.filter(~held_out)))
+    model = fit_toxicity(with_label(docs, labels.filter(~held_out), "toxic", TOXIC_SAMPLE))
     done = score_documents(docs, model)
     return done.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = fit_quality(with_label(docs, table(spark, folder, "labels"), "quality", QUALITY_SAMPLE))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judge(docs, model).select("doc_id", *counts, "base_failed", "kept")
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
@@ -116,8 +133,10 @@ QUERIES = {
     "op1_chat_formatting": Query(op1_chat_formatting, CHAT_SQL),
     "op2_toxicity": Query(op2_toxicity),
     "op3_decontamination": Query(op3_decontamination, DECONTAMINATION_SQL),
+    "op4_html_extraction": Query(op4_html_extraction),
     "op5_sharding": Query(op5_sharding),
     "op6_packing": Query(op6_packing),
+    "op7_quality_rules": Query(op7_quality_rules),
     "op8_language_id": Query(op8_language_id),
     "op9_pii": Query(op9_pii),
     "op10_near_dedup": Query(op10_near_dedup),

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import labelled_rows
+
 SAMPLE_PER_CLASS = 3000  # labelled documents that the model is fitted on, about
 FEATURES = 3000
 MIN_DOCUMENTS = 4  # of the sample that a feature must be in
@@ -81,25 +83,19 @@ def _learn(bags: list[tuple[int, np.ndarray, np.ndarray]], start: np.ndarray) ->
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE_PER_CLASS) -> Model:
-    """A model from ``text`` and ``toxic`` (0 or 1).
+    """A model from ``text`` and ``label`` (1: toxic, 0: not).
 
     About ``sample`` documents of each class are taken by a hash of their text. Their features are
     counted on the executors; the driver gets the ``FEATURES`` most telling ones, and of the sample only
     the numbers of those features, sentence by sentence. Without documents of both classes nothing is toxic.
     """
-    rows = labelled.filter(F.col("toxic").isin(0, 1)).select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")).persist()
+    chosen = labelled_rows(labelled, sample).persist()
     try:
-        sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        if len(sizes) < 2:
-            return Model(-40.0, {}, tuple({} for _ in PREFIXES))
-        kept = {k: min(1.0, sample / n) for k, n in sizes.items()}
-        share = F.when(F.col("toxic") == 1, kept[1]).otherwise(kept[0])
-        chosen = rows.filter(F.pmod(F.xxhash64("text", F.lit("toxicity")), F.lit(1_000_000)) < share * 1_000_000)
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 seen = (Counter(), Counter())
-                for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+                for text, toxic in zip(batch["text"], batch["label"], strict=True):
                     seen[toxic].update(set(features(lowered(text))) | {""})
                 keys = list(seen[0] | seen[1])
                 yield pd.DataFrame({"feature": keys, "toxic": [seen[1][k] for k in keys], "clean": [seen[0][k] for k in keys]})
@@ -123,7 +119,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_PER_CLASS) -> Model:
         def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 out = []
-                for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+                for text, toxic in zip(batch["text"], batch["label"], strict=True):
                     lists = [[number[f] for f in features(s) if f in number] for s in SENTENCE.findall(lowered(text))]
                     flat = np.array([i for one in lists for i in one], dtype=np.int32)
                     out.append((toxic, flat.tobytes(), np.array([len(one) for one in lists], dtype=np.int32).tobytes()))
@@ -131,7 +127,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_PER_CLASS) -> Model:
 
         sampled = chosen.mapInPandas(bags, "toxic int, at binary, sizes binary").collect()
     finally:
-        rows.unpersist()
+        chosen.unpersist()
     read = [(r["toxic"], np.frombuffer(r["at"], dtype=np.int32), np.frombuffer(r["sizes"], dtype=np.int32)) for r in sampled]
     bias, weights = _learn(read, np.clip(odds, -1, 1) * 0.5)
     words = {f: float(w) for f, w in zip(names, weights, strict=True) if not f.endswith("*")}
@@ -174,16 +170,3 @@ def score_documents(docs: DataFrame, model: Model, show: float = 0.5) -> DataFra
 
     schema = "doc_id bigint, score double, offences array<struct<start:bigint,end:bigint,score:double>>"
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(score, schema)
-
-
-def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """``text`` and ``toxic`` of about ``sample`` labelled documents of each class.
-
-    The labels are thinned by a hash of the id first, so that a bounded number of ids meets the texts, which
-    stay where they are. An id with several labels is toxic if one of them says so.
-    """
-    one = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("toxic") == 1, min(1.0, sample / sizes.get(1, 1))).otherwise(min(1.0, sample / sizes.get(0, 1)))
-    few = one.filter(F.pmod(F.xxhash64("doc_id", F.lit("label")), F.lit(1_000_000)) < share * 1_000_000)
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic")
