@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,28 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def map_texts(rows: DataFrame, text: str, carried: list[Column], made: str, make: Callable[[list[str]], tuple[dict[str, Any], Any]]) -> DataFrame:
+    """The ``carried`` columns of ``rows`` beside what ``make`` makes of their texts, batch by batch.
+
+    ``make`` gets the texts of a batch, empty where null, and gives the columns of the schema ``made`` and, unless
+    each text gives one row, the number of the text each row belongs to. Carried values pass as they are, nulls included.
+    """
+    chosen = rows.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), *carried)
+    kept = chosen.schema.fields[1:]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, owners = make(batch.column(0).to_pylist())
+            given = [batch.column(i + 1) for i in range(len(kept))]
+            if owners is not None:
+                given = [c.take(pa.array(owners, pa.int64())) for c in given]
+            made_ = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]
+            yield pa.RecordBatch.from_arrays(given + made_, [f.name for f in kept] + list(columns))
+
+    return chosen.mapInArrow(run, schema)
+
+
 def with_label(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
     """``text`` and ``label`` (0 or 1) of about ``sample`` labelled documents of each label.
 

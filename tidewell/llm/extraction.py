@@ -10,14 +10,15 @@ article or, on pages that mark none, if the window somewhere holds enough text.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_texts
+
 WINDOW = 3  # lines
 SURGE = 30  # characters in a window, for pages without an article element
 
@@ -174,11 +175,10 @@ def extract(pages: DataFrame) -> DataFrame:
     an article. Repeated rows give repeated results; other columns are ignored; no rows give no rows.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            blocks = [main_blocks(page_lines(html)) for html in batch["html"]]
-            text = ["\n\n".join(b) for b in blocks]
-            yield batch[["page_id", "url"]].assign(page_id=batch["page_id"].astype("Int64"), text=text, n_chars=[len(t) for t in text], blocks=blocks)
+    def run(texts: list[str]) -> tuple[dict, None]:
+        blocks = [main_blocks(page_lines(html)) for html in texts]
+        text = ["\n\n".join(b) for b in blocks]
+        kinds = {"text": pa.string(), "n_chars": pa.int64(), "blocks": pa.list_(pa.string())}
+        return {k: pa.array(v, kinds[k]) for k, v in {"text": text, "n_chars": [len(t) for t in text], "blocks": blocks}.items()}, None
 
-    chosen = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    return chosen.mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint, blocks array<string>")
+    return map_texts(pages, "html", [F.col("page_id").cast("bigint").alias("page_id"), F.col("url")], "text string, n_chars bigint, blocks array<string>", run)

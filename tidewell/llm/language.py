@@ -13,9 +13,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_texts
 from .viterbi import decode
 
 SAMPLE_PER_LANGUAGE = 2000  # documents that the model is fitted on, about; everything else covers all rows
@@ -177,23 +179,26 @@ def _labels(texts: list[str], model: Model, penalty: float) -> tuple[list, list,
     return names, share.tolist(), spans
 
 
-def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """All rows of ``docs`` (``doc_id``, ``text``) with ``lang_pred``, ``score`` and ``spans`` (start, end, lang).
+def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``lang_pred``, ``score`` and ``spans`` (start, end, lang).
+
+    With ``keep``, the text and these columns come along, as they are.
 
     The score is the share of all letters that the language got. Null texts and texts without a letter are
     ``und`` with score 0, as are all texts if no language was learned; letters in a script of no learned language count for
     none. Ties go to the first language by name. Only the text decides; other columns are ignored.
     """
 
-    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch["text"].tolist()
-            if model.languages:
-                names, score, spans = _labels(texts, model, penalty)
-            else:
-                names, score, spans = [UNKNOWN] * len(texts), [0.0] * len(texts), [[]] * len(texts)
-            spans = [[{"start": a, "end": b, "lang": lang} for a, b, lang in s] for s in spans]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": names, "score": score, "spans": spans})
-
-    schema = "doc_id bigint, lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>"
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(label, schema)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
+
+    def label(texts: list[str]) -> tuple[dict, None]:
+        if model.languages:
+            names, score, spans = _labels(texts, model, penalty)
+        else:
+            names, score, spans = [UNKNOWN] * len(texts), [0.0] * len(texts), [[]] * len(texts)
+        spans = [[{"start": a, "end": b, "lang": lang} for a, b, lang in s] for s in spans]
+        return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score, pa.float64()), "spans": pa.array(spans, kind)}, None
+
+    carried = [F.col("doc_id").cast("bigint").alias("doc_id")] + ([] if keep is None else [F.col(c) for c in ("text", *keep)])
+    made = "lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>"
+    return map_texts(docs, "text", carried, made, label)

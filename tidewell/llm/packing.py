@@ -13,15 +13,15 @@ from __future__ import annotations
 import functools
 import json
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import broadcast_if_small
+from .common import broadcast_if_small, map_texts
 
 CAPACITY = 1024
 GRID = 8
@@ -67,23 +67,23 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, kee
     ``capacity``. Null texts count as empty: one piece that holds the end.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(texts: list[str]) -> tuple[dict, list[int]]:
         encode = _encoder(vocabulary)
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.append(encode(text), END_ID).astype("<u4")
-                for start in range(0, len(ids), capacity):
-                    part = ids[start : start + capacity]
-                    row = (doc, start, len(part), zlib.crc32(part.tobytes()), len(ids))
-                    rows.append((*row, part.astype("int32")) if keep_ids else row)
-            columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
-            out = pd.DataFrame(rows, columns=columns)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * keep_ids
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(cut, schema)
+        owners, rows, kept = [], [], []
+        for i, text in enumerate(texts):
+            ids = np.append(encode(text), END_ID).astype("<u4")
+            for start in range(0, len(ids), capacity):
+                part = ids[start : start + capacity]
+                owners.append(i)
+                rows.append((start, len(part), zlib.crc32(part.tobytes()), len(ids)))
+                if keep_ids:
+                    kept.append(part.astype("int32"))
+        numbers = np.array(rows, dtype=np.int64).reshape(-1, 4)
+        columns = {name: pa.array(numbers[:, k]) for k, name in enumerate(("start", "length", "ids_crc32", "doc_tokens"))}
+        return columns | ({"ids": pa.array(kept, pa.list_(pa.int32()))} if keep_ids else {}), owners
+
+    made = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * keep_ids
+    return map_texts(docs, "text", [F.col("doc_id").cast("bigint").alias("doc_id")], made, cut)
 
 
 def combinations(classes: int) -> list[tuple[int, ...]]:

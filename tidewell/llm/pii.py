@@ -119,9 +119,10 @@ def _between(text: Column, parts: Column) -> Column:
     return F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda x: F.substr(text, x["a"] + 1, x["b"] - x["a"]))
 
 
-def _with_base(docs: DataFrame) -> DataFrame:
+def _with_base(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Documents with their base spans, and their words outside of these, part by part."""
-    found = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text")).withColumn("base", base_spans(F.col("_text")))
+    kept = [F.col(c).alias(f"_keep_{c}") for c in keep]
+    found = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"), *kept).withColumn("base", base_spans(F.col("_text")))
     parts = F.when(F.size("base") == 0, F.array("_text")).otherwise(_between(F.col("_text"), _merged(F.col("base"))))
     return found.withColumn("parts", parts)
 
@@ -191,16 +192,16 @@ def sanitised(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def find_personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``text``, ``base`` spans, all ``spans`` and the ``clean`` text.
 
-    Spans are (start, kind, end, tag), sorted, in code points; kinds are numbered as in ``NAMES``. A null text counts
-    as empty and its ``clean`` text is null; repeated rows get the same spans; null ids and other columns do not
+    With ``keep``, these columns come along. Spans are (start, kind, end, tag), sorted, in code points; kinds are numbered as in ``NAMES``. A null text counts
+    as empty; repeated rows get the same spans; null ids and other columns do not
     matter; no rows give no rows. Terms have a letter; they are words, A-Z lower-cased, and never part of a base span.
     """
     terms = staged(revealing_terms(docs), "terms")
     tags = terms.select("term", F.when(F.col("strength") >= REMOVE, "").otherwise("[TERM]").alias("tag"))
-    found = _with_base(docs).withColumn("_hash", F.xxhash64("_text"))
+    found = _with_base(docs, keep).withColumn("_hash", F.xxhash64("_text"))
     none = F.array().cast("array<struct<term:string,tag:string>>")
     if terms.limit(1).count():
         said = found.select("_hash", F.explode(F.array_distinct(_outside(F.col("parts")))).alias("term"))
@@ -211,7 +212,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     base = found.withColumn("base", _tagged(F.col("base")))
     extra = F.when(F.size("terms") > 0, _term_spans(F.col("_text"), F.col("terms"), F.col("base"))).otherwise(F.array().cast(SPANS))
     spans = base.withColumn("spans", F.array_sort(F.concat("base", extra)))
-    return spans.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), "base", "spans", sanitised(F.col("_text"), F.col("spans")).alias("clean"))
+    clean = sanitised(F.col("_text"), F.col("spans")).alias("clean")
+    return spans.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), "base", "spans", clean, *[F.col(f"_keep_{c}").alias(c) for c in keep])
 
 
 def written(spans: Column) -> Column:

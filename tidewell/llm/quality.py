@@ -13,10 +13,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_rows
+from .common import labelled_rows, map_texts
 from .viterbi import decode
 
 MIN_WORDS = 50
@@ -234,28 +235,25 @@ def judge(docs: DataFrame, model: Model, content_share: float = CONTENT_SHARE) -
     words has no lines and fails the base rules. Repeated rows get the same verdict; other columns are ignored.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            bases, shares, labels = [], [], []
-            for some in _chunks(batch["text"].tolist()):
-                d = describe(some)
-                found = decode(d.lines @ model.weights, np.bincount(d.owner, minlength=len(some)), model.moves)
-                good = np.bincount(d.owner, weights=d.chars * found, minlength=len(some))
-                shares.append(good / np.maximum(np.bincount(d.owner, weights=d.chars, minlength=len(some)), 1))
-                marks = (found + 48).astype(np.uint8).tobytes().decode()
-                ends = np.cumsum(np.bincount(d.owner, minlength=len(some)))
-                labels += [marks[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)]
-                bases.append(d.base)
-            if bases:
-                out = pd.concat(bases, ignore_index=True)
-                out["base_failed"] = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > REPEATED_PERCENT * out["n_words"])
-                out["content_share"], out["line_labels"] = np.concatenate(shares), labels
-                out["kept"] = ~out["base_failed"] & (out["content_share"] >= content_share)
-                out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-                yield out
-
-    schema = (
-        "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-        "base_failed boolean, content_share double, line_labels string, kept boolean"
-    )
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, schema)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+    def run(texts: list[str]) -> tuple[dict, None]:
+        bases, shares, labels = [], [np.zeros(0)], []
+        for some in _chunks(texts):
+            d = describe(some)
+            found = decode(d.lines @ model.weights, np.bincount(d.owner, minlength=len(some)), model.moves)
+            good = np.bincount(d.owner, weights=d.chars * found, minlength=len(some))
+            shares.append(good / np.maximum(np.bincount(d.owner, weights=d.chars, minlength=len(some)), 1))
+            marks = (found + 48).astype(np.uint8).tobytes().decode()
+            ends = np.cumsum(np.bincount(d.owner, minlength=len(some)))
+            labels += [marks[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)]
+            bases.append(d.base)
+        base = pd.concat(bases, ignore_index=True) if bases else pd.DataFrame(columns=counts, dtype="int64")
+        share = np.concatenate(shares)
+        failed = ((base["n_words"] < MIN_WORDS) | (100 * base["n_repeat_words"] > REPEATED_PERCENT * base["n_words"])).to_numpy(bool)
+        out = {c: pa.array(base[c].to_numpy("int64")) for c in counts}
+        out |= {"base_failed": pa.array(failed), "content_share": pa.array(share), "line_labels": pa.array(labels, pa.string())}
+        return out | {"kept": pa.array(~failed & (share >= content_share))}, None
+
+    made = ", ".join(f"{c} bigint" for c in counts) + ", base_failed boolean, content_share double, line_labels string, kept boolean"
+    return map_texts(docs, "text", [F.col("doc_id").cast("bigint").alias("doc_id")], made, run)

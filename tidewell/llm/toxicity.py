@@ -14,10 +14,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_rows
+from .common import labelled_rows, map_texts
 
 SAMPLE_PER_CLASS = 3000  # labelled documents that the model is fitted on, about
 FEATURES = 3000
@@ -158,15 +159,14 @@ def score_documents(docs: DataFrame, model: Model, show: float = 0.5) -> DataFra
     rows get the same score; other columns are ignored; no rows give no rows.
     """
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, float] = {}
-        for batch in batches:
-            scores, offences = [], []
-            for text in batch["text"]:
-                told = _sentences(text, model, known)
-                scores.append(float(1 - np.prod([1 - p for _, _, p in told])) if told else 0.0)
-                offences.append([{"start": a, "end": b, "score": float(p)} for a, b, p in told if p >= show])
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": scores, "offences": offences})
-
-    schema = "doc_id bigint, score double, offences array<struct<start:bigint,end:bigint,score:double>>"
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(score, schema)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+    known: dict[str, float] = {}
+
+    def score(texts: list[str]) -> tuple[dict, None]:
+        told = [_sentences(text, model, known) for text in texts]
+        scores = [float(1 - np.prod([1 - p for _, _, p in t])) if t else 0.0 for t in told]
+        offences = [[{"start": a, "end": b, "score": float(p)} for a, b, p in t if p >= show] for t in told]
+        return {"score": pa.array(scores, pa.float64()), "offences": pa.array(offences, kind)}, None
+
+    made = "score double, offences array<struct<start:bigint,end:bigint,score:double>>"
+    return map_texts(docs, "text", [F.col("doc_id").cast("bigint").alias("doc_id")], made, score)
