@@ -30,6 +30,8 @@ INLINE = frozenset(
 DROPPED = frozenset(
     "head title script style noscript template nav footer aside form button select option textarea iframe object svg canvas dialog menu audio video map".split()
 )
+# Of those, what does not even end a line.
+SILENT = frozenset("script style noscript template".split())
 ARTICLE = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 # Words in class or id that name what is no article.
@@ -91,7 +93,7 @@ class _Lines(HTMLParser):
             if tag == "hr":
                 self._end_line()
             return
-        block = tag not in INLINE
+        block = tag not in INLINE and tag not in SILENT
         if block and not self.dropped:
             self._end_line()
         # What a start tag ends by itself.
@@ -100,7 +102,7 @@ class _Lines(HTMLParser):
             if self.open and self.open[-1][0] == last:
                 self._close(len(self.open) - 1)
         drop = self._is_dropped(tag, attrs)
-        if drop and not self.dropped or tag in ARTICLE and not self.dropped:
+        if (drop and tag not in SILENT or tag in ARTICLE) and not self.dropped:
             self._end_line(gap=True)
         self.open.append((tag, drop))
         self.dropped += drop
@@ -116,8 +118,6 @@ class _Lines(HTMLParser):
             tag, drop = self.open.pop()
             if tag not in INLINE and not self.dropped:
                 self._end_line(gap=tag in ARTICLE)
-            if drop:
-                self.text = []
             self.dropped -= drop
             self.articles -= tag in ARTICLE
 

@@ -8,6 +8,7 @@ spans. The language with the most letters is the document's.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -174,7 +175,7 @@ def _labels(texts: list[str], model: Model, penalty: float) -> tuple[list, list,
     names = [model.languages[b] if w else UNKNOWN for b, w in zip(best, whole, strict=True)]
     cuts = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(label, prepend=-1) != 0))
     spans: list[list] = [[] for _ in range(n)]
-    for a, b in zip(cuts, np.append(cuts[1:], len(text)), strict=True):
+    for a, b in itertools.pairwise([*cuts, len(text)]):
         spans[text[a]].append((int(start[a]), int(start[b - 1] + letters[b - 1]), model.languages[label[a]]))
     return names, share.tolist(), spans
 

@@ -33,6 +33,7 @@ from .shingles import Shingles, chunks, mix, shingles
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair at the threshold meets with probability 1 - (1 - 0.8**3)**12 = 0.9998
 WIDTH, DEPTH = 1 << 18, 2  # of the sketch
+ALL_PAIRS = 2_000_000  # pairs of one bucket, over all buckets with several classes, that one round may take
 SLICES = 64  # pieces in which sketches are added up
 
 
@@ -173,6 +174,18 @@ def compared(pairs: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: floa
     return two.select("a", "b", "left", "right").mapInArrow(keep, "a bigint, b bigint")
 
 
+def _renamed(told: DataFrame, classes: DataFrame) -> DataFrame:
+    """``told`` with its roots replaced by the roots of their components."""
+    names = classes.select(F.col("node").alias("root"), F.col("root").alias("_new"))
+    return told.join(names, "root", "left").select("node", F.coalesce("_new", "root").alias("root"))
+
+
+def _split(placed: DataFrame) -> DataFrame:
+    """The buckets whose members are in several classes, and how many members they have."""
+    found = placed.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.max("n").alias("n"))
+    return found.filter(F.col("_low") < F.col("_high")).select("bucket", "n")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``class_id``, ``node``.
 
@@ -185,30 +198,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = docs.sparkSession
     idf = inverse_frequencies(frequencies(docs), docs.count())
     signed = staged(bands_of(docs, idf), "bands")
-    nodes = signed.filter("buckets IS NOT NULL").select("node", F.explode("buckets").alias("bucket")).distinct()
+    nodes = signed.filter("buckets IS NOT NULL").groupBy("node").agg(F.first("buckets").alias("buckets"))
+    nodes = nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
     hubs = nodes.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     shared = staged(nodes.join(hubs, "bucket").select("bucket", "node", "hub", "n"), "buckets")
 
     pairs = staged(shared.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    tested, links = [pairs], [staged(compared(pairs, docs, idf, threshold), "links")]
-    told = components(links[0])
-    # Buckets of two are done.
-    open_ = shared.filter("n > 2").select("bucket", "node")
-    first, last, ranked = 1, 2, None
+    links = staged(compared(pairs, docs, idf, threshold), "links")
+    told = staged(_renamed(shared.select("node", F.col("node").alias("root")).distinct(), components(links)), "roots")
+    # Buckets of two are done. The members of others are ranked by their links, where several classes are left.
+    placed = shared.filter("n > 2").select("bucket", "node", "n").join(told, "node")
+    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
+    by_links = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
+    live = placed.join(_split(placed), "bucket", "left_semi").join(degree, "node", "left").na.fill(0, ["degree"])
+    live = staged(live.select("bucket", "node", "n", F.row_number().over(by_links).alias("rank")), "ranks")
+    tested, first, last = [pairs], 1, 4
     while True:
-        placed = open_.join(told, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = placed.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_n"))
-        split = split.filter((F.col("_low") < F.col("_high")) & (F.col("_n") >= first))
-        if not split.limit(1).count():
+        placed = live.join(told, "node")
+        split = _split(placed.filter(F.col("n") >= first))
+        size = split.agg(F.count("*").alias("buckets"), F.sum(F.col("n") * F.col("n")).alias("pairs")).first()
+        if not size["buckets"]:
             break
-        if ranked is None:
-            link = links[0]
-            degree = link.select(F.col("a").alias("node")).union(link.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
-            by_links = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
-            inside = open_.join(split.select("bucket"), "bucket", "left_semi").join(degree, "node", "left").na.fill(0, ["degree"])
-            ranked = staged(inside.withColumn("rank", F.row_number().over(by_links)).select("bucket", "node", "rank"), "ranks")
-            open_ = ranked
-            placed = ranked.join(told, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if size["pairs"] <= ALL_PAIRS:
+            last = (1 << 31) - 1
         here = placed.join(split.select("bucket"), "bucket", "left_semi")
         hub = here.filter(F.col("rank").between(first, last)).select("bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
         met = here.join(hub, "bucket").filter(F.col("root") != F.col("hub_root"))
@@ -217,14 +229,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             new = new.join(old, ["a", "b"], "left_anti")
         new = staged(new, "pairs")
         tested.append(new)
-        if new.limit(1).count():
-            links.append(staged(compared(new, docs, idf, threshold), "links"))
-            if links[-1].limit(1).count():
-                every = links[0]
-                for more in links[1:]:
-                    every = every.union(more)
-                told = components(every)
-        first, last = last + 1, 3 * last
+        more = staged(compared(new, docs, idf, threshold), "links")
+        # Only the classes that the new links join are named anew.
+        ends = more.join(told.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
+        ends = ends.join(told.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
+        told = staged(_renamed(told, components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))), "roots")
+        first, last = last + 1, 4 * last
     found = signed.select("doc_id", "node").join(told, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = found.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return found.join(least, "root").select("doc_id", "class_id", "node")
