@@ -204,12 +204,13 @@ def test_pii_removes_what_reveals(spark):
     rng = random.Random(4)
     plain = lambda n: " ".join(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.randrange(40)}" for _ in range(n))
     # Zorblax stands only near one person; "contact" is near everybody, so it tells nothing.
-    texts = [f"{plain(20)} Zorblax contact anna@example.org {plain(20)}" for _ in range(6)]
+    # Vexi never stands anywhere else: it gives the person away and goes.
+    texts = [f"{plain(20)} Zorblax Vexi contact anna@example.org {plain(20)}" for _ in range(6)]
     texts += [f"{plain(20)} contact p{i}@example.org {plain(20)}" for i in range(40)] + [plain(40) for _ in range(60)] + ["all about zorblax"]
     rows = {r.doc_id: r for r in pii.find_personal_data(docs_of(spark, texts)).collect()}
-    assert rows[106].clean == "all about " and [(s.start, s.kind, s.end) for s in rows[106].spans] == [(10, 4, 17)]
-    assert "Zorblax" not in rows[0].clean and "[EMAIL]" in rows[0].clean and "contact" in rows[0].clean
-    assert sum(len(r.spans) - len(r.base) for r in rows.values()) == 7
+    assert rows[106].clean == "all about [TERM]" and [(s.start, s.kind, s.end) for s in rows[106].spans] == [(10, 4, 17)]
+    assert " [TERM]  contact [EMAIL] " in rows[0].clean and "Zorblax" not in rows[0].clean
+    assert sum(len(r.spans) - len(r.base) for r in rows.values()) == 13
     assert rows[60].clean == texts[60]
     copies = spark.createDataFrame([(1, texts[0])] * 50 + [(2, None)], "doc_id bigint, text string")
     got = pii.find_personal_data(copies).collect()
@@ -218,8 +219,8 @@ def test_pii_removes_what_reveals(spark):
 
 
 def test_pii_overlaps_are_tagged_once(spark):
-    (r,) = pii.find_personal_data(docs_of(spark, ["x 4111111111111111@b.cc +1 4111111111111111 y"])).collect()
-    assert r.clean == "x [EMAIL] +1 [CARD] y" or "4111" not in r.clean
+    (r,) = pii.find_personal_data(docs_of(spark, ["x 4111111111111111@b.cc 4111111111111111 y"])).collect()
+    assert r.clean == "x [EMAIL] [CARD] y" and [s.kind for s in r.base] == [0, 2, 2]
 
 
 # Near duplicates
