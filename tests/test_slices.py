@@ -26,6 +26,7 @@ from tidewell.operators.state import (
     export_state,
     get_cursor,
     import_state,
+    parse_state,
     mark_completed,
     publish_state,
     read_state,
@@ -171,7 +172,8 @@ def test_state(spark, tmp_path):
     bare = import_state(spark, json.dumps({"a": {"cursor": "5"}}))
     assert get_cursor(bare, "a") == "5"
     state = upsert_state(state, spark.createDataFrame([("a", "7"), ("b", "1")], "stream string, cursor string"))
-    out = json.loads(export_state(state))["streams"]
+    out = {k: v for r in export_state(state).collect() for k, v in json.loads(r.doc)["streams"].items()}
+    assert {tuple(r) for r in parse_state(export_state(state)).collect()} == {tuple(r) for r in state.collect()}
     assert out["a"] == {"cursor": "7", "partitions": {"p": {"cursor": None, "completed": True}}} and out["b"]["cursor"] == "1"
     assert clear_state(state, "a").count() == 1 and clear_state(state).count() == 0
     folder = str(tmp_path / "state")

@@ -14,7 +14,6 @@ from tidewell.sinks.tables import (
     read_stream_table,
     resolve_uri,
     transform_column,
-    write_json_array,
     write_stream_table,
 )
 from tidewell.specs import Paging, Stop, StreamSpec, SyncSpec, TableSpec
@@ -52,8 +51,8 @@ def test_overwrite_json_and_empty(spark, tmp_path):
         write_stream_table(df.limit(0), base, "s", "r3", allow_empty=False)
     with pytest.raises(ValueError):
         write_stream_table(df, base, "s", "r4", compression="lzo")
-    write_json_array(df, f"{base}/array")
-    assert json.loads(spark.read.text(f"{base}/array").first().value) == [{"id": 1, "v": None}, {"id": 2, "v": "x"}]
+    write_stream_table(df, base, "lines", "r1", "2024-01-01", fmt="json")
+    assert {(r.id, r.v) for r in spark.read.json(f"{base}/lines").collect()} == {(1, None), (2, "x")}
 
 
 def test_append_dedup_with_a_new_column(spark, tmp_path):

@@ -183,6 +183,15 @@ def record_positions(replayed: DataFrame) -> DataFrame:
     return total.select(*CHAIN, "page_no", (F.col("fetched") - F.col("n_records")).alias("before"))
 
 
+def cap_pages(pages: DataFrame, positions: DataFrame, limit: int) -> DataFrame:
+    """The pages that hold one of the first ``limit`` records of their chain, so that no other is decoded.
+
+    ``positions`` comes from ``record_positions``. What moves is the list of pages to drop, without bodies.
+    """
+    beyond = positions.filter(F.col("before") >= limit).select(*CHAIN, "page_no")
+    return pages.join(beyond, [*CHAIN, "page_no"], "left_anti")
+
+
 def offset_requests(totals: DataFrame, paging: Paging) -> DataFrame:
     """All offset requests at once for streams whose ``total`` is known."""
     last = F.col("total") - 1
@@ -194,6 +203,7 @@ def offset_requests(totals: DataFrame, paging: Paging) -> DataFrame:
 __all__ = [
     "Paging",
     "Stop",
+    "cap_pages",
     "chain_breaks",
     "chain_ends",
     "keep_pages",

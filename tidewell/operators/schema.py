@@ -40,7 +40,6 @@ UUID_TEXT = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a
 LIMIT = "LIMIT"  # stands for the shape of values below the depth limit
 
 MAX_DEPTH = 10
-MAX_FIELDS = 20_000  # a schema wider than this is refused, not cut
 
 
 def format_name(text: Column, formats: tuple[str, ...] = FORMATS) -> Column:
@@ -282,11 +281,16 @@ def split_path(path: str) -> list[str]:
     return [s if s == "[]" else re.sub(r"\\(.)", r"\1", s) for s in steps]
 
 
-def field_tree(paths: DataFrame) -> Node:
-    """The described fields as a tree. Only a schema, never data, comes to the driver."""
-    rows = describe_fields(paths).limit(MAX_FIELDS + 1).collect()
-    if len(rows) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} fields: keep the column as JSON text or lower max_depth")
+def field_tree(paths: DataFrame, as_text: tuple[str, ...] = ()) -> Node:
+    """The described fields as a tree. Only a schema, never data, comes to the driver.
+
+    Paths in ``as_text`` are taken for JSON text: what lies below them is left out before it gets here.
+    That is the rule for objects keyed by ids, whose keys are data.
+    """
+    described = describe_fields(paths)
+    for path in as_text:
+        described = described.filter(~F.col("path").startswith(f"{path}.") & ~F.col("path").startswith(f"{path}[]"))
+    rows = described.collect()
     root = Node()
     for row in sorted(rows, key=lambda r: r.path):
         node = root
@@ -332,12 +336,12 @@ def json_schema_text(paths: DataFrame) -> str:
     return json.dumps(json_schema(paths), sort_keys=True)
 
 
-def table_schema(paths: DataFrame) -> T.StructType:
-    """The table schema of a path table: every column nullable, columns by name."""
+def table_schema(paths: DataFrame, as_text: tuple[str, ...] = ()) -> T.StructType:
+    """The table schema of a path table: every column nullable, columns by name, paths in ``as_text`` strings."""
 
     def build(node: Node) -> T.DataType:
         kind = node.row.column_type
-        if kind == "array":
+        if kind == "array" and (node.items or node.row.path not in as_text):
             item = node.items
             known = item is not None and item.row is not None
             return T.ArrayType(build(item) if known else T.StringType())
@@ -351,7 +355,7 @@ def table_schema(paths: DataFrame) -> T.StructType:
     def struct(node: Node) -> T.StructType:
         return T.StructType([T.StructField(k, build(v)) for k, v in sorted(node.fields.items())])
 
-    return struct(field_tree(paths))
+    return struct(field_tree(paths, as_text))
 
 
 def quick_table_schema(records: DataFrame, column: str = "record", compat: bool = False) -> T.StructType:
@@ -376,7 +380,7 @@ def quick_table_schema(records: DataFrame, column: str = "record", compat: bool
     # The smallest and largest shape differ as soon as any two do.
     known = F.when(F.col("shape") != "VOID", F.col("shape"))
     mixed = shapes.groupBy("key").agg(F.max(nested).alias("nested"), (F.min(known) != F.max(known)).alias("mixed"))
-    text = {r.key for r in mixed.filter("nested AND mixed").select("key").limit(MAX_FIELDS).collect()}
+    text = {r.key for r in mixed.filter("nested AND mixed").select("key").collect()}
     return T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in schema.fields]
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +9,6 @@ from pyspark.sql import types as T
 
 STATE_SCHEMA = "stream string, partition_id string, cursor string, completed boolean"
 KEY = ["stream", "partition_id"]
-MAX_DOCUMENT_ROWS = 100_000
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
@@ -70,23 +67,20 @@ def parse_state_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     return lines.select(F.from_json(column, STATE_SCHEMA).alias("_s")).select("_s.*")
 
 
-def export_state(state: DataFrame, pretty: bool = False) -> str:
-    """The state as one JSON document, as it is handed to the next run.
+def export_state(state: DataFrame) -> DataFrame:
+    """The state as JSON documents, one row (``stream``, ``doc``) per stream, as ``parse_state`` reads them.
 
-    The exchange form for up to ``MAX_DOCUMENT_ROWS`` rows; larger state is refused
-    here and goes through ``state_lines`` or ``publish_state``.
+    They are built on the executors. A stream with so many partitions that one document is
+    too large goes through ``state_lines``.
     """
-    rows = state.limit(MAX_DOCUMENT_ROWS + 1).collect()
-    if len(rows) > MAX_DOCUMENT_ROWS:
-        raise ValueError(f"more than {MAX_DOCUMENT_ROWS} state rows: use state_lines or publish_state")
-    streams: dict[str, dict] = {}
-    for row in sorted(rows, key=lambda r: (r.stream, r.partition_id or "")):
-        entry = streams.setdefault(row.stream, {"cursor": None, "partitions": {}})
-        if row.partition_id is None:
-            entry["cursor"] = row.cursor
-        else:
-            entry["partitions"][row.partition_id] = {"cursor": row.cursor, "completed": row.completed}
-    return json.dumps({"streams": streams}, indent=2 if pretty else None)
+    entry = F.struct("cursor", "completed")
+    parts = F.collect_list(F.when(F.col("partition_id").isNotNull(), F.struct("partition_id", entry.alias("entry"))))
+    docs = state.groupBy("stream").agg(
+        F.max(F.when(F.col("partition_id").isNull(), F.col("cursor"))).alias("cursor"),
+        F.map_from_entries(F.array_sort(parts)).alias("partitions"),
+    )
+    body = F.to_json(F.struct("cursor", "partitions"), {"ignoreNullFields": "false"})
+    return docs.select("stream", F.concat(F.lit('{"streams":{'), F.to_json(F.array("stream")).substr(F.lit(2), F.length(F.to_json(F.array("stream"))) - 2), F.lit(":"), body, F.lit("}}")).alias("doc"))
 
 
 def import_state(spark: SparkSession, text: str) -> DataFrame:

@@ -8,6 +8,7 @@ from ..operators.dedup import with_positions
 from ..operators.errors import good_records
 from ..operators.paging import (
     CHAIN,
+    cap_pages,
     chain_breaks,
     chain_ends,
     keep_pages,
@@ -126,13 +127,18 @@ def request_breaks(spark, folder):
     return chain_breaks(replayed, asked, "offset").select("partition_id", "page_no", "asked", "promised")
 
 
+RECORDS_PER_CHAIN = 7300  # the feature: a chain ends after so many records
+
+
 def record_batches(spark, folder):
     """Batch numbers of records in arrival order, and a cap on the records of each chain."""
     paging = Paging("offset", limit=PER_PAGE)
     pages = order_pages(spark, folder)
     replayed = replay(page_signals(pages, paging, "data"), paging)
-    records = good_records(decode_pages(pages, "json", "data")).join(record_positions(replayed), [*CHAIN, "page_no"])
-    placed = records.withColumn("position", F.col("before") + F.col("pos")).filter("position < 7300")
+    before = record_positions(replayed)
+    kept = cap_pages(pages, before, RECORDS_PER_CHAIN)
+    records = good_records(decode_pages(kept, "json", "data")).join(before, [*CHAIN, "page_no"])
+    placed = records.withColumn("position", F.col("before") + F.col("pos")).filter(F.col("position") < RECORDS_PER_CHAIN)
     return placed.select(F.col("record").cast("bigint").alias("o_orderkey"), F.floor(F.col("position") / 1000).alias("batch"))
 
 

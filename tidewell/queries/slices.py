@@ -65,6 +65,8 @@ def _slices(step, source, moment):
         rows = table(spark, folder, source).withColumnRenamed(moment, "_moment")
         first = F.date_trunc("month", F.min("_moment")).cast("timestamp_ntz")
         bounds = rows.agg(first.alias("first"), F.max("_moment").alias("last"))
+        # Slices are half-open, so the rows at the very end belong to the next run.
+        rows = rows.filter(F.col("_moment") < bounds.select("last").scalar())
         slices = datetime_partitions(
             spark, source, F.col("first"), F.col("last"), step, "%Y-%m-%d", bounds=bounds
         )
@@ -283,7 +285,7 @@ def _slices_sql(source: str, moment: str, step: str, index: str) -> str:
     starts AS (SELECT unnest(generate_series(lo, hi - INTERVAL 1 MICROSECOND, INTERVAL {step})) AS slice_start, hi FROM bounds),
     slices AS (SELECT CAST(row_number() OVER (ORDER BY slice_start) - 1 AS INTEGER) AS n, slice_start,
                       least(slice_start + INTERVAL {step}, hi) AS slice_end FROM starts),
-    counts AS (SELECT CAST({index} AS INTEGER) AS n, count(*) AS records FROM {source}, bounds GROUP BY ALL)
+    counts AS (SELECT CAST({index} AS INTEGER) AS n, count(*) AS records FROM {source}, bounds WHERE {moment} < hi GROUP BY ALL)
     SELECT n || '_' || strftime(slice_start, '%Y-%m-%d') AS partition_id, slice_start, slice_end,
            strftime(slice_end, '%Y-%m-%d') AS end_text, COALESCE(records, 0) AS records
     FROM slices LEFT JOIN counts USING (n)

@@ -5,7 +5,6 @@ from .tables import (
     stream_path,
     transform_column,
     write_iceberg,
-    write_json_array,
     write_stream_table,
     write_transformed,
 )
@@ -17,7 +16,6 @@ __all__ = [
     "stream_path",
     "transform_column",
     "write_iceberg",
-    "write_json_array",
     "write_stream_table",
     "write_transformed",
 ]

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.conform import records_json
 from ..operators.dedup import latest_per_key, merge_latest
 from ..operators.incremental import max_cursor
 from ..session import staged
@@ -144,20 +143,6 @@ def _aligned(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.withColumns(absent).select(*sorted({*df.columns, *absent}))
 
 
-def write_json_array(df: DataFrame, path: str) -> None:
-    """One file with one JSON array, for small results on request only.
-
-    Everything else is written as JSON lines by ``write_stream_table(fmt='json')``,
-    which spreads over all executors; more than a million rows are refused here.
-    """
-    limit = 1_000_000
-    if df.limit(limit + 1).count() > limit:
-        raise ValueError("too many rows for one JSON array; write JSON lines")
-    rows = df.select(records_json(df).alias("row")).coalesce(1)
-    body = rows.agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("row")), F.lit("]")).alias("value"))
-    body.write.mode("overwrite").text(path)
-
-
 _TRANSFORM = re.compile(r"(identity|year|month|day|hour|bucket|truncate)(?:\[(\d+)\])?")
 _UNIX_EPOCH = "1970-01-01 00:00:00"
 
