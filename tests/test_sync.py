@@ -109,7 +109,7 @@ def test_a_failing_stream_does_not_stop_the_others(spark, pages, tmp_path):
     results, state = sync_all(landed, streams, empty_state(spark), str(tmp_path), "r1")
     assert {r.stream: r.status for r in results.collect()} == {"a": "FAILED", "b": "SUCCESS"}
     assert run_summary(results).first().status == "PARTIAL"
-    assert {(r.stream, r.cursor) for r in state.collect()} == {("b", "2024-01-01"), ("b", None)}
+    assert {(r.stream, r.partition_id, r.cursor) for r in state.collect()} == {("b", "p", "2024-01-01"), ("b", None, "2024-01-01")}
     stopped, _ = sync_all(landed, streams, empty_state(spark), str(tmp_path), "r2", fail_fast=True)
     assert stopped.count() == 1
 
@@ -131,8 +131,8 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     sync()
     assert sorted(r.id for r in read_stream_table(spark, out, "s").collect()) == [1, 2, 3]
     # The late row does not move the cursor back.
-    assert get_cursor(read_state(spark, str(tmp_path / "state")), "s") == "2024-01-02"
-    assert current_version(spark, str(tmp_path / "state")) == 1
+    assert get_cursor(read_state(spark, str(tmp_path / "state" / "s")), "s") == "2024-01-02"
+    assert current_version(spark, str(tmp_path / "state" / "s")) == 1
 
 
 def test_union_of_conflicting_columns(spark):

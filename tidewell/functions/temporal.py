@@ -116,7 +116,10 @@ def epoch_micros(moment: Column) -> Column:
 
 
 def cursor_text(cursor: Column, dtype: str) -> Column:
-    """A cursor value as the text kept in state, for a column of Spark type ``dtype``."""
+    """A cursor value as the text kept in state, for a column of Spark type ``dtype``; always in UTC."""
+    if dtype == "timestamp":
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        cursor = F.timestamp_add("MICROSECOND", F.unix_micros(cursor), epoch)
     if dtype in ("timestamp", "timestamp_ntz"):
         return F.date_format(cursor, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     if dtype == "date":

@@ -42,7 +42,10 @@ def merge_latest(existing: DataFrame, fresh: DataFrame, keys: list[str], order:
 
     kept = beaten(existing, fresh, lambda own, other: own < other)
     # Only the keys and order columns of the table are read to judge the fresh rows.
-    mine = existing.join(fresh.select(*keys).distinct(), keys, "left_semi").select(*dict.fromkeys(keys + order))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    mine = existing.join(fresh.select(*key_of), same, "left_semi").select(*dict.fromkeys(keys + order))
     added = beaten(fresh, mine, lambda own, other: own <= other)
     return kept.unionByName(added)
 

@@ -41,13 +41,13 @@ def newer_than_state(
     ``state`` holds one row per key with ``cursor`` as text. How the two are joined
     is left to the optimizer, which knows the size of the state.
     """
-    dtype = df.schema[field].dataType
+    dtype = df.select(field).schema[0].dataType
     text = F.col("cursor")
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         text = F.regexp_replace(text, "Z$", "")
     bound = text.cast(dtype)
     if lookback_seconds:
-        bound = bound - F.make_dt_interval(secs=F.lit(lookback_seconds))
+        bound = bound - (lookback_seconds if isinstance(dtype, T.NumericType) else F.make_dt_interval(secs=F.lit(lookback_seconds)))
     bounds = state.select(*keys, bound.alias("_bound"))
     joined = df.join(bounds, keys, "left")
     return joined.filter(F.col("_bound").isNull() | (F.col(field) > F.col("_bound"))).select(*df.columns)

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import extract_elements, path_string, path_variant
 from ..functions.text import link_url
+from ..session import staged
 from ..specs import Paging, Stop
+from .dedup import latest_per_key
 
 CHAIN = ["stream", "partition_id"]
 BLOCK = 4096  # pages per block of a running total
@@ -56,9 +58,41 @@ def page_signals(pages: DataFrame, paging: Paging, records_path: str | None = No
         total.alias("total"),
         hit.alias("field_hit"),
         F.nullif(onward, F.lit("")).alias("onward"),
+        *(["fetched_at"] if "fetched_at" in pages.columns else []),
+        fetch_id(pages).alias("fetch"),
     )
 
 
+def fetch_id(pages: DataFrame) -> Column:
+    """Tells the fetches of one page apart, by time and body."""
+    return F.xxhash64(*(["fetched_at"] if "fetched_at" in pages.columns else []), "body")
+
+
+def latest_signals(signals: DataFrame) -> DataFrame:
+    """One signal per page: the one of its last fetch."""
+    order = [c for c in ("fetched_at", "fetch") if c in signals.columns]
+    return latest_per_key(signals, [*CHAIN, "page_no"], order)
+
+
+def only_fetches(pages: DataFrame, signals: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``pages`` that are the ``kept`` fetches, each once.
+
+    ``signals`` are those of all pages. What moves is the list of fetches to drop; pages that landed twice alike are
+    the only ones whose bodies are compared.
+    """
+    key = [*CHAIN, "page_no", "fetch"]
+    drop = signals.select(*key).join(kept.select(*key), key, "left_anti").distinct()
+    twice = signals.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").join(kept.select(*key), key, "left_semi").drop("_n")
+    drop, twice = staged(drop, "drop"), staged(twice, "twice")
+    found = pages.withColumn("fetch", fetch_id(pages))
+    if drop.limit(1).count():
+        found = found.join(drop, key, "left_anti")
+    if twice.limit(1).count():
+        again = found.join(twice, key, "left_semi").dropDuplicates(key)
+        found = found.join(twice, key, "left_anti").unionByName(again)
+    return found.drop("fetch")
+
+
 def with_running_total(signals: DataFrame, value: str = "n_records", name: str = "fetched", block: int = BLOCK) -> DataFrame:
     """Add the total of ``value`` over a chain up to and including each page."""
     number = F.floor((F.col("page_no") - 1) / block)
@@ -126,6 +160,8 @@ def replay(signals: DataFrame, paging: Paging) -> DataFrame:
     needs_total = paging.stop is not None and paging.stop.kind == "total_count"
     if needs_total and paging.strategy in ("cursor", "offset", "page_number"):
         signals = with_running_total(signals)
+        if "records_before" in signals.columns:
+            signals = signals.withColumn("fetched", F.col("fetched") + F.col("records_before"))
     reason = stop_reason(paging)
     return signals.withColumn("stop_reason", reason).withColumn(
         "next", F.when(F.col("stop_reason").isNull(), next_params(paging))
@@ -152,6 +188,39 @@ def chain_ends(replayed: DataFrame) -> DataFrame:
     return totals.select(*CHAIN, "pages", "records", "last_page", "stop_page", "_last.stop_reason", "_last.next", status.alias("status"))
 
 
+def usable_ends(replayed: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """Per chain, how far it can be written: to its stop, and never past a missing or ``bad`` page.
+
+    ``replayed`` may have ``page_before``, the last page written by earlier runs (0 without). ``last_page`` is the last
+    usable page, NULL if there is none. ``status`` is ``complete`` where the stop is reached, ``gap`` where a page
+    is missing before it, ``open`` where more pages are to come. Everything is aggregates and joins of small rows.
+    """
+    start = F.coalesce("page_before", F.lit(0)) if "page_before" in replayed.columns else F.lit(0)
+    known = replayed.select(*CHAIN, "page_no", start.alias("_start"))
+    before = known.select(*CHAIN, (F.col("page_no") + 1).alias("page_no"))
+    holes = known.filter(F.col("page_no") > F.col("_start") + 1).join(before, [*CHAIN, "page_no"], "left_anti")
+    blocked = holes.select(*CHAIN, F.col("page_no").alias("_blocked"))
+    if bad is not None:
+        blocked = blocked.unionByName(bad.select(*CHAIN, F.col("page_no").alias("_blocked")))
+    blocked = blocked.groupBy(*CHAIN).agg(F.min("_blocked").alias("_blocked"))
+    ends = replayed.groupBy(*CHAIN).agg(
+        F.min(F.when(F.col("stop_reason").isNotNull(), F.col("page_no"))).alias("stop_page"),
+        F.max("page_no").alias("_greatest"),
+        F.max(start).alias("_start"),
+    )
+    ends = ends.join(blocked, CHAIN, "left")
+    last = F.least(F.coalesce("stop_page", "_greatest"), F.coalesce(F.col("_blocked") - 1, "_greatest"))
+    ends = ends.withColumn("last_page", F.when(last > F.col("_start"), last))
+    inside = replayed.join(ends.select(*CHAIN, "last_page"), CHAIN).filter(F.col("page_no") <= F.col("last_page"))
+    totals = inside.groupBy(*CHAIN).agg(F.count("*").alias("pages"), F.sum("n_records").alias("records"))
+    status = (
+        F.when(F.col("stop_page") <= F.col("last_page"), "complete").when(F.col("_blocked").isNotNull(), "gap").otherwise("open")
+    )
+    return ends.join(totals, CHAIN, "left").select(
+        *CHAIN, "stop_page", "last_page", F.coalesce("pages", F.lit(0)).alias("pages"), F.coalesce("records", F.lit(0)).alias("records"), status.alias("status")
+    )
+
+
 def keep_pages(pages: DataFrame, ends: DataFrame) -> DataFrame:
     """The pages up to the end of their chain. ``pages`` may carry bodies: only the ends move."""
     stops = ends.select(*CHAIN, F.col("stop_page").alias("_stop"))
@@ -206,13 +275,17 @@ __all__ = [
     "cap_pages",
     "chain_breaks",
     "chain_ends",
+    "fetch_id",
     "keep_pages",
+    "latest_signals",
     "missing_pages",
     "next_params",
     "offset_requests",
+    "only_fetches",
     "page_signals",
     "record_positions",
     "replay",
     "stop_reason",
+    "usable_ends",
     "with_running_total",
 ]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import matching_paths, path_exists, remove_path
+
 STATE_SCHEMA = "stream string, partition_id string, cursor string, completed boolean"
+# How far an open chain has been written; not every state has it.
+PROGRESS = {"page": "int", "records": "bigint"}
+FULL_SCHEMA = STATE_SCHEMA + "".join(f", {name} {kind}" for name, kind in PROGRESS.items())
 KEY = ["stream", "partition_id"]
 
 
@@ -25,18 +29,20 @@ def cursor_updates(rows: DataFrame) -> DataFrame:
         partition.cast("string").alias("partition_id"),
         cursor.cast("string").alias("cursor"),
         completed.cast("boolean").alias("completed"),
+        *[F.col(name).cast(kind).alias(name) for name, kind in PROGRESS.items() if name in rows.columns],
     )
 
 
 def upsert_state(state: DataFrame, updates: DataFrame) -> DataFrame:
-    """State with updates applied; a NULL cursor or flag in an update keeps the old one."""
-    both = state.withColumn("_n", F.lit(0)).unionByName(cursor_updates(updates).withColumn("_n", F.lit(1)))
+    """State with updates applied; a NULL cursor, flag or progress in an update keeps the old one."""
+    both = state.withColumn("_n", F.lit(0)).unionByName(cursor_updates(updates).withColumn("_n", F.lit(1)), allowMissingColumns=True)
+    progress = [name for name in PROGRESS if name in both.columns]
 
     def newest(name: str):
         return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("_n"))).alias(name)
 
-    merged = both.groupBy(*KEY).agg(newest("cursor"), newest("completed"))
-    return merged.select(*KEY, "cursor", F.coalesce("completed", F.lit(False)).alias("completed"))
+    merged = both.groupBy(*KEY).agg(newest("cursor"), newest("completed"), *[newest(name) for name in progress])
+    return merged.select(*KEY, "cursor", F.coalesce("completed", F.lit(False)).alias("completed"), *progress)
 
 
 def mark_completed(state: DataFrame, partitions: DataFrame) -> DataFrame:
@@ -59,12 +65,13 @@ def clear_state(state: DataFrame, stream: str | None = None) -> DataFrame:
 
 def state_lines(state: DataFrame) -> DataFrame:
     """One JSON line per state row: the form that scales with the number of partitions."""
-    return state.select("stream", F.to_json(F.struct(*KEY, "cursor", "completed"), {"ignoreNullFields": "false"}).alias("line"))
+    fields = [*KEY, "cursor", "completed", *[name for name in PROGRESS if name in state.columns]]
+    return state.select("stream", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("line"))
 
 
-def parse_state_lines(lines: DataFrame, column: str = "line") -> DataFrame:
-    """State rows from JSON lines."""
-    return lines.select(F.from_json(column, STATE_SCHEMA).alias("_s")).select("_s.*")
+def parse_state_lines(lines: DataFrame, column: str = "line", progress: bool = False) -> DataFrame:
+    """State rows from JSON lines, on request with the progress of open chains."""
+    return lines.select(F.from_json(column, FULL_SCHEMA if progress else STATE_SCHEMA).alias("_s")).select("_s.*")
 
 
 def export_state(state: DataFrame) -> DataFrame:
@@ -118,14 +125,17 @@ def publish_state(state: DataFrame, folder: str, version: int) -> None:
     state.write.mode("overwrite").parquet(f"{folder}/versions/{version:010d}")
     commit = spark.createDataFrame([(version,)], "version bigint").coalesce(1)
     commit.write.mode("append").json(f"{folder}/commits")
+    # The version before stays, for readers that opened it.
+    for old in matching_paths(spark, f"{folder}/versions/*"):
+        if int(old.rsplit("/", 1)[1]) < version - 1:
+            remove_path(spark, old)
 
 
 def current_version(spark: SparkSession, folder: str) -> int | None:
     """The number of the last committed version, or None."""
-    try:
-        commits = spark.read.schema("version bigint").json(f"{folder}/commits")
-    except AnalysisException:
+    if not path_exists(spark, f"{folder}/commits"):
         return None
+    commits = spark.read.schema("version bigint").json(f"{folder}/commits")
     return commits.agg(F.max("version")).first()[0]
 
 
@@ -134,4 +144,4 @@ def read_state(spark: SparkSession, folder: str) -> DataFrame:
     version = current_version(spark, folder)
     if version is None:
         return empty_state(spark)
-    return spark.read.schema(T.StructType.fromDDL(STATE_SCHEMA)).parquet(f"{folder}/versions/{version:010d}")
+    return spark.read.schema(T.StructType.fromDDL(FULL_SCHEMA)).parquet(f"{folder}/versions/{version:010d}")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,20 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import conform
-from ..operators.errors import TooManyErrors, check_errors, good_records
-from ..operators.incremental import max_cursor, newer_than
-from ..operators.paging import (
-    CHAIN,
-    chain_ends,
-    keep_pages,
-    page_signals,
-    record_positions,
-    replay,
-)
+from ..operators.errors import TooManyErrors, bad_records, check_errors, good_records, retry_worklist
+from ..operators.incremental import max_cursor, newer_than, newer_than_state, slice_cursors
+from ..operators.paging import CHAIN, latest_signals, only_fetches, page_signals, record_positions, replay, usable_ends
 from ..operators.schema import quick_table_schema
-from ..operators.state import STATE_SCHEMA, cursor_updates, get_cursor, upsert_state
-from ..session import staged
-from ..sinks.tables import append_dedup, write_stream_table
+from ..operators.state import PROGRESS, STATE_SCHEMA, cursor_updates, empty_state, get_cursor, upsert_state
+from ..session import path_exists, staged
+from ..sinks.tables import PARTITION, append_dedup, stream_path, write_stream_table
 from ..sources.decode import decode_pages
 from ..sources.pages import page_outcome
 from ..specs import StreamSpec, SyncSpec, TableSpec
@@ -38,7 +32,11 @@ from ..specs import StreamSpec, SyncSpec, TableSpec
 
 @dataclass
 class SyncResult:
-    """What a run did with one stream; ``updates`` are the state rows it adds."""
+    """What a run did with one stream; ``updates`` are the state rows it adds.
+
+    ``partitions`` has the status, pages and records of every chain, ``bad`` the records that could not be read, and
+    ``refetch`` the pages to fetch again.
+    """
 
     stream: str
     status: str
@@ -47,6 +45,18 @@ class SyncResult:
     state: DataFrame
     updates: DataFrame | None = None
     error: str | None = None
+    partitions: DataFrame | None = None
+    bad: DataFrame | None = None
+    refetch: DataFrame | None = None
+
+
+@dataclass
+class Landed:
+    """The records of the pages that count, how far each chain goes, and what decides it."""
+
+    records: DataFrame
+    ends: DataFrame
+    pages: DataFrame
 
 
 def _write(
@@ -70,8 +80,11 @@ def _write(
     metrics = [F.count(F.lit(1)).alias("rows")]
     if cursor:
         metrics.append(max_cursor(df, cursor, floor=floor).alias("cursor"))
-    append_dedup(df.observe(seen, *metrics), base, stream, list(keys), [cursor] if cursor else [], sync.buckets)
-    return {"rows": seen.get["rows"], "cursor": seen.get.get("cursor")}
+    append_dedup(
+        df.observe(seen, *metrics), base, stream, list(keys), [cursor] if cursor else [], sync.buckets, run_id, options.get("check")
+    )
+    path = f"{stream_path(base, stream)}/batch=b-{quote(run_id, safe='')}"
+    return {"rows": seen.get["rows"], "cursor": seen.get.get("cursor"), "path": path if path_exists(df.sparkSession, path) else None}
 
 
 def sync_table(
@@ -98,27 +111,56 @@ def _cursor_row(spark: SparkSession, stream: str, cursor: str | None) -> DataFra
     return spark.createDataFrame(rows, STATE_SCHEMA)
 
 
-def landed_records(pages: DataFrame, spec: StreamSpec, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The decoded records of the pages that count, and the replayed chains.
+def _slices_of(state: DataFrame, stream: str) -> DataFrame:
+    """The state of a stream's chains; the state without a partition is that of the chain with the empty name."""
+    mine = state.filter(F.col("stream") == stream).withColumn("partition_id", F.coalesce("partition_id", F.lit("")))
+    for name, kind in PROGRESS.items():
+        if name not in mine.columns:
+            mine = mine.withColumn(name, F.lit(None).cast(kind))
+    return mine
+
+
+def landed(
+    pages: DataFrame, spec: StreamSpec, state: DataFrame | None = None, bad: DataFrame | None = None, signals: DataFrame | None = None
+) -> Landed:
+    """The decoded records of the pages that count.
 
-    Pages of completed partitions and pages that did not succeed are left out. Streams
-    without partitions are one chain with an empty name. The chain ends, one small row
-    per chain, are staged: the schema pass, the write and the state all need them.
+    Left out are pages of completed partitions, pages that did not succeed, all but the last fetch of a page, pages
+    that earlier runs have written, and pages past a stop, a missing page or a ``bad`` one. Streams without
+    partitions are one chain with an empty name. All that is decided on one small row per page, staged once;
+    bodies are read once for these and once for the records.
     """
+    spark = pages.sparkSession
     ok = pages.filter((F.col("stream") == spec.name) & (page_outcome(F.col("status")) == "ok"))
     ok = ok.withColumn("partition_id", F.coalesce("partition_id", F.lit("")))
+    mine = _slices_of(state if state is not None else empty_state(spark), spec.name)
     if state is not None:
-        done = state.filter("completed").select(*CHAIN)
-        ok = ok.join(done, CHAIN, "left_anti")
-    replayed = replay(page_signals(ok, spec.paging, spec.records_path), spec.paging)
-    ends = staged(chain_ends(replayed), "ends")
-    kept = keep_pages(ok, ends).drop("_stop")
-    records = decode_pages(kept, spec.fmt, spec.records_path, **spec.decode_options)
+        ok = ok.join(mine.filter("completed").select(*CHAIN), CHAIN, "left_anti")
+    if signals is None:
+        signals = staged(page_signals(ok, spec.paging, spec.records_path), "signals")
+    written = mine.select(*CHAIN, F.col("page").alias("page_before"), F.coalesce("records", F.lit(0)).alias("records_before"))
+    fresh = latest_signals(signals).join(written, CHAIN, "left").fillna(0, ["page_before", "records_before"])
+    replayed = replay(fresh.filter(F.col("page_no") > F.col("page_before")), spec.paging)
+    ends = staged(usable_ends(replayed, bad), "ends")
+    inside = replayed.join(ends.select(*CHAIN, "last_page"), CHAIN).filter(F.col("page_no") <= F.col("last_page"))
     if spec.max_records:
-        before = record_positions(replayed)
-        records = records.join(before, [*CHAIN, "page_no"])
-        records = records.filter(F.col("before") + F.col("pos") < spec.max_records).drop("before")
-    return records, ends
+        before = record_positions(replayed if "fetched" not in replayed.columns else replayed.drop("fetched"))
+        inside = inside.join(before, [*CHAIN, "page_no"]).withColumn("_room", spec.max_records - F.col("before") - F.col("records_before"))
+        inside = inside.filter("_room > 0")
+    inside = staged(inside, "inside")
+    records = decode_pages(only_fetches(ok, signals, inside), spec.fmt, spec.records_path, **spec.decode_options)
+    if spec.max_records:
+        # Only the last page of a chain is cut.
+        cut = inside.filter(F.col("_room") < F.col("n_records")).select(*CHAIN, "page_no", "_room")
+        records = records.join(cut, [*CHAIN, "page_no"], "left")
+        records = records.filter(F.col("_room").isNull() | (F.col("pos") < F.col("_room"))).drop("_room")
+    return Landed(records, ends, signals)
+
+
+def landed_records(pages: DataFrame, spec: StreamSpec, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The records of ``landed`` and the ends of its chains."""
+    found = landed(pages, spec, state)
+    return found.records, found.ends
 
 
 def sync_landed(
@@ -133,28 +175,76 @@ def sync_landed(
 ) -> SyncResult:
     """Sync a stream from landed pages: replay, decode, conform, filter, write, and update state.
 
-    Without a ``schema`` a first pass infers it. Completed chains are marked in the state.
+    Every partition has its own cursor and its own progress: a late partition is read in full, a chain with
+    a hole is written up to the hole and goes on when the page lands, an open chain goes on after the last page written,
+    and only chains written to their stop are marked completed. Without a ``schema`` a first pass infers it. With
+    ``skip`` bad records are left out and handed on; with ``retry`` a chain ends before its first page with a bad
+    record, and those pages are handed on to be fetched again. Too many bad records fail the run before anything is written.
     """
     sync = sync or SyncSpec()
-    records, ends = landed_records(pages, spec, state)
+    found = landed(pages, spec, state)
+    bad = refetch = None
+    if sync.error_strategy == "retry":
+        refetch = staged(retry_worklist(found.records), "refetch")
+        if refetch.limit(1).count():
+            found = landed(pages, spec, state, refetch, found.pages)
+    elif sync.error_strategy == "skip":
+        bad = bad_records(found.records)
+    records, ends = found.records, found.ends
     if schema is None:
         schema = quick_table_schema(records)
     watch = Observation()
-    good = good_records(records, sync.error_strategy, watch)
-    typed = conform(good.select("record"), schema)
-    cursor = get_cursor(state, spec.name) if spec.cursor_field and sync.sync_mode == "incremental" else None
-    rows = newer_than(typed, spec.cursor_field, cursor) if cursor else typed
+    good = good_records(records, sync.error_strategy, watch).select(F.col("partition_id").alias(PARTITION), "record")
+    if sync.error_strategy == "fail":
+        # Counting the records has each looked at, also where no column of the schema needs it.
+        good = good.observe(watch, F.count("record").alias("records"))
+    typed = conform(good, schema)
+    mine = _slices_of(state, spec.name)
+    incremental = bool(spec.cursor_field) and sync.sync_mode == "incremental"
+    rows = typed
+    if incremental:
+        bounds = mine.filter("cursor IS NOT NULL").select(F.col("partition_id").alias(PARTITION), "cursor")
+        rows = newer_than_state(typed, bounds, [PARTITION], spec.cursor_field)
+    floor = get_cursor(state, spec.name) if incremental else None
+    check = None if sync.error_strategy == "fail" else lambda: check_errors(watch.get["errors"], sync.max_errors)
     try:
-        done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, spec.cursor_field, cursor, **write_options)
-        if sync.error_strategy != "fail":
-            check_errors(watch.get["errors"], sync.max_errors)
+        done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, spec.cursor_field, floor, check=check, **write_options)
     except TooManyErrors as error:
-        return SyncResult(spec.name, "FAILED", 0, cursor, state, error=str(error))
-    new_cursor = done["cursor"] or cursor
-    complete = ends.filter("status = 'complete' AND partition_id <> ''")
-    marks = cursor_updates(complete.select("stream", "partition_id", F.lit(True).alias("completed")))
-    updates = marks.unionByName(_cursor_row(pages.sparkSession, spec.name, new_cursor))
-    return SyncResult(spec.name, "SUCCESS", done["rows"], new_cursor, upsert_state(state, updates), updates)
+        return SyncResult(spec.name, "FAILED", 0, floor, state, error=str(error), partitions=_outcomes(ends, "failed"), bad=bad, refetch=refetch)
+    new_cursor = done["cursor"] or floor
+    updates = _progress(ends, mine)
+    if spec.cursor_field and done["path"]:
+        stored = pages.sparkSession.read.format(write_options.get("fmt", "parquet")).load(done["path"])
+        per = slice_cursors(stored, [PARTITION], spec.cursor_field).filter(f"{PARTITION} <> ''")
+        cursors = per.select(F.lit(spec.name).alias("stream"), F.col(PARTITION).alias("partition_id"), "cursor")
+        updates = upsert_state(updates, cursor_updates(cursors))
+    updates = staged(updates.unionByName(_cursor_row(pages.sparkSession, spec.name, new_cursor), allowMissingColumns=True), "updates")
+    return SyncResult(
+        spec.name, "SUCCESS", done["rows"], new_cursor, upsert_state(state, updates), updates, None, _outcomes(ends), bad, refetch
+    )
+
+
+def _progress(ends: DataFrame, mine: DataFrame) -> DataFrame:
+    """State rows of the chains: marks of completed partitions, and how far the others are written.
+
+    A chain without a partition starts anew once it has reached its stop.
+    """
+    whole = F.col("partition_id") == ""
+    complete = F.col("status") == "complete"
+    before = mine.select(*CHAIN, F.coalesce("records", F.lit(0)).alias("_before"))
+    rows = ends.join(before, CHAIN, "left").filter("last_page IS NOT NULL")
+    return rows.select(
+        "stream",
+        F.when(~whole, F.col("partition_id")).alias("partition_id"),
+        F.lit(None).cast("string").alias("cursor"),
+        F.when(~whole, complete).alias("completed"),
+        F.when(whole & complete, 0).otherwise(F.col("last_page")).cast("int").alias("page"),
+        F.when(whole & complete, 0).otherwise(F.col("records") + F.coalesce("_before", F.lit(0))).cast("bigint").alias("records"),
+    )
+
+
+def _outcomes(ends: DataFrame, status: str | None = None) -> DataFrame:
+    return ends.select(*CHAIN, "pages", "records", (F.lit(status) if status else F.col("status")).alias("status"))
 
 
 def sync_all(
@@ -176,7 +266,7 @@ def sync_all(
     for spec, sync in streams:
         try:
             done = sync_landed(pages, spec, state, base, run_id, sync, **write_options)
-        except PySparkException as error:
+        except (PySparkException, ValueError) as error:
             done = SyncResult(spec.name, "FAILED", 0, None, state, None, str(error).splitlines()[0])
         rows.append((done.stream, done.status, done.records, done.cursor, done.error))
         if done.updates is not None:
@@ -187,5 +277,5 @@ def sync_all(
         rows, "stream string, status string, records_synced bigint, cursor string, error string"
     )
     if updates:
-        state = upsert_state(state, reduce(DataFrame.unionByName, updates))
+        state = upsert_state(state, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), updates))
     return results, state

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.state import empty_state, read_state, upsert_state
 from ..plans.sync import sync_landed, sync_table
 from ..session import scratch_path
-from ..sinks.tables import append_dedup, read_stream_table, transform_column, write_stream_table, write_transformed
+from ..sinks.tables import append_dedup, read_merged, read_stream_table, transform_column, write_stream_table, write_transformed
 from ..specs import Paging, Stop, StreamSpec, SyncSpec, TableSpec
 from ..streaming.landed import drop_repeats, stream_sync
 from .common import PER_PAGE, Query, envelope, ntz, packed, table
@@ -43,7 +43,7 @@ def landed_sync(spark, folder):
     )
     base = scratch_path(spark, "landed")
     sync_landed(pages, spec, empty_state(spark), base, "run-1", SyncSpec(write_mode="append_dedup", buckets=16))
-    return spark.read.parquet(f"{base}/orders").select("o_custkey", "o_orderkey", "o_totalprice", "day")
+    return read_merged(spark, base, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "day")
 
 
 def merged_table(spark, folder):
@@ -102,7 +102,7 @@ def streamed_sync(spark, folder):
         cursor_field="event_id",
         state_folder=f"{base}/state",
     )
-    state = read_state(spark, f"{base}/state").select(F.col("stream"), F.col("cursor").cast("bigint").alias("state_cursor"))
+    state = read_state(spark, f"{base}/state/events").select(F.col("stream"), F.col("cursor").cast("bigint").alias("state_cursor"))
     rows = read_stream_table(spark, f"{base}/out", "events").withColumn("stream", F.lit("events"))
     return rows.join(state, "stream").select("event_id", "user_id", "event_type", "value", "state_cursor")
 
@@ -112,7 +112,7 @@ def streamed_merge(spark, folder):
     stream_sync(
         _event_stream(spark, folder), "events", f"{base}/out", f"{base}/checkpoint", "2024-01-31", keys=["user_id"], order=["ts", "event_id"]
     )
-    return spark.read.parquet(f"{base}/out/events").drop("bucket")
+    return read_merged(spark, f"{base}/out", "events").drop("bucket")
 
 
 def streamed_repeats(spark, folder):
@@ -125,7 +125,7 @@ def streamed_repeats(spark, folder):
 
 
 def completed_state(spark, folder):
-    """State after a landed sync: every complete chain is marked, the stream has its cursor."""
+    """State after a landed sync: every complete chain is marked and has its cursor, as has the stream."""
     rows = table(spark, folder, "events").select("event_id", "user_id", "event_type")
     pages = envelope(packed(rows, "events", "event_id")).withColumns({"status": F.lit(200), "headers": F.create_map().cast("map<string,string>")})
     spec = StreamSpec("events", "json", "data", Paging("none"), cursor_field="event_id")
@@ -162,8 +162,8 @@ QUERIES = {
     "sync_completed_state": Query(
         completed_state,
         """
-        SELECT 'events' AS stream, 'p' || (event_id // 20000) AS partition_id, CAST(NULL AS VARCHAR) AS "cursor", true AS completed
-        FROM events GROUP BY ALL
+        SELECT 'events' AS stream, 'p' || (event_id // 20000) AS partition_id, CAST(max(event_id) AS VARCHAR) AS "cursor", true AS completed
+        FROM events WHERE (event_id // 500) % 40 = 0 GROUP BY ALL
         UNION ALL
         SELECT 'events', '-', CAST(max(event_id) AS VARCHAR), false FROM events WHERE (event_id // 500) % 40 = 0
         """,

@@ -52,3 +52,35 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _files(spark, path)
+    return files.exists(where)
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern, sorted."""
+    files, where = _files(spark, pattern)
+    return sorted(str(s.getPath().toString()) for s in files.globStatus(where) or [])
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    files, where = _files(spark, path)
+    files.delete(where, True)
+
+
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of another."""
+    files, new = _files(spark, source)
+    _, old = _files(spark, target)
+    files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(new, old):
+        raise OSError(f"cannot move {source} to {target}")

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from datetime import UTC, datetime
 from typing import Any
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import latest_per_key, merge_latest
+from ..operators.dedup import latest_per_key
 from ..operators.incremental import max_cursor
-from ..session import staged
+from ..session import matching_paths, path_exists, remove_path, replace_path
+
+# The chain that a landed row came from; stored with it for cursors per partition, hidden from readers.
+PARTITION = "_partition"
 
 # The compression names that are accepted for Parquet.
 COMPRESSION = ("snappy", "zstd", "gzip", "none")
@@ -62,15 +67,19 @@ def write_stream_table(
     mode: str = "append",
     allow_empty: bool = True,
     options: Mapping[str, Any] | None = None,
+    check: Callable[[], None] | None = None,
 ) -> dict[str, Any]:
-    """Write to ``{stream}/dt=…/run_id=…`` and return the row count and new cursor.
+    """Write to ``{stream}/dt=…/run_id=…`` and return the row count, the new cursor and the slice's path.
 
-    Both are observed in the job that writes, so the source is scanned once. A run
-    overwrites its own slice only: repeating it after a failure gives the same table.
-    ``mode='overwrite'`` replaces the whole stream.
+    Both are observed in the job that writes, so the source is scanned once. Rows are written
+    aside and put in place only once they are complete, ``check`` has passed and there are some if
+    there must be: a run that fails leaves the table as it was. A run replaces its own slice only, and keeps the date
+    of its first attempt: repeating it gives the same table on any day. ``mode='overwrite'`` replaces the whole
+    stream, the new slice first.
     """
     if fmt == "parquet" and compression not in COMPRESSION:
         raise ValueError(f"unknown compression: {compression}")
+    spark, path = df.sparkSession, stream_path(base, stream)
     seen = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
     if cursor_field:
@@ -78,17 +87,32 @@ def write_stream_table(
     watched = df.observe(seen, *metrics)
     if sort and cursor_field:
         watched = watched.sortWithinPartitions(cursor_field)
-    dated = watched.withColumns({"dt": F.lit(run_date or utc_date()), "run_id": F.lit(run_id)})
-    writer = dated.write.format(fmt).mode("overwrite").partitionBy("dt", "run_id")
-    writer = writer.option("partitionOverwriteMode", "static" if mode == "overwrite" else "dynamic")
-    writer = writer.options(**(options or {}))
+    writer = watched.write.format(fmt).mode("overwrite").options(**(options or {}))
     if fmt == "parquet":
         writer = writer.option("compression", "uncompressed" if compression == "none" else compression)
-    writer.save(stream_path(base, stream))
-    found = seen.get
-    if not found["rows"] and not allow_empty:
-        raise EmptyInput(f"no rows for stream {stream!r}")
-    return {"rows": found["rows"], "cursor": found.get("cursor")}
+    run = quote(run_id, safe="")
+    aside = f"{path}/_staged/{run}"
+    try:
+        writer.save(aside)
+        found = seen.get
+        if check:
+            check()
+        if not found["rows"] and not allow_empty:
+            raise EmptyInput(f"no rows for stream {stream!r}")
+    except Exception:
+        remove_path(spark, aside)
+        raise
+    earlier = matching_paths(spark, f"{path}/dt=*/run_id={run}")
+    date = run_date or (re.search(r"/dt=([^/]+)/", earlier[0])[1] if earlier else utc_date())
+    target = f"{path}/dt={date}/run_id={run}"
+    if found["rows"]:
+        replace_path(spark, aside, target)
+    else:
+        remove_path(spark, aside)
+    for other in matching_paths(spark, f"{path}/dt=*/run_id=*") if mode == "overwrite" else earlier:
+        if not (found["rows"] and other.endswith(f"/dt={date}/run_id={run}")):
+            remove_path(spark, other)
+    return {"rows": found["rows"], "cursor": found.get("cursor"), "path": target if found["rows"] else None}
 
 
 def read_stream_table(spark: SparkSession, base: str, stream: str, fmt: str = "parquet") -> DataFrame:
@@ -96,40 +120,84 @@ def read_stream_table(spark: SparkSession, base: str, stream: str, fmt: str = "p
     reader = spark.read.format(fmt)
     if fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
-    return reader.load(stream_path(base, stream))
+    return reader.load(stream_path(base, stream)).drop(PARTITION)
 
 
 def append_dedup(
-    fresh: DataFrame, base: str, stream: str, keys: list[str], order: list[str], buckets: int = 64
+    fresh: DataFrame,
+    base: str,
+    stream: str,
+    keys: list[str],
+    order: list[str],
+    buckets: int = 64,
+    batch: str | None = None,
+    check: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """Merge rows into a table that has one row per key, the latest winning.
-
-    The table is cut into ``bucket`` folders by a hash of the key. Only buckets that
-    the fresh rows touch are read and rewritten; the list of touched buckets is at
-    most ``buckets`` numbers long. The bucket count of a table is fixed at its start.
+    """Merge rows into a table that has one row per key, the latest winning; NULL keys are keys like others.
 
-    The folded fresh rows are staged in the shared folder: they are used several times,
-    and as files their size is known when the joins with the table are planned.
+    A merge writes its own rows only, folded, in ``batch=…/bucket=…`` folders by a hash of the key; nothing that is
+    there is touched. Readers fold the batches (``read_merged``), and ``compact`` does so for good. Keys, order and
+    bucket count belong to the table: others are refused. A batch is put in place when it is complete
+    and ``check`` has passed; repeating it replaces it.
     """
     spark, path = fresh.sparkSession, stream_path(base, stream)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    keys = [*keys, "bucket"]
-    placed = _tied(fresh.withColumn("bucket", bucket))
-    fresh = staged(latest_per_key(placed, keys, [*order, "_tie"]).drop("_tie"), "fresh")
+    layout = {"keys": list(keys), "order": list(order), "buckets": buckets}
+    known = merge_layout(spark, base, stream)
+    if known is None:
+        text = spark.createDataFrame([(json.dumps(layout),)], "value string").coalesce(1)
+        text.write.mode("overwrite").text(f"{path}/_layout")
+    elif known != layout:
+        raise ValueError(f"the table of {stream!r} has {known}, not {layout}")
+    placed = _tied(fresh.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
+    folded = latest_per_key(placed, [*keys, "bucket"], [*order, "_tie"]).drop("_tie")
+    name = quote(batch or uuid.uuid4().hex, safe="")
+    aside = f"{path}/_staged/{name}"
     try:
-        table = spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
-        merged = fresh
+        # Small buckets share a task and large ones are split over several, by their size at run time.
+        folded.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(aside)
+        if check:
+            check()
+    except Exception:
+        remove_path(spark, aside)
+        raise
+    if matching_paths(spark, f"{aside}/bucket=*"):
+        replace_path(spark, aside, f"{path}/batch=b-{name}")
     else:
-        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
-        old = table.filter(F.col("bucket").isin(*touched)) if touched else table.limit(0)
-        old, fresh = _aligned(old, fresh), _aligned(fresh, old)
-        merged = merge_latest(_tied(old), _tied(fresh), keys, [*order, "_tie"]).drop("_tie")
-    # Small buckets share a task and large ones are split over several, by their size at run time.
-    rebalanced = merged.hint("rebalance", F.col("bucket"))
-    writer = rebalanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("bucket").parquet(path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+        remove_path(spark, aside)
+        remove_path(spark, f"{path}/batch=b-{name}")
+    if not matching_paths(spark, f"{path}/batch=*"):
+        return folded.limit(0)
+    return read_merged(spark, base, stream)
+
+
+def merge_layout(spark: SparkSession, base: str, stream: str) -> dict[str, Any] | None:
+    """Keys, order and bucket count of a merge table; None if there is none."""
+    path = f"{stream_path(base, stream)}/_layout"
+    return json.loads(spark.read.text(path).first().value) if path_exists(spark, path) else None
+
+
+def read_merged(spark: SparkSession, base: str, stream: str) -> DataFrame:
+    """The rows of a merge table: the latest of all batches per key. A single batch is read as it is."""
+    path = stream_path(base, stream)
+    table = spark.read.option("mergeSchema", "true").parquet(path).drop("batch")
+    if len(matching_paths(spark, f"{path}/batch=*")) == 1:
+        return table.drop(PARTITION)
+    layout = merge_layout(spark, base, stream)
+    return latest_per_key(_tied(table), [*layout["keys"], "bucket"], [*layout["order"], "_tie"]).drop("_tie", PARTITION)
+
+
+def compact(spark: SparkSession, base: str, stream: str) -> None:
+    """Fold all batches of a merge table into one. A crash in between leaves rows that fold to the same table."""
+    path = stream_path(base, stream)
+    before = matching_paths(spark, f"{path}/batch=*")
+    if len(before) < 2:
+        return
+    name = uuid.uuid4().hex
+    folded = read_merged(spark, base, stream)
+    folded.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{path}/_staged/{name}")
+    replace_path(spark, f"{path}/_staged/{name}", f"{path}/batch=c-{name}")
+    for old in before:
+        remove_path(spark, old)
 
 
 def _tied(df: DataFrame) -> DataFrame:
@@ -137,12 +205,6 @@ def _tied(df: DataFrame) -> DataFrame:
     return df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]))
 
 
-def _aligned(df: DataFrame, other: DataFrame) -> DataFrame:
-    """``df`` with the columns it lacks next to ``other`` as NULLs, columns by name."""
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in df.columns}
-    return df.withColumns(absent).select(*sorted({*df.columns, *absent}))
-
-
 _TRANSFORM = re.compile(r"(identity|year|month|day|hour|bucket|truncate)(?:\[(\d+)\])?")
 _UNIX_EPOCH = "1970-01-01 00:00:00"
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.incremental import max_cursor
@@ -29,28 +29,31 @@ def stream_sync(
     state_folder: str | None = None,
     keys: list[str] | None = None,
     order: list[str] | None = None,
+    buckets: int = 64,
 ) -> None:
     """Run a stream until everything that has landed is written, then stop.
 
     Every micro-batch writes its own slice, named by its number, and then publishes
-    the state under the same number. A batch that is repeated after a failure
-    overwrites both, so rows are neither lost nor doubled. With ``keys`` the batch is
+    the state in the stream's own folder under ``state_folder``. A batch that is repeated after a failure
+    replaces its slice, and a cursor never moves back, so rows are neither lost nor doubled. With ``keys`` the batch is
     merged into a table of the latest row per key instead.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         rows = transform(batch) if transform else batch
         if keys:
-            found = rows.agg(max_cursor(rows, cursor_field).alias("cursor")).first() if cursor_field else None
-            append_dedup(rows, base, name, keys, order or [cursor_field])
-            cursor = found.cursor if found else None
+            seen = Observation()
+            if cursor_field:
+                rows = rows.observe(seen, max_cursor(rows, cursor_field).alias("cursor"))
+            append_dedup(rows, base, name, keys, order or [cursor_field], buckets, f"batch-{number:010d}")
+            cursor = seen.get["cursor"] if cursor_field else None
         else:
             done = write_stream_table(
                 rows, base, name, f"batch-{number:010d}", run_date=run_date, cursor_field=cursor_field
             )
             cursor = done["cursor"]
         if state_folder and cursor is not None:
-            _advance(batch.sparkSession, state_folder, name, cursor, number)
+            _advance(batch.sparkSession, f"{state_folder}/{name}", name, cursor)
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -61,15 +64,13 @@ def stream_sync(
     query.awaitTermination()
 
 
-def _advance(spark: SparkSession, folder: str, name: str, cursor: str, number: int) -> None:
-    """Publish the cursor of a batch, once; a cursor never moves back."""
+def _advance(spark: SparkSession, folder: str, name: str, cursor: str) -> None:
+    """Publish the cursor of a batch in the stream's own line of versions; it never moves back, so repeats do no harm."""
     version = current_version(spark, folder)
-    if version is not None and version >= number:
-        return
     state = read_state(spark, folder)
     update = spark.createDataFrame([(name, cursor)], "stream string, cursor string")
     old = state.filter(F.col("stream") == name).select("stream", "cursor")
     # Numbers compare as numbers, everything else as text.
     rank = F.struct(F.col("cursor").try_cast("decimal(38,9)"), F.col("cursor"))
     best = update.unionByName(old).groupBy("stream").agg(F.max_by("cursor", rank).alias("cursor"))
-    publish_state(upsert_state(state, best), folder, number)
+    publish_state(upsert_state(state, best), folder, 0 if version is None else version + 1)
