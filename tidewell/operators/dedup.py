@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_CUTS = 1024
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order``, NULLs lowest.
 
@@ -66,10 +69,23 @@ def cap_per_group(
     return first.withColumn("_rank", F.row_number().over(whole)).filter(F.col("_rank") <= limit).select(*df.columns)
 
 
-def block_width(df: DataFrame, order: str, rows: int = 100_000) -> int:
-    """How many values of an integer column hold ``rows`` rows on average."""
-    found = df.agg(F.min(order).alias("low"), F.max(order).alias("high"), F.count(order).alias("n")).first()
-    return max(1, (found.high - found.low + 1) * rows // found.n) if found.n else 1
+def blocks_of(df: DataFrame, order: str, rows: int = 100_000) -> Column:
+    """The block of ``order`` each row is in, growing with it; about ``rows`` rows share a block.
+
+    Blocks are cut at approximate quantiles, so neither a far outlier nor a dense stretch makes one block of many.
+    At most ``MAX_CUTS`` cuts are taken to the driver; of more rows a block holds more.
+    """
+    cuts = max(1, min(MAX_CUTS, df.count() // rows))
+    points = df.approxQuantile(order, [i / cuts for i in range(1, cuts)], 1 / (4 * cuts)) if cuts > 1 else []
+    points = sorted({int(p) for p in points})
+
+    def halved(some: list[int], first: int) -> Column:
+        if not some:
+            return F.lit(first)
+        mid = len(some) // 2
+        return F.when(F.col(order) < some[mid], halved(some[:mid], first)).otherwise(halved(some[mid + 1 :], first + mid + 1))
+
+    return halved(points, 0)
 
 
 def with_positions(
@@ -80,9 +96,9 @@ def with_positions(
     The column is cut into blocks of ``width`` values. Blocks are counted, the
     counts are summed along the group, and rows are ranked inside their block, so
     a window holds the rows of one block or one row per block. Without a ``width``
-    the spread of the column gives it, so that sparse keys do not make tiny blocks.
+    quantiles of the column cut it.
     """
-    block = F.floor(F.col(order) / (width or block_width(df, order)))
+    block = F.floor(F.col(order) / width) if width else blocks_of(df, order)
     counts = df.groupBy(*keys, block.alias("_block")).agg(F.count("*").alias("_n"))
     along = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_start"))

@@ -206,7 +206,7 @@ def state_lines_by_type(spark, folder):
 
 def log_lines(spark, folder):
     per = table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    text = F.concat(F.lit("Completed sync for "), F.col("event_type"), F.lit(": "), F.col("n").cast("string"), F.lit(" records"))
+    text = F.concat(F.col("event_type"), F.lit(" done, rows: "), F.col("n").cast("string"))
     return log_messages(per, "INFO", text)
 
 
@@ -400,8 +400,8 @@ QUERIES = {
     "log_messages": Query(
         log_lines,
         """
-        SELECT 'LOG' AS type, '{"type":"LOG","log":{"level":"INFO","message":"Completed sync for ' || event_type || ': '
-               || count(*) || ' records"}}' AS message
+        SELECT 'LOG' AS type, '{"type":"LOG","log":{"level":"INFO","message":"' || event_type || ' done, rows: '
+               || count(*) || '"}}' AS message
         FROM events GROUP BY event_type
         """,
     ),

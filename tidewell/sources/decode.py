@@ -76,8 +76,10 @@ def decode_typed(pages: DataFrame, schema: T.StructType, records_path: str | Non
 def page_values(pages: DataFrame, fmt: str = "json") -> DataFrame:
     """The whole body of each page as one JSON value in ``value``: the raw view.
 
-    JSON Lines and CSV bodies become arrays. Unreadable JSON and XML give NULL.
+    JSON Lines and CSV bodies become arrays; CSV has its header in the first line. Unreadable JSON and XML give NULL.
     """
+    if fmt == "csv":
+        return _csv_values(pages)
     if fmt == "json":
         return pages.withColumn("value", F.try_parse_json("body")).drop("body")
     if fmt == "xml":
@@ -111,6 +113,24 @@ def _one_row_per_item(
     return rows.withColumn("error", F.when(F.col("record").isNull(), text))
 
 
+# A string element that begins like an object, or a closing bracket before what cannot follow one.
+SUSPECT = r'[\[,]\s*"\s*\{|[\]}]\s*[^\s,\]}]'
+
+
+def _balanced(body: Column) -> Column:
+    def count(char: str) -> Column:
+        return F.length(body) - F.length(F.replace(body, F.lit(char), F.lit("")))
+
+    return (count("{") == count("}")) & (count("[") == count("]"))
+
+
+def _whole_json(body: Column) -> Column:
+    """A body as VARIANT, NULL unless all of it is one value: the parser alone stops after the first."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    return F.when(alone, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+
 def _json(pages: DataFrame, path: str | None) -> DataFrame:
     """The records of JSON bodies as JSON texts.
 
@@ -130,13 +150,15 @@ def _json(pages: DataFrame, path: str | None) -> DataFrame:
         direct = F.from_json(body, shape)
         for step in steps:
             direct = direct.getField(step)
-        # Strings lose their quotes and nulls vanish in the direct read.
-        odd = F.exists("_direct", lambda r: r.isNull() | ~r.startswith("{"))
+        # Strings lose their quotes, nulls vanish and text after the value is passed over in the direct read. A string
+        # may look like an object, so bodies in which an element may be one go the strict way, as do those
+        # where something else than JSON allows follows a closing bracket, or brackets do not match in number.
+        odd = F.exists("_direct", lambda r: r.isNull() | ~r.startswith("{")) | body.rlike(SUSPECT) | ~_balanced(body)
         pages = pages.withColumn("_direct", direct)
         pages = pages.withColumn("_direct", F.when(~odd, F.col("_direct")))
     else:
         pages = pages.withColumn("_direct", F.lit(None).cast("array<string>"))
-    pages = pages.withColumn("_v", F.when(F.col("_direct").isNull(), F.try_parse_json(body)))
+    pages = pages.withColumn("_v", F.when(F.col("_direct").isNull(), _whole_json(body)))
     pages = extract_elements(pages, "_v", path, "_values")
     texts = F.transform("_values", lambda v: F.to_json(v))
     if not steps:
@@ -172,6 +194,23 @@ def csv_cells(line: Column, delimiter: str = ",") -> Column:
     return F.transform(cells, clean)
 
 
+def _csv_values(pages: DataFrame) -> DataFrame:
+    """Each CSV body as one array of objects, made in the row of its page."""
+    keep = _keep(pages)
+    lines = F.filter(F.transform(F.slice("_lines", 2, F.greatest(F.size("_lines"), F.lit(1))), lambda t: F.btrim(t, F.lit(WHITE_SPACE))), lambda t: t != "")
+    split = pages.select(*keep, F.split("body", "\r?\n").alias("_lines"))
+    cells = split.select(*keep, "_lines", csv_cells(F.get("_lines", F.lit(0))).alias("_names"), F.transform(lines, lambda t: csv_cells(t)).alias("_rows"))
+
+    def record(row: Column) -> Column:
+        pairs = F.transform("_names", lambda name, i: F.concat(quote_json(name), F.lit(":"), csv_value_json(F.coalesce(F.get(row, i), F.lit("")))))
+        # A repeated column name keeps its last cell.
+        last = F.filter(pairs, lambda _, i: ~F.array_contains(F.slice("_names", i + 2, F.size("_names")), F.get("_names", i)))
+        return F.concat(F.lit("{"), F.concat_ws(",", last), F.lit("}"))
+
+    text = F.concat(F.lit("["), F.concat_ws(",", F.transform("_rows", record)), F.lit("]"))
+    return cells.select(*keep, F.when(F.col("_lines").isNotNull(), F.try_parse_json(text)).alias("value"))
+
+
 def _csv(pages: DataFrame, delimiter: str, has_header: bool) -> DataFrame:
     trim = WHITE_SPACE.replace(delimiter, "")
     lines = F.split("body", "\r?\n")

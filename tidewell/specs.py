@@ -90,6 +90,7 @@ class RequestSpec:
 class JobSpec:
     """How to read the status of an asynchronous job from a poll response."""
 
+    # The defaults of the job protocol.
     status_path: str = "state"
     completed_value: str = "JobComplete"
     failed_values: tuple[str, ...] = ("Failed", "Aborted")
