@@ -10,9 +10,10 @@ every task; it overstates rare shingles by a fixed share of the corpus, which ma
 alike, and is exact to that share for the frequent ones, which are those that matter.
 
 Copies are one node. In a bucket no pair is made that a class already implies: first every member
-meets the least one; then, in buckets that still hold several classes, the members with most links meet
-the members of other classes, twice as many members in each round, until the bucket is
-one class or all pairs between its classes have been compared. So a group of thousands of near
+meets the one that meets most others; then, in buckets that still hold several classes, the members with the least of
+their own meet the members of other classes, four times as many members in each round, until the bucket is
+one class or all pairs between its classes have been compared or ruled out by what the two texts share
+with anyone. Once few pairs are left, one round takes them all. So a group of thousands of near
 copies costs about one comparison a member, and no link is lost.
 """
 
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -33,7 +34,8 @@ from .shingles import Shingles, chunks, mix, shingles
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair at the threshold meets with probability 1 - (1 - 0.8**3)**12 = 0.9998
 WIDTH, DEPTH = 1 << 18, 2  # of the sketch
-ALL_PAIRS = 2_000_000  # pairs of one bucket, over all buckets with several classes, that one round may take
+ALL_PAIRS = 20_000_000  # pairs of one bucket, over all buckets with several classes, that one round may take
+BROADCAST_NODES = 1_000_000  # numbers of 8 bytes that may be broadcast
 SLICES = 64  # pieces in which sketches are added up
 
 
@@ -158,9 +160,8 @@ def bands_of(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 def compared(pairs: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
     """The ``pairs`` (``a``, ``b``: nodes) at or above the threshold. Only texts in a pair are moved."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("node"), "text").join(broadcast_if_small(needed), "node", "left_semi")
-    texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    texts = staged(texts, "texts")
+    few = 2 * pairs.count() <= BROADCAST_NODES  # there are no more nodes than ends of pairs
+    texts = staged(_texts(F.broadcast(needed) if few else needed, docs), "texts")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,6 +175,49 @@ def compared(pairs: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: floa
     return two.select("a", "b", "left", "right").mapInArrow(keep, "a bigint, b bigint")
 
 
+def nodes_of(signed: DataFrame) -> DataFrame:
+    """One row per text with words."""
+    return signed.filter("buckets IS NOT NULL").groupBy("node").agg(F.first("buckets").alias("buckets"))
+
+
+def shared_weights(nodes: DataFrame, docs: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Per node the weight of its shingles and of those that another of the nodes has too, by both weightings.
+
+    Two texts have no more in common than the lesser of what they share with anyone. That bounds
+    their similarity before they are compared: copies with too much of their own meet nobody.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, some in chunks(batch.column(1)):
+                found = shingles(some)
+                node = batch.column(0).slice(first, len(some)).take(pa.array(found.text))
+                values = [node, pa.array(found.hash.view(np.int64)), pa.array(weights(found, idf).astype(float)), pa.array(found.times)]
+                yield pa.RecordBatch.from_arrays(values, ["node", "shingle", "weight", "times"])
+
+    rows = _texts(nodes, docs).mapInArrow(spread, "node bigint, shingle bigint, weight double, times bigint")
+    owners = rows.groupBy("shingle").agg(F.count("*").alias("owners")).filter("owners > 1").select("shingle", F.lit(True).alias("_shared"))
+    both = rows.join(owners, "shingle", "left")
+    return both.groupBy("node").agg(
+        F.sum("weight").alias("total"),
+        F.sum(F.when(F.col("_shared"), F.col("weight")).otherwise(0.0)).alias("shared"),
+        F.sum("times").cast("double").alias("total_n"),
+        F.sum(F.when(F.col("_shared"), F.col("times")).otherwise(0)).cast("double").alias("shared_n"),
+    )
+
+
+def _may_reach(total: str, shared: str, threshold: float) -> Column:
+    """Whether a pair's similarity can be at the threshold, by what each shares with anyone; a little in doubt's favour."""
+    common = F.least(F.col(shared), F.col(f"hub_{shared}"))
+    return common * 1.0001 >= threshold * (F.col(total) + F.col(f"hub_{total}") - common)
+
+
+def _texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The text of each of the ``nodes``; only those texts move."""
+    found = docs.select(F.xxhash64("text").alias("node"), "text").join(nodes, "node", "left_semi")
+    return found.groupBy("node").agg(F.first("text").alias("text"))
+
+
 def _renamed(told: DataFrame, classes: DataFrame) -> DataFrame:
     """``told`` with its roots replaced by the roots of their components."""
     names = classes.select(F.col("node").alias("root"), F.col("root").alias("_new"))
@@ -198,20 +242,24 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = docs.sparkSession
     idf = inverse_frequencies(frequencies(docs), docs.count())
     signed = staged(bands_of(docs, idf), "bands")
-    nodes = signed.filter("buckets IS NOT NULL").groupBy("node").agg(F.first("buckets").alias("buckets"))
-    nodes = nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
-    hubs = nodes.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    shared = staged(nodes.join(hubs, "bucket").select("bucket", "node", "hub", "n"), "buckets")
-
-    pairs = staged(shared.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+    nodes = nodes_of(signed).select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
+    sizes = nodes.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = staged(nodes.join(sizes, "bucket"), "buckets")
+    # Who meets most others is nearest to the middle of its group.
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    hubs = shared.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("_hub"))
+    meetings = shared.join(hubs.select("bucket", F.col("_hub.node").alias("hub")), "bucket").filter("node <> hub")
+
+    pairs = staged(meetings.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
     links = staged(compared(pairs, docs, idf, threshold), "links")
     told = staged(_renamed(shared.select("node", F.col("node").alias("root")).distinct(), components(links)), "roots")
-    # Buckets of two are done. The members of others are ranked by their links, where several classes are left.
+    # Buckets of two are done. Where others hold several classes, the members with the least of their own come first.
     placed = shared.filter("n > 2").select("bucket", "node", "n").join(told, "node")
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
-    by_links = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
-    live = placed.join(_split(placed), "bucket", "left_semi").join(degree, "node", "left").na.fill(0, ["degree"])
-    live = staged(live.select("bucket", "node", "n", F.row_number().over(by_links).alias("rank")), "ranks")
+    live = staged(placed.join(_split(placed), "bucket", "left_semi").select("bucket", "node", "n"), "live")
+    bounds = staged(shared_weights(broadcast_if_small(live.select("node").distinct(), BROADCAST_NODES), docs, idf), "bounds")
+    own = nodes_of(signed).join(bounds, "node")
+    cleanest = Window.partitionBy("bucket").orderBy(F.desc(F.col("shared") / F.col("total")), "node")
+    live = staged(live.join(own, "node").withColumn("rank", F.row_number().over(cleanest)), "ranks")
     tested, first, last = [pairs], 1, 4
     while True:
         placed = live.join(told, "node")
@@ -222,9 +270,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if size["pairs"] <= ALL_PAIRS:
             last = (1 << 31) - 1
         here = placed.join(split.select("bucket"), "bucket", "left_semi")
-        hub = here.filter(F.col("rank").between(first, last)).select("bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        met = here.join(hub, "bucket").filter(F.col("root") != F.col("hub_root"))
-        new = met.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+        columns = ["node", "root", "buckets", "total", "shared", "total_n", "shared_n"]
+        hub = here.filter(F.col("rank").between(first, last)).select("bucket", *[F.col(c).alias(f"hub_{c}") for c in columns])
+        may_link = _may_reach("total", "shared", threshold) | _may_reach("total_n", "shared_n", threshold)
+        once = F.array_min(F.array_intersect("buckets", "hub_buckets")) == F.col("bucket")  # a pair meets in one of its buckets
+        met = here.join(hub, "bucket").filter((F.col("root") != F.col("hub_root")) & may_link & once)
+        new = met.select(F.greatest("node", "hub_node").alias("a"), F.least("node", "hub_node").alias("b")).distinct()
         for old in tested:
             new = new.join(old, ["a", "b"], "left_anti")
         new = staged(new, "pairs")
