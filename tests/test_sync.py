@@ -16,6 +16,7 @@ from tidewell.sinks.tables import (
     transform_column,
     write_stream_table,
 )
+from tidewell.sources.tables import read_table
 from tidewell.specs import Paging, Stop, StreamSpec, SyncSpec, TableSpec
 from tidewell.streaming.landed import stream_sync
 
@@ -163,3 +164,14 @@ def test_filters_reach_the_scan(spark, tmp_path):
     spark.range(100).select("id", F.lit("x").alias("pad")).write.parquet(path)
     plan = newer_than(spark.read.parquet(path), "id", "50").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(id,50)" in plan and "pad" not in plan
+
+
+def test_bodies_do_not_move(spark, pages):
+    spec = StreamSpec("s", "json", "data", Paging("cursor", Stop("field", "more", False), cursor_path="next"))
+    found, _ = landed_records(pages(envelope([1, 2], more=True, next="2"), envelope([3], more=False, next=None)), spec)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 3
+
+
+def test_a_jdbc_read_in_one_task_must_be_asked_for(spark):
+    with pytest.raises(ValueError, match="partition_column"):
+        read_table(spark, TableSpec("t", table="t"), {"format": "jdbc"})

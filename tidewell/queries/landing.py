@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.incremental import newer_than_state
 from ..operators.state import empty_state, get_cursor, read_state
 from ..plans.sync import sync_landed, sync_table
 from ..session import matching_paths, scratch_path
 from ..sinks.tables import EmptyInput, append_dedup, compact, read_merged, read_stream_table, stream_path, write_stream_table
+from ..sources.pages import read_pages
+from ..sources.tables import listing, read_table
 from ..specs import Paging, Stop, StreamSpec, SyncSpec, TableSpec
 from ..streaming.landed import stream_sync
 from .common import Query, table
@@ -169,7 +172,74 @@ def shared_state(spark, folder):
     return found[0].union(found[1])
 
 
+def empty_page_ends(spark, folder):
+    """Chains that end with an empty page; what landed behind it does not count."""
+    pages = event_chains(spark, folder)
+    last = pages.groupBy("stream", "partition_id").agg(F.max("page_no").alias("last"), F.first("headers").alias("headers"), F.max("fetched_at").alias("fetched_at"))
+    extra = last.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("step")).select(
+        "stream", "partition_id", (F.col("last") + F.col("step")).alias("page_no"), F.lit(200).alias("status"), "headers",
+        F.when(F.col("step") == 1, '{"data":[]}').otherwise('{"data":[{"event_id":-1}]}').alias("body"), "fetched_at",
+    )
+    spec = StreamSpec("events", "json", "data", Paging("page_number", Stop("empty_page")))
+    base = scratch_path(spark, "empty-page")
+    done = sync_landed(pages.unionByName(extra), spec, empty_state(spark), base, "run-1", run_date="2024-02-01")
+    marks = done.state.filter("completed").agg(F.count("*").alias("completed"))
+    return read_stream_table(spark, base, "events").select(*EVENTS, marks.scalar().alias("completed"))
+
+
+def pages_from_files(spark, folder):
+    """Pages landed as JSON lines and read back, then synced to sorted JSON lines."""
+    base = scratch_path(spark, "files")
+    pages = event_chains(spark, folder).withColumn("url", F.lit(None).cast("string"))
+    pages.repartition(4).write.json(f"{base}/landing")
+    spec = StreamSpec("events", "json", "data", MORE, cursor_field="event_id")
+    found = read_pages(spark, f"{base}/landing", "json")
+    sync_landed(found, spec, empty_state(spark), f"{base}/out", "run-1", run_date="2024-02-01", fmt="json", sort=True)
+    return read_stream_table(spark, f"{base}/out", "events", "json").select(*EVENTS)
+
+
+def tables_of_files(spark, folder):
+    """The same rows by a folder of files, by a catalog name and by a query."""
+    source = {"format": "parquet", "path": folder, "suffix": ".parquet"}
+    by_file = read_table(spark, TableSpec("nation", table="nation"), source)
+    by_file.createOrReplaceTempView("tidewell_nation")
+    by_name = read_table(spark, TableSpec("nation", table="tidewell_nation"), {})
+    by_query = read_table(spark, TableSpec("nation", query="SELECT * FROM tidewell_nation WHERE n_nationkey % 2 = 0"), {})
+    return by_file.select(F.lit("file").alias("way"), "n_nationkey", "n_name").union(by_name.select(F.lit("name"), "n_nationkey", "n_name")).union(
+        by_query.select(F.lit("query"), "n_nationkey", "n_name")
+    )
+
+
+def nested_cursor(spark, folder):
+    """A cursor inside a struct, per event type."""
+    events = table(spark, folder, "events").select("event_id", "event_type", F.struct(F.struct("event_id").alias("at")).alias("meta"))
+    state = events.groupBy("event_type").agg((F.max("event_id") / 2).cast("bigint").cast("string").alias("cursor"))
+    return newer_than_state(events, state, ["event_type"], "meta.at.event_id").select("event_id", "event_type")
+
+
+def listed_tables(spark, folder):
+    """Listed schemas: one per nation, system schemas among them left out."""
+    nations = table(spark, folder, "nation")
+    schema = F.when(F.col("n_nationkey") % 5 == 0, "information_schema").otherwise(F.concat(F.lit("s"), F.col("n_regionkey").cast("string")))
+    return listing(nations.select(schema.alias("table_schema"), F.lower("n_name").alias("table_name")), "postgres")
+
+
 QUERIES = {
+    "page_chain_empty_page": Query(empty_page_ends, "SELECT event_id, user_id, event_type, (SELECT count(DISTINCT event_id % 5) FROM events) AS completed FROM events"),
+    "sync_pages_from_files": Query(pages_from_files, ALL_EVENTS),
+    "read_table_ways": Query(
+        tables_of_files,
+        """SELECT 'file' AS way, n_nationkey, n_name FROM nation UNION ALL SELECT 'name', n_nationkey, n_name FROM nation
+           UNION ALL SELECT 'query', n_nationkey, n_name FROM nation WHERE n_nationkey % 2 = 0""",
+    ),
+    "nested_cursor": Query(
+        nested_cursor,
+        """SELECT event_id, event_type FROM events
+           QUALIFY event_id > max(event_id) OVER (PARTITION BY event_type) // 2""",
+    ),
+    "table_listing": Query(
+        listed_tables, "SELECT 's' || n_regionkey || '.' || lower(n_name) AS full_name FROM nation WHERE n_nationkey % 5 <> 0"
+    ),
     "sync_late_partition": Query(late_partition, ALL_EVENTS),
     "sync_gap_filled": Query(gap_filled, ALL_EVENTS),
     "sync_refetched": Query(refetched, ALL_EVENTS),

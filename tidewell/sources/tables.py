@@ -28,7 +28,7 @@ def read_table(spark: SparkSession, spec: TableSpec, source: Mapping[str, Any])
     """The rows of a stream.
 
     ``source`` holds ``format`` and reader options. For ``jdbc``, ``partition_column``,
-    ``lower``, ``upper`` and ``partitions`` split the read over executors; filters
+    ``lower``, ``upper`` and ``partitions`` split the read over executors (a read in one task must be asked for); filters
     that are put on the result reach the database. For file formats, ``path`` is the
     folder that holds one dataset per table. Without a format, the catalog is used.
     """
@@ -42,6 +42,8 @@ def read_table(spark: SparkSession, spec: TableSpec, source: Mapping[str, Any])
     reader = spark.read.format(fmt).options(**source.get("options", {}))
     if fmt != "jdbc":
         return reader.load(f"{source['path']}/{spec.table}{source.get('suffix', '')}")
+    if not source.get("partition_column") and source.get("partitions") != 1:
+        raise ValueError("name a partition_column with its bounds, or ask for partitions=1: else one task reads the whole table")
     target = f"({spec.query}) q" if spec.query else qualified(spec.table)
     reader = reader.option("dbtable", target)
     if source.get("partition_column"):
