@@ -20,9 +20,11 @@ from pyspark.sql import types as T
 from ..operators.conform import conform
 from ..operators.errors import TooManyErrors, bad_records, check_errors, good_records, retry_worklist
 from ..operators.incremental import max_cursor, newer_than, newer_than_state, slice_cursors
+from ..operators.messages import log_messages, state_messages, summary_message
 from ..operators.paging import CHAIN, latest_signals, only_fetches, page_signals, record_positions, replay, usable_ends
 from ..operators.schema import quick_table_schema
 from ..operators.state import PROGRESS, STATE_SCHEMA, cursor_updates, empty_state, get_cursor, upsert_state
+from ..operators.summary import run_summary
 from ..session import path_exists, staged
 from ..sinks.tables import PARTITION, append_dedup, stream_path, write_stream_table
 from ..sources.decode import decode_pages
@@ -279,3 +281,19 @@ def sync_all(
     if updates:
         state = upsert_state(state, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), updates))
     return results, state
+
+
+def run_messages(results: DataFrame, state: DataFrame) -> DataFrame:
+    """What a run says at its end, in the order of ``step``: a STATE and a LOG per stream, the SYNC_SUMMARY last.
+
+    ``results`` and ``state`` are those of ``sync_all``; RECORD messages come from the tables (``record_messages``).
+    """
+    cursors = state.filter("partition_id IS NULL AND cursor IS NOT NULL").select("stream", "cursor")
+    said = F.concat_ws(" ", "stream", F.lower("status"), F.concat(F.lit("rows="), F.col("records_synced").cast("string")))
+    parts = [
+        state_messages(cursors),
+        log_messages(results.filter("status = 'SUCCESS'"), "INFO", said),
+        log_messages(results.filter("status <> 'SUCCESS'"), "ERROR", said),
+        summary_message(run_summary(results)),
+    ]
+    return reduce(DataFrame.unionByName, [part.withColumn("step", F.lit(step)) for step, part in enumerate(parts)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.incremental import newer_than_state
 from ..operators.state import empty_state, get_cursor, read_state
-from ..plans.sync import sync_landed, sync_table
+from ..plans.sync import run_messages, sync_all, sync_landed, sync_table
 from ..session import matching_paths, scratch_path
 from ..sinks.tables import EmptyInput, append_dedup, compact, read_merged, read_stream_table, stream_path, write_stream_table
 from ..sources.pages import read_pages
@@ -172,6 +172,18 @@ def shared_state(spark, folder):
     return found[0].union(found[1])
 
 
+def messages_of_run(spark, folder):
+    """Two streams in one run, one of them with unreadable lines: what the run says at its end."""
+    good = event_chains(spark, folder)
+    bad = event_chains(spark, folder, "jsonl", F.col("event_id") % 7 == 0).withColumn("stream", F.lit("lines"))
+    streams = [
+        (StreamSpec("events", "json", "data", MORE, cursor_field="event_id"), SyncSpec()),
+        (StreamSpec("lines", "jsonl", paging=Paging("page_number", None)), SyncSpec(error_strategy="skip", max_errors=3)),
+    ]
+    results, state = sync_all(good.unionByName(bad), streams, empty_state(spark), scratch_path(spark, "messages"), "run-1")
+    return run_messages(results, state)
+
+
 def empty_page_ends(spark, folder):
     """Chains that end with an empty page; what landed behind it does not count."""
     pages = event_chains(spark, folder)
@@ -225,6 +237,14 @@ def listed_tables(spark, folder):
 
 
 QUERIES = {
+    "sync_messages": Query(
+        messages_of_run,
+        """WITH e AS (SELECT count(*) AS n, max(event_id) AS last FROM events)
+           SELECT 0 AS step, 'STATE' AS type, '{"type":"STATE","state":{"type":"STREAM","stream":{"stream_descriptor":{"name":"events"},"stream_state":{"cursor":"' || last || '"}}}}' AS message FROM e
+           UNION ALL SELECT 1, 'LOG', '{"type":"LOG","log":{"level":"INFO","message":"events success rows=' || n || '"}}' FROM e
+           UNION ALL SELECT 2, 'LOG', '{"type":"LOG","log":{"level":"ERROR","message":"lines failed rows=0"}}'
+           UNION ALL SELECT 3, 'SYNC_SUMMARY', '{"type":"SYNC_SUMMARY","summary":{"status":"PARTIAL","total_records":' || n || ',"total_streams":2,"successful_streams":1,"failed_streams":1}}' FROM e""",
+    ),
     "page_chain_empty_page": Query(empty_page_ends, "SELECT event_id, user_id, event_type, (SELECT count(DISTINCT event_id % 5) FROM events) AS completed FROM events"),
     "sync_pages_from_files": Query(pages_from_files, ALL_EVENTS),
     "read_table_ways": Query(
