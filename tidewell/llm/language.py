@@ -26,7 +26,8 @@ BUCKET_BITS = 16
 SMOOTHING = 0.5
 SWITCH_PENALTY = 12.0  # log score that a change of language costs
 SCRIPT_SHARE = 0.01  # of a language's letters that a script needs to be one of the language's
-CHUNK_CHARS = 2_000_000  # decoded at a time
+CHUNK_CHARS = 1_000_000  # scored at a time
+GROUP_CHARS = 5_000_000  # labelled at a time
 UNKNOWN = "und"
 
 # Code point ranges of scripts: fixed values of the character standard.
@@ -103,11 +104,11 @@ class Model(NamedTuple):
     known: np.ndarray  # script: whether any language uses it
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+def _chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
     first, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= CHUNK_CHARS:
+        if size >= limit:
             yield first, texts[first : i + 1]
             first, size = i + 1, 0
     if first < len(texts):
@@ -157,11 +158,11 @@ def _labels(texts: list[str], model: Model, penalty: float) -> tuple[list, list,
     parts: list[tuple[Words, np.ndarray, int]] = []
     for first, some in _chunks(texts):
         w = find_words(some)
-        points = np.zeros((len(w.first), k))
+        points = np.zeros((len(w.first), k), dtype=np.float32)
         if len(w.first):
-            points = np.add.reduceat(model.table[w.buckets], w.first, axis=0).astype(np.float64)
+            points = np.add.reduceat(model.table[w.buckets], w.first, axis=0)
             # No language uses the script: the word says nothing.
-            points = np.where(model.known[w.script][:, None], points + model.allowed[w.script], 0.0)
+            points = np.where(model.known[w.script][:, None], points + model.allowed[w.script].astype(np.float32), np.float32(0))
         parts.append((w._replace(buckets=w.buckets[:0]), points, first))
     n = len(texts)
     text = np.concatenate([w.text + first for w, _, first in parts] or [np.zeros(0, int)]).astype(np.int64)
@@ -193,10 +194,11 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, kee
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def label(texts: list[str]) -> tuple[dict, None]:
-        if model.languages:
-            names, score, spans = _labels(texts, model, penalty)
-        else:
-            names, score, spans = [UNKNOWN] * len(texts), [0.0] * len(texts), [[]] * len(texts)
+        names, score, spans = [], [], []
+        for _, some in _chunks(texts, GROUP_CHARS):
+            told = _labels(some, model, penalty) if model.languages else ([UNKNOWN] * len(some), [0.0] * len(some), [[]] * len(some))
+            for all_, part in zip((names, score, spans), told, strict=True):
+                all_.extend(part)
         spans = [[{"start": a, "end": b, "lang": lang} for a, b, lang in s] for s in spans]
         return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score, pa.float64()), "spans": pa.array(spans, kind)}, None
 
