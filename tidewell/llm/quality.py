@@ -26,9 +26,9 @@ CONTENT_SHARE = 0.5
 SYMBOLS = "#*$%&|<>"  # fixed by the task
 SPACES = "\t\n\x0b\x0c\r "  # between words, fixed by the task
 
-SAMPLE_PER_CLASS = 1500  # labelled documents that the model is fitted on, about
-TRAINING_LINES = 40  # of each of these; decoding takes all lines
-STEPS, RATE, SHRINK = 300, 0.1, 1e-3
+SAMPLE_PER_CLASS = 400  # labelled documents that the model is fitted on, about
+TRAINING_LINES = 30  # of each of these; decoding takes all lines
+STEPS, RATE, SHRINK = 120, 0.2, 1e-3
 CHUNK_CHARS = 2_000_000
 PLANES = 0x30000
 
