@@ -46,8 +46,8 @@ def sanitised(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token pieces with their ids and their place in sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True)
+    """Token pieces and their place in sequences; a piece is ids ``start`` to ``start + length`` of its document."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
