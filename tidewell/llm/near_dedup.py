@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         size = split.agg(F.count("*").alias("buckets"), F.sum(F.col("n") * F.col("n")).alias("pairs")).first()
         if not size["buckets"]:
             break
-        if size["pairs"] <= ALL_PAIRS:
+        if first > 1 and size["pairs"] <= ALL_PAIRS:
             last = (1 << 31) - 1
         here = placed.join(split.select("bucket"), "bucket", "left_semi")
         columns = ["node", "root", "buckets", "total", "shared", "total_n", "shared_n"]

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SHINGLE = 5  # words
-CHUNK_BYTES = 3_000_000  # of text that is hashed at a time
+CHUNK_BYTES = 1_500_000  # of text that is hashed at a time
 CHUNK_TEXTS = 60_000  # fewer than 2**16, as the number of a text is packed above 48 bits of hash
 
 _RANDOM = np.random.default_rng(20_240_607)
