@@ -246,6 +246,21 @@ def test_samples_agree_as_often_as_texts_are_alike():
     assert abs(agree.mean() - near_dedup.similarities(pa.array(left), pa.array(right), idf).mean()) < 0.03
 
 
+def test_pairs_by_counts_alone_meet(spark):
+    rng = np.random.default_rng(12)
+    plain = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
+    # 0.80 to 0.85 by counts; a third of the rows hold what the two share, and nobody else what they do not.
+    common = [plain(184) for _ in range(150)]
+    texts = [f"{c} {plain(k)}" for c, own in zip(common, itertools.cycle([16, 19, 22]), strict=False) for k in (own, own)]
+    idf = np.full((near_dedup.DEPTH, near_dedup.WIDTH), 6.5, dtype=np.float32)
+    for row in range(near_dedup.DEPTH):
+        idf[row][near_dedup._cells(shingles.shingles(pa.array(common)).hash, row)] = math.log1p(3)
+    got = {r.doc_id: set(r.buckets) for r in near_dedup.bands_of(docs_of(spark, texts), idf).collect()}
+    near = near_dedup.similarities(pa.array(texts[::2]), pa.array(texts[1::2]), idf)
+    assert near.min() >= 0.8 and near.max() < 0.86
+    assert all(got[i] & got[i + 1] for i in range(0, len(texts), 2))
+
+
 def plain_classes(texts, idf_of=None):
     sets = []
     for t in texts:

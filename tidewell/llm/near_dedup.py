@@ -3,7 +3,8 @@
 Texts are weighted sets of word shingles: times in the text, by the inverse document frequency.
 Each of ``BANDS * ROWS`` samples picks a shingle and a level of its weight, such that two texts agree on
 a sample with the probability of their weighted Jaccard similarity. Texts that agree on a whole band
-meet in a bucket, and the similarity itself decides (see ``similarities``).
+meet in a bucket, and the similarity itself decides (see ``similarities``). As either of two weightings
+links a pair, every text is signed by both, with samples and bands of their own.
 
 Frequencies come from a count-min sketch over all documents. Its size is fixed, so it can be sent to
 every task; it overstates rare shingles by a fixed share of the corpus, which makes them weigh
@@ -32,7 +33,7 @@ from .components import components
 from .shingles import Shingles, chunks, mix, shingles
 
 THRESHOLD = 0.8
-BANDS, ROWS = 12, 3  # a pair at the threshold meets with probability 1 - (1 - 0.8**3)**12 = 0.9998
+BANDS, ROWS = 12, 3  # of each weighting: a pair at the threshold by it meets with probability 1 - (1 - 0.8**3)**12 = 0.9998
 WIDTH, DEPTH = 1 << 18, 2  # of the sketch
 ALL_PAIRS = 20_000_000  # pairs of one bucket, over all buckets with several classes, that one round may take
 BROADCAST_NODES = 1_000_000  # numbers of 8 bytes that may be broadcast
@@ -84,8 +85,8 @@ def weights(found: Shingles, idf: np.ndarray) -> np.ndarray:
     return found.times.astype(np.float32) * rare
 
 
-def signatures(found: Shingles, weight: np.ndarray, samples: int = BANDS * ROWS) -> np.ndarray:
-    """Texts x samples. Texts without shingles have zeros."""
+def signatures(found: Shingles, weight: np.ndarray, samples: int = BANDS * ROWS, first: int = 0) -> np.ndarray:
+    """Texts x samples, numbered from ``first``. Texts without shingles have zeros."""
     out = np.zeros((found.texts, samples), dtype=np.uint64)
     if not len(found.hash):
         return out
@@ -98,8 +99,9 @@ def signatures(found: Shingles, weight: np.ndarray, samples: int = BANDS * ROWS)
         return (((x >> np.uint64(21 * part)) & low).astype(np.float32) + np.float32(0.5)) * unit
 
     for k in range(samples):
-        x = mix(found.hash ^ mix(np.array([2 * k + 1], dtype=np.uint64)))
-        y = x * np.uint64(0xD1342543DE82EF95) + np.uint64(2 * k + 1)
+        salt = np.uint64(2 * (first + k) + 1)
+        x = mix(found.hash ^ mix(np.array([salt], dtype=np.uint64)))
+        y = x * np.uint64(0xD1342543DE82EF95) + salt
         y ^= y >> np.uint64(32)
         r = -np.log(uniform(x, 0) * uniform(x, 1))  # gamma (2, 1)
         c = -np.log(uniform(x, 2) * uniform(y, 0))  # gamma (2, 1)
@@ -138,16 +140,17 @@ def similarities(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray
 
 
 def bands_of(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """``doc_id``, ``node`` and ``buckets`` (one per band, none for texts without words) of each document."""
+    """``doc_id``, ``node`` and ``buckets`` (one per band of each weighting, none for texts without words) of each document."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for _, some in chunks(batch.column(2)):
                 found = shingles(some)
-                signed = signatures(found, weights(found, idf)).reshape(found.texts, BANDS, ROWS)
+                by_idf, by_count = signatures(found, weights(found, idf)), signatures(found, found.times.astype(np.float32), first=BANDS * ROWS)
+                signed = np.concatenate([by_idf, by_count], axis=1).reshape(found.texts, 2 * BANDS, ROWS)
                 place = np.arange(1, ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                keys = mix((signed * (place | np.uint64(1))).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+                keys = mix((signed * (place | np.uint64(1))).sum(axis=2, dtype=np.uint64) + np.arange(2 * BANDS, dtype=np.uint64))
                 some_words = np.bincount(found.text, minlength=found.texts) > 0
                 kept += [row.view(np.int64) if has else None for row, has in zip(keys, some_words, strict=True)]
             buckets = pa.array(kept, pa.list_(pa.int64()))
