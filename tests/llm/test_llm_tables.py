@@ -218,6 +218,18 @@ def test_pii_removes_what_reveals(spark):
     assert pii.find_personal_data(copies.limit(0)).count() == 0
 
 
+def test_pii_protects_entities_named_once_or_twice(spark):
+    rng = random.Random(5)
+    plain = lambda n: " ".join(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.randrange(8)}" for _ in range(n))
+    far = lambda name: f"{name} {plain(30)} mail ben@example.org {plain(30)}"
+    texts = [f"{plain(20)} mail anna@example.org account 77889911 {plain(20)}", f"{plain(20)} number 77889911 anna@example.org {plain(20)} 77889911"]
+    texts += [far("Qwyx"), far("Qwyx Qwyx"), f"{plain(20)} Hapaxa once@example.org {plain(20)}"]
+    texts += [f"{plain(20)} mail p{i}@example.org {plain(20)}" for i in range(200)]
+    rows = {r.doc_id: r.clean for r in pii.find_personal_data(docs_of(spark, texts)).collect()}
+    assert not any("77889911" in t or "Qwyx" in t or "Hapaxa" in t for t in rows.values())
+    assert "mail [EMAIL]" in rows[0] and rows[9] == texts[9].replace("p4@example.org", "[EMAIL]")
+
+
 def test_pii_overlaps_are_tagged_once(spark):
     (r,) = pii.find_personal_data(docs_of(spark, ["x 4111111111111111@b.cc 4111111111111111 y"])).collect()
     assert r.clean == "x [EMAIL] [CARD] y" and [s.kind for s in r.base] == [0, 2, 2]

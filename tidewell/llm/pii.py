@@ -1,13 +1,16 @@
 """Personal data, and the terms that reveal it.
 
 Base kinds are found by pattern and checked. Every found value is a protected entity. A term
-reveals an entity as far as it occurs only near it: of their pointwise mutual information,
+reveals an entity as far as it occurs only with it: of their pointwise mutual information,
 log p(entity | term) / p(entity), counts which share of the entity's own information,
--log p(entity), it makes up. Counts are over all documents. Terms above the disclosure threshold are
-generalised, terms that give the entity away outright are removed, wherever they occur.
-
-Everything is expressions, joins and aggregates. Texts stay where they are, except where a document
-has a revealing term and such documents are too many to broadcast.
+-log p(entity), it makes up. Counts are of documents, over all of them. As few surroundings say little,
+p(entity | term) is drawn towards p(entity) by a prior: of ``NEAR_PRIOR`` surroundings for terms near the
+entity, of ``FAR_PRIOR`` for those anywhere in its documents, which must also mean the entity more often than not.
+Terms above the disclosure threshold are generalised, terms that give the entity away outright are removed,
+wherever they occur.
+
+Everything is expressions, joins and aggregates. Texts stay where they are, except those with an entity, and where a
+document has a revealing term and such documents are too many to broadcast.
 """
 
 from __future__ import annotations
@@ -19,10 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import LOWER, UPPER, broadcast_if_small, words
+from .common import BROADCAST_ROWS, LOWER, UPPER, broadcast_if_small, words
 
 REACH = 8  # words before and after an entity that count as near it
-MIN_CONTEXTS = 3  # different surroundings in which a term must meet an entity
+NEAR_PRIOR, FAR_PRIOR = 1.0, 2.0  # surroundings that the prior weighs
 GENERALISE, REMOVE = 0.85, 0.98  # shares of an entity's information
 TERM_KIND = 4
 NAMES = ["email", "ip", "card", "phone", "term"]
@@ -131,10 +134,11 @@ def _outside(parts: Column) -> Column:
     return words(F.array_join(parts, "\n"))
 
 
-def revealing_terms(docs: DataFrame) -> DataFrame:
-    """``term`` and ``strength``, the greatest share of some entity's information that it reveals, from ``GENERALISE`` on."""
+def _mentions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts with an entity (``text``: a hash, ``words``, ``n`` copies), and their entities with the words near them and a hash of these."""
     found = _with_base(docs).filter(F.size("base") > 0)
-    parts = found.withColumns({"cover": _merged(F.col("base")), "words": F.transform("parts", words)})
+    once = found.groupBy(F.xxhash64("_text").alias("text")).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("_text", "base", "parts")])
+    texts = once.withColumns({"cover": _merged(F.col("base")), "words": F.transform("parts", words)})
     near = F.transform(
         "cover",
         lambda c, i: F.struct(
@@ -145,25 +149,49 @@ def revealing_terms(docs: DataFrame) -> DataFrame:
             ).alias("near"),
         ),
     )
-    said = parts.select(F.explode(near).alias("x")).select("x.entity", F.array_distinct("x.near").alias("near"), F.xxhash64("x.near").alias("context"))
-    # Equal mentions are summed before they meet; a mention with many copies is one row with a count.
-    mentions = staged(said.groupBy("entity", "near", "context").agg(F.count("*").alias("n")), "mentions")
-    entities = mentions.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("contexts")).filter(F.col("contexts") >= MIN_CONTEXTS)
-    known = mentions.join(broadcast_if_small(entities.select("entity", "n_entity")), "entity")
-    pairs = known.select("entity", "n_entity", "n", F.explode("near").alias("term")).groupBy("entity", "n_entity", "term")
-    pairs = pairs.agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts")).filter(F.col("contexts") >= MIN_CONTEXTS)
-    pairs = staged(pairs.filter(F.col("term").rlike("[^0-9]")), "pairs")
-    schema = "term string, strength double"
-    total = mentions.agg(F.sum("n")).first()[0]
-    if not total or not pairs.limit(1).count():
-        return docs.sparkSession.createDataFrame([], schema)
+    texts = staged(texts.select("text", "n", F.array_distinct(F.flatten("words")).alias("said"), near.alias("near")), "mentions")
+    said = texts.select("text", "n", F.explode("near").alias("x")).groupBy("text", "n", "x.entity")
+    said = said.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("x.near")))).alias("near"))
+    return texts.select("text", F.col("said").alias("words")), staged(said.withColumn("context", F.xxhash64("near")), "entities")
+
+
+def _pairs(rows: DataFrame, prior: float) -> DataFrame:
+    """Per entity and term of ``rows`` the documents with both and their different surroundings."""
+    found = rows.groupBy("entity", "term", "context").agg(F.sum("n").alias("n")).groupBy("entity", "term")
+    return found.agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts")).withColumn("prior", F.lit(prior))
+
+
+def revealing_terms(docs: DataFrame) -> DataFrame:
+    """``term`` and ``strength``, the greatest share of some entity's information that it reveals, from ``GENERALISE`` on."""
+    texts, said = _mentions(docs)
+    total = said.agg(F.sum("n")).first()[0]
+    if not total:
+        return docs.sparkSession.createDataFrame([], "term string, strength double")
+    entities = said.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.countDistinct("context").alias("_contexts"))
+    entities = staged(entities.withColumn("own", F.log2(F.lit(float(total)) / F.col("n_entity"))).filter("own > 0"), "own")
+    near = _pairs(said.select("entity", "context", "n", F.explode("near").alias("term")), NEAR_PRIOR)
+    # One surrounding never outweighs the prior of two, so such entities have no terms far from them.
+    told = said.join(broadcast_if_small(entities.filter("_contexts > 1").select("entity")), "entity", "left_semi").select("text", "entity", "context", "n")
+    far = _pairs(texts.join(broadcast_if_small(told), "text").select("entity", "context", "n", F.explode("words").alias("term")), FAR_PRIOR)
+    # The share of a term's documents that name the entity is at most 1; pairs that would not do with that are left out.
+    known = near.unionByName(far.filter("contexts > 1")).join(broadcast_if_small(entities.select("entity", "n_entity", "own")), "entity")
+    base = F.col("n_entity") / F.lit(float(total))
+
+    def smoothed(share: Column) -> Column:
+        return (F.col("contexts") * share + F.col("prior") * base) / (F.col("contexts") + F.col("prior"))
+
+    def strength(chance: Column) -> Column:
+        return 1 + F.log2(chance) / F.col("own")
+
+    pairs = staged(known.filter(strength(smoothed(F.lit(1.0))) >= GENERALISE), "pairs")
     candidates = pairs.select("term").distinct()
-    everywhere = _with_base(docs).select(F.explode(_outside(F.col("parts"))).alias("term"))
-    often = everywhere.join(broadcast_if_small(candidates), "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    own = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    mutual = F.log2(F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))) + own
-    told = pairs.join(often, "term").filter(own > 0).select("term", (mutual / own).alias("strength"))
-    return told.groupBy("term").agg(F.max("strength").alias("strength")).filter(F.col("strength") >= GENERALISE)
+    everywhere = _with_base(docs).select(F.explode(F.array_distinct(_outside(F.col("parts")))).alias("term"))
+    few = candidates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    often = (everywhere.join(F.broadcast(candidates), "term") if few else everywhere).groupBy("term").agg(F.count("*").alias("n_term"))
+    share = F.col("n_both") / F.col("n_term")
+    sure = (strength(smoothed(share)) >= GENERALISE) & ((F.col("prior") == NEAR_PRIOR) | (smoothed(share) >= 0.5))
+    shown = pairs.join(often, "term").filter(sure).select("term", strength(share).alias("strength"))
+    return shown.groupBy("term").agg(F.max("strength").alias("strength"))
 
 
 def _tagged(base: Column) -> Column:
@@ -197,7 +225,7 @@ def find_personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 
     With ``keep``, these columns come along. Spans are (start, kind, end, tag), sorted, in code points; kinds are numbered as in ``NAMES``. A null text counts
     as empty; repeated rows get the same spans; null ids and other columns do not
-    matter; no rows give no rows. Terms have a letter; they are words, A-Z lower-cased, and never part of a base span.
+    matter; no rows give no rows. Terms are words, A-Z lower-cased, and never part of a base span.
     """
     terms = staged(revealing_terms(docs), "terms")
     tags = terms.select("term", F.when(F.col("strength") >= REMOVE, "").otherwise("[TERM]").alias("tag"))
