@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -170,6 +171,32 @@ def test_line_labels_follow_the_text(spark):
     assert got == {1: "111111000000", 2: "111111"}
 
 
+def test_lines_after_the_thirtieth_are_learned(spark):
+    good = [f"This is a plain sentence with some number {i} of words." for i in range(80)]
+    bad = ["BUY### NOW$$$ CHEAP%%% ||| *** $$$" for _ in range(40)]
+    model = quality.fit(spark.createDataFrame([("\n".join(good), 1), ("\n".join(good[:40] + bad), 0)] * 5, "text string, label int"))
+    docs = spark.createDataFrame([(1, "\n".join(good[:6] + bad[:6])), (2, "\n".join(good[:6]))], "doc_id bigint, text string")
+    got = {r.doc_id: r.line_labels for r in quality.judge(docs, model).collect()}
+    assert got[1].endswith("000000") and got[2] == "111111"
+
+
+def test_line_model_against_all_paths():
+    rng = np.random.default_rng(11)
+    given = [(rng.normal(size=(n, len(quality.FEATURES))), rng.integers(0, 2, n)) for n in (3, 1, 5, 4)]
+    w, m = quality.train(given)
+    # At the greatest likelihood what is expected of all paths is what was seen, but for the shrinkage.
+    lines, moves = np.zeros_like(w), np.zeros_like(m)
+    for x, y in given:
+        paths = [np.array(p) for p in itertools.product((0, 1), repeat=len(y))]
+        value = np.array([sum(x[i] @ w[:, p[i]] for i in range(len(p))) + m[p[:-1], p[1:]].sum() for p in paths])
+        chance = np.exp(value - value.max()) / np.exp(value - value.max()).sum()
+        for p, share in [*zip(paths, chance, strict=True), (y, -1.0)]:
+            lines += share * x.T @ np.eye(2)[p]
+            moves += share * np.eye(2)[p[:-1]].T @ np.eye(2)[p[1:]]
+    n = sum(len(y) for _, y in given)
+    assert np.abs(lines / n + quality.SHRINK * w).max() < 2e-3 and np.abs(moves / (n - len(given)) + quality.SHRINK * m).max() < 2e-3
+
+
 def test_chat_query_counts_code_points(spark):
     r = QUERIES["op1_chat_formatting"].run(spark, "/root/testdata/sf0.001").filter("conv_id = -7").first()
     assert r.loss_sha256 == hashlib.sha256(b"</s>[INST] ok [/INST]").hexdigest() and r.n_turns == 2 and r.loss_chars == 21

@@ -26,9 +26,8 @@ CONTENT_SHARE = 0.5
 SYMBOLS = "#*$%&|<>"  # fixed by the task
 SPACES = "\t\n\x0b\x0c\r "  # between words, fixed by the task
 
-SAMPLE_PER_CLASS = 400  # labelled documents that the model is fitted on, about
-TRAINING_LINES = 30  # of each of these; decoding takes all lines
-STEPS, RATE, SHRINK = 120, 0.2, 1e-3
+SAMPLE_PER_CLASS = 1500  # labelled documents that the model is fitted on, about; all lines of each
+STEPS, RATE, SHRINK = 300, 0.1, 1e-3
 CHUNK_CHARS = 2_000_000
 PLANES = 0x30000
 
@@ -157,40 +156,46 @@ class Model(NamedTuple):
 PLAIN = Model(np.stack([np.zeros(len(FEATURES)), np.eye(len(FEATURES))[0]], axis=1), np.zeros((2, 2)))
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
-
-
 def train(sequences: list[tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Maximum likelihood, by forward and backward sums over all sequences (lines x features, labels) at once."""
-    steps, size = max(len(y) for _, y in sequences), len(sequences)
-    x = np.zeros((size, steps, len(FEATURES)))
-    y = np.zeros((size, steps), dtype=np.int64)
-    real = np.zeros((size, steps), dtype=bool)
-    for i, (lines, labels) in enumerate(sequences):
-        x[i, : len(labels)], y[i, : len(labels)], real[i, : len(labels)] = lines, labels, True
-    told = np.eye(2)[y] * real[:, :, None]
-    pairs = real[:, 1:].sum()
-    seen_moves = np.einsum("ita,itb->ab", told[:, :-1], told[:, 1:])
+    """Maximum likelihood, by forward and backward sums over all sequences (lines x features, labels) at once.
+
+    Lines are laid out by their place in the sequence, the longest sequences first, so nothing is padded: step t takes the
+    t-th line of all sequences that have one. Sums are scaled to 1 line by line.
+    """
+    sequences = sorted(sequences, key=lambda s: -len(s[1]))
+    sizes = np.array([len(labels) for _, labels in sequences])
+    rank = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(rank)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.lexsort((rank, place))
+    x, y = (np.concatenate([s[i] for s in sequences])[order] for i in (0, 1))
+    ends = np.cumsum(np.bincount(place))
+    begins = ends - np.bincount(place)
+    later = np.arange(ends[0], len(order))  # lines that have one before them
+    before = begins[place[order][later] - 1] + rank[order][later]
+    told = np.eye(2)[y]
+    seen_moves = told[before].T @ told[later]
     params = [np.zeros((len(FEATURES), 2)), np.zeros((2, 2))]
     mean, square = [0 * p for p in params], [0 * p for p in params]
     for step in range(1, STEPS + 1):
         w, m = params
         s = x @ w
-        alpha, beta = np.zeros_like(s), np.zeros_like(s)
-        alpha[:, 0] = s[:, 0]
-        for k in range(1, steps):
-            alpha[:, k] = np.where(real[:, k, None], _log_sum(alpha[:, k - 1, :, None] + m, 1) + s[:, k], alpha[:, k - 1])
-        for k in range(steps - 2, -1, -1):
-            beta[:, k] = np.where(real[:, k + 1, None], _log_sum(m + (s[:, k + 1] + beta[:, k + 1])[:, None, :], 2), 0)
-        whole = _log_sum(alpha[:, -1], 1)
-        chance = np.exp(alpha + beta - whole[:, None, None]) * real[:, :, None]
-        joint = alpha[:, :-1, :, None] + m + (s[:, 1:] + beta[:, 1:])[:, :, None, :] - whole[:, None, None, None]
-        moved = (np.exp(np.minimum(joint, 0)) * real[:, 1:, None, None]).sum(axis=(0, 1))
+        e, moves = np.exp(s - s.max(axis=1, keepdims=True)), np.exp(m)
+        alpha, beta, scale = e.copy(), np.ones_like(e), np.empty((len(e), 1))
+        for k, (first, last) in enumerate(zip(begins, ends, strict=True)):
+            here = alpha[first:last]
+            if k:
+                here *= alpha[begins[k - 1] : begins[k - 1] + last - first] @ moves
+            scale[first:last] = here[:, :1] + here[:, 1:]
+            here /= scale[first:last]
+        for k in range(len(ends) - 1, 0, -1):
+            first, last = begins[k], ends[k]
+            beta[first:last] *= e[first:last] / scale[first:last]  # with its line, as those before need it
+            beta[begins[k - 1] : begins[k - 1] + last - first] = beta[first:last] @ moves.T
+        moved = moves * (alpha[before].T @ beta[later])
+        beta[later] *= scale[later] / np.maximum(e[later], 1e-300)
         grads = [
-            np.einsum("itf,itl->fl", x, chance - told) / real.sum() + SHRINK * w,
-            (moved - seen_moves) / max(pairs, 1) + SHRINK * m,
+            x.T @ (alpha * beta - told) / len(x) + SHRINK * w,
+            (moved - seen_moves) / max(len(later), 1) + SHRINK * m,
         ]
         for p, g in enumerate(grads):
             mean[p] = 0.9 * mean[p] + 0.1 * g
@@ -210,7 +215,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_PER_CLASS) -> Model:
         for batch in batches:
             out = []
             for text, label in zip(batch["text"], batch["label"], strict=True):
-                found = describe([text]).lines[:TRAINING_LINES]
+                found = describe([text]).lines
                 if len(found):
                     out.append((int(label), found.astype("<f8").tobytes()))
             yield pd.DataFrame(out, columns=["label", "lines"])
