@@ -71,6 +71,19 @@ def test_extraction(html, want):
     assert extraction.main_blocks(extraction.page_lines(html)) == want
 
 
+def test_extraction_by_text_not_by_marks():
+    long = [f"Paragraph {i} says what the page is about, at some length and in whole sentences of many words." for i in range(6)]
+    body = "".join(f"<p>{t}</p>" for t in long)
+    kept = lambda html: extraction.main_blocks(extraction.page_lines(html))
+    teaser, notice = "<article class=card>Read our other story</article>", "<div>We use your data, please agree to it</div><nav>n</nav>"
+    assert [t for t in kept(f"<div>{body}</div>{teaser}") if t in long] == long  # a decoy
+    assert kept(f"{notice}<div>{body}<aside>x</aside><p>Yes.</p><form>f</form></div>") == [*long, "Yes."]
+    assert kept(f"{notice}<article>{body}<aside>x</aside><p>Yes.</p></article>") == [*long, "Yes."]
+    menu = "".join(f"<li>{w}</li>" for w in ("Home", "News", "Sport", "Jobs", "Map", "Help", "Mail", "Radio"))
+    got = kept(f"<ul>{menu}</ul><div>{body}</div>")
+    assert got[-6:] == long and "Home" not in got
+
+
 def test_extraction_rows(spark):
     df = spark.createDataFrame([(None, "u", None, "t"), (2**60 + 1, None, "<article><p>a</article>", "t"), (2**60 + 1, None, "<article><p>a</article>", "t")], "page_id bigint, url string, html string, text string")
     got = sorted(map(tuple, extraction.extract(df).select("page_id", "url", "text", "n_chars").collect()), key=str)

@@ -2,9 +2,10 @@
 
 Markup is stripped to lines, one per block element. Parts that are not the article by their
 element, role or class (menus, adverts, forms, reader comments and so on) leave empty lines, and so do the edges of
-an article. Over the lines slides a window; the text in it rises from nothing at a surge point and falls
-back to nothing at a dive point. What lies between the two is kept if it belongs to an
-article or, on pages that mark none, if the window somewhere holds enough text.
+an article. Over the lines slides a window; the text in it rises at a surge point and falls back at a
+dive point. What lies between the two is kept if the fullest window there holds enough text, and enough beside the
+fullest of the page. Text in an article element weighs more and stands or falls as a whole, whatever its gaps; blocks
+that share their container with a kept one are kept.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from pyspark.sql import functions as F
 from .common import map_texts
 
 WINDOW = 3  # lines
-SURGE = 30  # characters in a window, for pages without an article element
+SURGE = 30  # characters in a window, for text outside of an article element
+MARKED = 4  # what a character in an article element weighs
+SHARE = 0.2  # of the page's fullest window that the fullest of a block must hold
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -41,6 +44,8 @@ BOILERPLATE = frozenset(
     share sharing social breadcrumb breadcrumbs menu menus nav navbar navigation pagination pager toolbar masthead header footer copyright
     comment comments commentlist disqus reply replies respond discussion search skip""".split()
 )
+# Elements that hold text within a container.
+FLOW = INLINE | SILENT | frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre figure figcaption address center table thead tbody tfoot tr td th html body".split())
 READERS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 PRESENCE = frozenset("has no with without not".split())  # "has-sidebar" says something about another element
 
@@ -55,22 +60,23 @@ def _names(value: str | None) -> set[str]:
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: text and whether it stands in an article."""
+    """Lines of a page: text, number of the outermost article it stands in, number of its container; 0 for none."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, bool]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.open: list[tuple[str, bool]] = []  # element, whether it is dropped
-        self.dropped = self.articles = 0
+        self.containers: list[int] = [0]
+        self.dropped = self.articles = self.article = self.made = 0
         self.text: list[str] = []
 
     def _end_line(self, gap: bool = False) -> None:
         line = " ".join("".join(self.text).split())
         self.text = []
         if line:
-            self.lines.append((line, self.articles > 0))
+            self.lines.append((line, self.article if self.articles else 0, self.containers[-1]))
         if gap:
-            self.lines += [("", False)] * WINDOW
+            self.lines += [("", 0, 0)] * WINDOW
 
     def _is_dropped(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in DROPPED or tag == "header" and not self.articles:
@@ -105,6 +111,11 @@ class _Lines(HTMLParser):
         if (drop and tag not in SILENT or tag in ARTICLE) and not self.dropped:
             self._end_line(gap=True)
         self.open.append((tag, drop))
+        self.made += 1
+        if tag not in FLOW:
+            self.containers.append(self.made)
+        if tag in ARTICLE and not self.articles:
+            self.article = self.made
         self.dropped += drop
         self.articles += tag in ARTICLE
 
@@ -118,6 +129,8 @@ class _Lines(HTMLParser):
             tag, drop = self.open.pop()
             if tag not in INLINE and not self.dropped:
                 self._end_line(gap=tag in ARTICLE)
+            if tag not in FLOW:
+                self.containers.pop()
             self.dropped -= drop
             self.articles -= tag in ARTICLE
 
@@ -139,7 +152,7 @@ class _Lines(HTMLParser):
         self._end_line()
 
 
-def page_lines(html: str) -> list[tuple[str, bool]]:
+def page_lines(html: str) -> list[tuple[str, int, int]]:
     """Lines of a page, with empty ones where something was dropped."""
     parser = _Lines()
     parser.feed(html)
@@ -147,25 +160,34 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
     return parser.lines
 
 
-def main_blocks(lines: list[tuple[str, bool]]) -> list[str]:
+def main_blocks(lines: list[tuple[str, int, int]]) -> list[str]:
     """The lines between surge and dive points that are kept."""
-    if not lines:
+    filled = np.flatnonzero([len(t) for t, _, _ in lines])
+    if not len(filled):
         return []
-    length = np.array([len(t) for t, _ in lines])
-    sums = np.concatenate([[0], np.cumsum(length)])
-    # Text in the window that ends at a line and in the one that begins there; a dive is where both are empty.
-    n = np.arange(len(lines))
-    after = sums[np.minimum(n + WINDOW, len(lines))] - sums[n]
-    filled = np.flatnonzero(length)
-    marked = any(a for _, a in lines)
-    kept: list[str] = []
-    for part in np.split(filled, np.flatnonzero(np.diff(filled) > WINDOW) + 1):
-        if not len(part):
-            continue
-        surge, dive = part[0], part[-1] + 1
-        if lines[surge][1] if marked else after[surge:dive].max() >= SURGE:
-            kept += [lines[i][0] for i in range(surge, dive) if lines[i][0]]
-    return kept
+    article, container = (np.array([x[k] for x in lines]) for k in (1, 2))
+    length = np.array([len(t) for t, _, _ in lines]) * np.where(article > 0, MARKED, 1)
+    # Blocks: what stands in one article, or outside of any between two gaps.
+    changes = (np.diff(filled) > WINDOW) | (np.diff(article[filled]) != 0)
+    parts = np.split(filled, np.flatnonzero(changes) + 1)
+    windows = []
+    for part in parts:
+        sums = np.concatenate([[0], np.cumsum(length[part])])
+        windows.append(sums[np.minimum(np.arange(len(part)) + WINDOW, len(part))] - sums[:-1])
+    fullest: dict[int, int] = {}
+    for part, window in zip(parts, windows, strict=True):
+        fullest[article[part[0]]] = max(fullest.get(article[part[0]], 0), int(window.max()))
+    least = SHARE * max(fullest.values())
+    kept: set[int] = set()
+    for part, window in zip(parts, windows, strict=True):
+        mark = article[part[0]]
+        if mark and fullest[mark] >= least:
+            kept.update(part.tolist())
+        elif not mark and window.max() >= max(SURGE, least):
+            risen = np.flatnonzero(window >= SURGE)
+            kept.update(part[risen[0] : risen[-1] + WINDOW].tolist())
+    mine = {container[i] for i in kept} - {0}
+    return [lines[i][0] for i in filled if i in kept or container[i] in mine]
 
 
 def extract(pages: DataFrame) -> DataFrame:
