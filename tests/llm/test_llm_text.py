@@ -117,6 +117,15 @@ def test_language_edges(spark):
     assert language.identify(docs.limit(0), language.fit(train)).count() == 0
 
 
+def test_language_in_unlisted_scripts(spark):
+    said = {"te": "తెలుగు భాష చాలా అందమైన భాష ", "gu": "ગુજરાતી ભાષા ખૂબ સુંદર ભાષા છે ", "am": "አማርኛ ቋንቋ በጣም ቆንጆ ነው "}
+    train = spark.createDataFrame([(t * 5, lang) for lang, t in said.items()] + [("the house and the garden " * 5, "en")], "text string, lang string")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*said.values(), "ພາສາລາວ ແມ່ນພາສາ"])], "doc_id bigint, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, language.fit(train)).collect()}
+    assert [got[i] for i in range(3)] == [(lang, 1.0) for lang in said]
+    assert got[3][1] == 0  # a script of no learned language
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = QUERIES["op8_language_id"].run(spark, FOLDER).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,7 +31,7 @@ CHUNK_CHARS = 1_000_000  # scored at a time
 GROUP_CHARS = 5_000_000  # labelled at a time
 UNKNOWN = "und"
 
-# Code point ranges of scripts: fixed values of the character standard.
+# Code point ranges of scripts: fixed values of the character standard. Other scripts go by the first word of their letters' names.
 SCRIPTS = {
     "latin": [(0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFF21, 0xFF5A)],
     "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)],
@@ -52,17 +53,22 @@ PLANES = 0x30000  # code points beyond are no letters
 
 @functools.lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Per code point: its lower case, or 0 if it is no letter; and its script, 0 for none of the list."""
+    """Per code point: its lower case, or 0 if it is no letter; and its script, 0 for letters without a name."""
     lower = np.zeros(PLANES + 1, dtype=np.uint32)
     for i in range(PLANES):
         c = chr(i)
         if c.isalpha():
             small = c.lower()
             lower[i] = ord(small) if len(small) == 1 else i
-    script = np.zeros(PLANES + 1, dtype=np.int8)
+    script = np.zeros(PLANES + 1, dtype=np.int16)
     for k, ranges in enumerate(SCRIPTS.values(), 1):
         for first, last in ranges:
             script[first : last + 1] = k
+    numbers = {name.upper(): k for k, name in enumerate(SCRIPTS, 1)}
+    for i in np.flatnonzero((lower > 0) & (script == 0)).tolist():
+        name = unicodedata.name(chr(i), "")
+        if name:
+            script[i] = numbers.setdefault(name.split()[0], len(numbers) + 1)
     return lower, script
 
 
@@ -121,6 +127,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
     Every language contributes about ``sample`` documents, chosen by a hash of their text; their
     trigrams and scripts are counted on the executors, so the driver gets sums of a fixed size.
     """
+    n_scripts = int(_tables()[1].max()) + 1
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
@@ -135,20 +142,19 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
                 for _, texts in _chunks(group["text"].tolist()):
                     w = find_words(texts)
                     grams = np.bincount(w.buckets, minlength=1 << BUCKET_BITS)
-                    scripts = np.bincount(w.script, weights=w.letters, minlength=len(SCRIPTS) + 1).astype(np.int64)
+                    scripts = np.bincount(w.script, weights=w.letters, minlength=n_scripts).astype(np.int64)
                     for kind, counts in (("gram", grams), ("script", scripts)):
                         at = np.flatnonzero(counts)
                         yield pd.DataFrame({"lang": lang, "kind": kind, "at": at, "n": counts[at]})
 
     sums = chosen.mapInPandas(count, "lang string, kind string, at bigint, n bigint").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n"))
     grams = np.zeros((1 << BUCKET_BITS, len(languages)))
-    scripts = np.zeros((len(SCRIPTS) + 1, len(languages)))
+    scripts = np.zeros((n_scripts, len(languages)))
     for r in sums.collect():
         (grams if r["kind"] == "gram" else scripts)[r["at"], languages.index(r["lang"])] = r["n"]
     seen = max(1, int((grams.sum(axis=1) > 0).sum()))
     table = np.log(grams + SMOOTHING) - np.log(grams.sum(axis=0) + SMOOTHING * seen)
     allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
-    allowed[0] = False
     return Model(languages, table.astype(np.float32), np.where(allowed, 0.0, -1e6), allowed.any(axis=1))
 
 
