@@ -103,6 +103,12 @@ def test_viterbi_against_all_paths():
         at += n
 
 
+def test_viterbi_of_many_labels():
+    want = np.array([299, 5, 130, 255, 256, 128])
+    scores = np.eye(300)[want] * 9
+    assert viterbi.decode(scores, np.array([2, 4]), np.zeros((300, 300))).tolist() == want.tolist()
+
+
 def test_language_edges(spark):
     texts = [None, "", "123 !!", "Привет мир", "the house " * 30 + "das Haus " * 30, "X" * 50_000]
     docs = spark.createDataFrame([(2**60 + i if i else None, t, "zz") for i, t in enumerate(texts)], "doc_id bigint, text string, lang_pred string")

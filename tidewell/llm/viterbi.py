@@ -13,7 +13,8 @@ def decode(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.nda
     that step t treats the t-th item of all that have one. Ties go to the lower label.
     """
     items, labels = scores.shape
-    out = np.zeros(items, dtype=np.int8)
+    kind = np.min_scalar_type(max(labels - 1, 0))
+    out = np.zeros(items, dtype=kind)
     order = np.argsort(-lengths, kind="stable")
     order = order[lengths[order] > 0]
     if not order.size:
@@ -23,9 +24,9 @@ def decode(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.nda
     steps = int(sizes[0])
     # How many sequences are longer than t.
     active = len(sizes) - np.searchsorted(sizes[::-1], np.arange(steps), side="right")
-    came = np.zeros((items, labels), dtype=np.int8)
+    came = np.zeros((items, labels), dtype=kind)
     best = scores[starts].astype(np.float64)
-    final = np.zeros(len(sizes), dtype=np.int8)
+    final = np.zeros(len(sizes), dtype=kind)
     for t in range(1, steps):
         n, m = int(active[t]), len(best)
         if n < m:
