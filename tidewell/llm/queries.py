@@ -23,6 +23,7 @@ from .sharding import shard_documents
 from .toxicity import fit as fit_toxicity
 from .toxicity import SAMPLE_PER_CLASS as TOXIC_SAMPLE
 from .toxicity import score_documents
+from .vector_queries import QUERIES as VECTOR_QUERIES
 
 
 def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,4 +143,5 @@ QUERIES = {
     "op8_language_id": Query(op8_language_id),
     "op9_pii": Query(op9_pii),
     "op10_near_dedup": Query(op10_near_dedup),
+    **VECTOR_QUERIES,
 }
