@@ -19,6 +19,7 @@ from .pii import NAMES, find_personal_data, written
 from .quality import SAMPLE_PER_CLASS as QUALITY_SAMPLE
 from .quality import fit as fit_quality
 from .quality import judge
+from .repeat_queries import QUERIES as REPEAT_QUERIES
 from .sharding import shard_documents
 from .toxicity import fit as fit_toxicity
 from .toxicity import SAMPLE_PER_CLASS as TOXIC_SAMPLE
@@ -143,5 +144,6 @@ QUERIES = {
     "op8_language_id": Query(op8_language_id),
     "op9_pii": Query(op9_pii),
     "op10_near_dedup": Query(op10_near_dedup),
+    **REPEAT_QUERIES,
     **VECTOR_QUERIES,
 }
