@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..specs import StreamSpec, TableSpec
-from .schema import infer_paths, json_schema
+from .schema import describe_fields, infer_paths, json_schema
 
 CATALOG_SCHEMA = (
     "name string, json_schema string, supported_sync_modes array<string>, source_defined_cursor boolean, "
@@ -18,9 +19,18 @@ CATALOG_SCHEMA = (
 )
 
 
-def sample(records: DataFrame, n: int, order: str | None = None) -> DataFrame:
-    """The first ``n`` records, in a given order where the pick must be repeatable."""
-    return (records.orderBy(order) if order else records).limit(n)
+def sample(records: DataFrame, n: int, order: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """The first ``n`` records in a given order, or the ``n`` whose contents have the least hashes; with ``by``, of each group.
+
+    The pick depends on the records alone, not on how they are partitioned, and samples of parts merge: the least of
+    the least. Every task keeps ``n`` rows of a group before anything is shuffled.
+    """
+    rest = [F.col(f"`{c}`") for c in records.columns if c not in by]
+    first = [F.col(order)] if order else [F.xxhash64(*rest), *rest]
+    if not by:
+        return records.orderBy(*first).limit(n)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*first))
+    return records.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
 
 
 def catalog_row(spec: StreamSpec | TableSpec, schema: dict[str, Any]) -> tuple:
@@ -40,12 +50,19 @@ def discover(
     streams: dict[StreamSpec, DataFrame] | list[tuple[StreamSpec, DataFrame]],
     sample_size: int | None = None,
 ) -> DataFrame:
-    """A catalog of streams of JSON records, their schemas inferred from all records or a sample."""
-    pairs = streams.items() if isinstance(streams, dict) else streams
-    rows = []
-    for spec, records in pairs:
-        chosen = sample(records, sample_size) if sample_size else records
-        rows.append(catalog_row(spec, json_schema(infer_paths(chosen))))
+    """A catalog of streams of JSON records, their schemas inferred from all records or a sample, all in one job."""
+    pairs = list(streams.items() if isinstance(streams, dict) else streams)
+    if not pairs:
+        return spark.createDataFrame([], CATALOG_SCHEMA)
+    told = [records.select(F.lit(number).alias("_stream"), "record") for number, (_, records) in enumerate(pairs)]
+    records = reduce(DataFrame.unionByName, told)
+    if sample_size:
+        records = sample(records, sample_size, by=("_stream",))
+    fields: dict[int, list[Any]] = {}
+    # Only schemas come to the driver.
+    for row in describe_fields(infer_paths(records, by=("_stream",)), by=("_stream",)).collect():
+        fields.setdefault(row["_stream"], []).append(row)
+    rows = [catalog_row(spec, json_schema(fields.get(number, []))) for number, (spec, _) in enumerate(pairs)]
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 

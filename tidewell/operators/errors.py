@@ -37,6 +37,17 @@ def retry_worklist(decoded: DataFrame) -> DataFrame:
     return bad_records(decoded).groupBy("stream", "partition_id", "page_no").agg(F.count("*").alias("errors"))
 
 
+def chain_errors(pages: DataFrame, strategy: str, max_errors: int = 100) -> DataFrame:
+    """Chains with bad records: their number ``errors``, and whether that makes them ``failed``.
+
+    ``pages`` has ``n_bad`` per page, so nothing is decoded for it. With ``fail`` one bad record is too many, with
+    ``skip`` more than ``max_errors`` are; with ``retry`` pages are fetched again and no chain fails.
+    """
+    errors = pages.filter("n_bad > 0").groupBy("stream", "partition_id").agg(F.sum("n_bad").alias("errors"))
+    bound = {"fail": F.lit(0), "skip": F.lit(max_errors)}.get(strategy)
+    return errors.withColumn("failed", F.lit(False) if bound is None else F.col("errors") > bound)
+
+
 def check_errors(errors: int, max_errors: int = 100) -> None:
     if errors > max_errors:
         raise TooManyErrors(f"{errors} bad records, {max_errors} allowed")

@@ -77,6 +77,15 @@ def sync_stats(df: DataFrame, stream: str, field: str | None = None, page: Colum
     )
 
 
+def greatest_cursors(cursors: DataFrame, keys: list[str], rows: DataFrame, field: str) -> DataFrame:
+    """The greatest ``cursor`` of each key among cursors as text, compared as values of the column ``field`` of ``rows``."""
+    dtype = rows.select(field).schema[0].dataType
+    text = F.col("cursor")
+    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+        text = F.regexp_replace(text, "Z$", "")
+    return cursors.filter("cursor IS NOT NULL").groupBy(*keys).agg(F.max_by("cursor", text.cast(dtype)).alias("cursor"))
+
+
 def slice_cursors(df: DataFrame, keys: list[str], field: str) -> DataFrame:
     """The new cursor of every slice, as state rows need it."""
     return df.groupBy(*keys).agg(max_cursor(df, field).alias("cursor"), F.count("*").alias("records"))

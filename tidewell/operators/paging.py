@@ -9,13 +9,14 @@ chain with very many pages is not sorted in one task.
 from __future__ import annotations
 
 import json
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import extract_elements, path_string, path_variant
 from ..functions.text import link_url
-from ..session import staged
+from ..sources.decode import body_value, page_items
 from ..specs import Paging, Stop
 from .dedup import latest_per_key
 
@@ -23,43 +24,79 @@ CHAIN = ["stream", "partition_id"]
 BLOCK = 4096  # pages per block of a running total
 
 
-def page_signals(pages: DataFrame, paging: Paging, records_path: str | None = None) -> DataFrame:
-    """One small row per page: record count, what the stop condition needs, and the way on.
+def _beside_records(pages: DataFrame, paging: Paging, fmt: str) -> tuple[DataFrame, dict[str, Column]]:
+    """What the body says besides its records: ``total``, ``field_hit`` and the way ``onward``.
 
-    A page table that already has ``n_records`` (from another format) keeps it.
+    The body is read for it only where the strategy or the stop condition needs it.
     """
-    stop, body = paging.stop, F.col("_v")
-    parsed = pages.withColumn("_v", F.try_parse_json("body"))
-    if "n_records" in pages.columns:
-        count = F.col("n_records").cast("bigint")
-    else:
-        parsed = extract_elements(parsed, "_v", records_path, "_values")
-        count = F.size("_values").cast("bigint")
-    total = F.lit(None).cast("bigint")
-    hit = F.lit(False)
-    if stop is not None and stop.kind in ("total_count", "total_pages"):
+    stop, body = paging.stop, F.col("_body")
+    total, hit, onward = F.lit(None).cast("bigint"), F.lit(False), F.lit(None).cast("string")
+    kind = stop.kind if stop is not None and paging.strategy not in ("link_header", "next_url", "none") else None
+    if kind in ("total_count", "total_pages", "field") or paging.strategy in ("cursor", "next_url"):
+        pages = pages.withColumn("_body", body_value(fmt))
+    if kind in ("total_count", "total_pages"):
         text = path_string(body, stop.path)
         total = F.when(text.rlike(r"^\+?[0-9]+$"), text.try_cast("bigint"))
-    elif stop is not None and stop.kind == "field":
+    elif kind == "field":
         # Equal as JSON: both sides are written out by the same encoder.
         wanted = F.to_json(F.parse_json(F.lit(json.dumps(stop.value))))
         hit = F.coalesce(F.to_json(path_variant(body, stop.path)) == wanted, F.lit(False))
-    onward = F.lit(None).cast("string")
     if paging.strategy == "cursor":
         onward = path_string(body, paging.cursor_path)
     elif paging.strategy == "next_url":
         onward = path_string(body, paging.next_path)
     elif paging.strategy == "link_header":
         onward = link_url(F.try_element_at(F.col("headers"), F.lit("link")), paging.rel)
+    return pages, {"total": total, "field_hit": hit, "onward": F.nullif(onward, F.lit(""))}
+
+
+def page_signals(pages: DataFrame, paging: Paging, records_path: str | None = None, fmt: str = "json", **options: Any) -> DataFrame:
+    """One small row per page: record count, what the stop condition needs, and the way on.
+
+    Records are counted as the decoder of the format sees them; a page table that already has ``n_records`` keeps it.
+    """
+    parsed, signals = _beside_records(pages, paging, fmt)
+    if "n_records" in pages.columns:
+        count = F.col("n_records").cast("bigint")
+    elif fmt == "json":
+        if "_body" not in parsed.columns:
+            parsed = parsed.withColumn("_body", body_value(fmt))
+        parsed = extract_elements(parsed, "_body", records_path, "_values")
+        count = F.size("_values").cast("bigint")
+    else:
+        parsed = page_items(parsed, fmt, records_path, **options)
+        count = F.size("items").cast("bigint")
     return parsed.select(
         *CHAIN,
         "page_no",
         count.alias("n_records"),
-        total.alias("total"),
-        hit.alias("field_hit"),
-        F.nullif(onward, F.lit("")).alias("onward"),
+        *[value.alias(name) for name, value in signals.items()],
+        *(["fetched_at"] if "fetched_at" in pages.columns else []),
+        fetch_id(pages).alias("fetch"),
+    )
+
+
+def decoded_pages(pages: DataFrame, paging: Paging, fmt: str = "json", records_path: str | None = None, **options: Any) -> DataFrame:
+    """One row per fetch: its signals, its records as ``items``, and in ``bad`` the places of those that cannot be read.
+
+   Everything that a sync needs of a body is made here, in one narrow pass; ``row`` numbers the rows once they are
+    stored. All but ``items`` is small.
+    """
+    parsed, signals = _beside_records(pages, paging, fmt)
+    names = {name: f"_{name}" for name in signals}
+    parsed = parsed.withColumns({names[name]: value for name, value in signals.items()}).drop("_body")
+    listed = page_items(parsed, fmt, records_path, **options)
+    places = F.filter(F.transform("items", lambda r, i: F.when(r["record"].isNull(), i)), lambda i: i.isNotNull())
+    return listed.select(
+        *CHAIN,
+        "page_no",
+        F.size("items").cast("bigint").alias("n_records"),
+        *[F.col(f"_{name}").alias(name) for name in signals],
         *(["fetched_at"] if "fetched_at" in pages.columns else []),
         fetch_id(pages).alias("fetch"),
+        places.alias("bad"),
+        F.monotonically_increasing_id().alias("row"),
+        "items",
     )
 
 
@@ -70,27 +107,30 @@ def fetch_id(pages: DataFrame) -> Column:
 
 def latest_signals(signals: DataFrame) -> DataFrame:
     """One signal per page: the one of its last fetch."""
-    order = [c for c in ("fetched_at", "fetch") if c in signals.columns]
+    order = [c for c in ("fetched_at", "fetch", "row") if c in signals.columns]
     return latest_per_key(signals, [*CHAIN, "page_no"], order)
 
 
-def only_fetches(pages: DataFrame, signals: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``pages`` that are the ``kept`` fetches, each once.
+def page_runs(pages: DataFrame, block: int = BLOCK, *kept: Column) -> DataFrame:
+    """The pages of each chain as maximal runs without a hole: ``first_page`` to ``last_page``.
 
-    ``signals`` are those of all pages. What moves is the list of fetches to drop; pages that landed twice alike are
-    the only ones whose bodies are compared.
+    Pages are ranked within blocks of a chain; where the rank falls behind the page number a run begins. The
+    runs of a block, one if nothing is missing, are then joined with those that they continue. ``kept`` are
+    aggregates that can be taken again over their own results, such as least and greatest values.
     """
-    key = [*CHAIN, "page_no", "fetch"]
-    drop = signals.select(*key).join(kept.select(*key), key, "left_anti").distinct()
-    twice = signals.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").join(kept.select(*key), key, "left_semi").drop("_n")
-    drop, twice = staged(drop, "drop"), staged(twice, "twice")
-    found = pages.withColumn("fetch", fetch_id(pages))
-    if drop.limit(1).count():
-        found = found.join(drop, key, "left_anti")
-    if twice.limit(1).count():
-        again = found.join(twice, key, "left_semi").dropDuplicates(key)
-        found = found.join(twice, key, "left_anti").unionByName(again)
-    return found.drop("fetch")
+    number = F.floor((F.col("page_no") - 1) / block)
+    inside = Window.partitionBy(*CHAIN, "_block").orderBy("page_no")
+    ranked = pages.withColumn("_block", number).withColumn("_island", F.col("page_no") - F.dense_rank().over(inside))
+    parts = ranked.groupBy(*CHAIN, "_block", "_island").agg(F.min("page_no").alias("first_page"), F.max("page_no").alias("last_page"), *kept)
+    along = Window.partitionBy(*CHAIN).orderBy("first_page")
+    begins = F.coalesce(F.lag("last_page").over(along) + 1 != F.col("first_page"), F.lit(True)).cast("int")
+    numbered = parts.withColumn("_begins", begins).withColumn("_run", F.sum("_begins").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.drop("_block", "_island", "_begins")
+
+
+def joined_runs(parts: DataFrame) -> DataFrame:
+    """The parts of ``page_runs`` as whole runs."""
+    return parts.groupBy(*CHAIN, "_run").agg(F.min("first_page").alias("first_page"), F.max("last_page").alias("last_page")).drop("_run")
 
 
 def with_running_total(signals: DataFrame, value: str = "n_records", name: str = "fetched", block: int = BLOCK) -> DataFrame:
@@ -191,34 +231,30 @@ def chain_ends(replayed: DataFrame) -> DataFrame:
 def usable_ends(replayed: DataFrame, bad: DataFrame | None = None) -> DataFrame:
     """Per chain, how far it can be written: to its stop, and never past a missing or ``bad`` page.
 
-    ``replayed`` may have ``page_before``, the last page written by earlier runs (0 without). ``last_page`` is the last
-    usable page, NULL if there is none. ``status`` is ``complete`` where the stop is reached, ``gap`` where a page
-    is missing before it, ``open`` where more pages are to come. Everything is aggregates and joins of small rows.
+    ``replayed`` may have ``page_before``, the last page written by earlier runs (0 without). What can be written is the run of
+    pages that starts right after it. ``last_page`` is the last usable page, NULL if there is none. ``status`` is ``complete``
+    where the stop is reached, ``gap`` where pages wait behind a missing or bad one, ``open`` where more are to
+    come. Everything is aggregates of small rows, folded by block first.
     """
     start = F.coalesce("page_before", F.lit(0)) if "page_before" in replayed.columns else F.lit(0)
-    known = replayed.select(*CHAIN, "page_no", start.alias("_start"))
-    before = known.select(*CHAIN, (F.col("page_no") + 1).alias("page_no"))
-    holes = known.filter(F.col("page_no") > F.col("_start") + 1).join(before, [*CHAIN, "page_no"], "left_anti")
-    blocked = holes.select(*CHAIN, F.col("page_no").alias("_blocked"))
-    if bad is not None:
-        blocked = blocked.unionByName(bad.select(*CHAIN, F.col("page_no").alias("_blocked")))
-    blocked = blocked.groupBy(*CHAIN).agg(F.min("_blocked").alias("_blocked"))
-    ends = replayed.groupBy(*CHAIN).agg(
-        F.min(F.when(F.col("stop_reason").isNotNull(), F.col("page_no"))).alias("stop_page"),
-        F.max("page_no").alias("_greatest"),
-        F.max(start).alias("_start"),
+    stop = F.min(F.when(F.col("stop_reason").isNotNull(), F.col("page_no"))).alias("stop_page")
+    parts = page_runs(replayed, BLOCK, stop, F.max(start).alias("_start"))
+    whole = parts.groupBy(*CHAIN, "_run").agg(
+        F.min("first_page").alias("_first"), F.max("last_page").alias("_last"), F.min("stop_page").alias("stop_page"), F.max("_start").alias("_start")
     )
-    ends = ends.join(blocked, CHAIN, "left")
-    last = F.least(F.coalesce("stop_page", "_greatest"), F.coalesce(F.col("_blocked") - 1, "_greatest"))
-    ends = ends.withColumn("last_page", F.when(last > F.col("_start"), last))
-    inside = replayed.join(ends.select(*CHAIN, "last_page"), CHAIN).filter(F.col("page_no") <= F.col("last_page"))
-    totals = inside.groupBy(*CHAIN).agg(F.count("*").alias("pages"), F.sum("n_records").alias("records"))
-    status = (
-        F.when(F.col("stop_page") <= F.col("last_page"), "complete").when(F.col("_blocked").isNotNull(), "gap").otherwise("open")
-    )
-    return ends.join(totals, CHAIN, "left").select(
-        *CHAIN, "stop_page", "last_page", F.coalesce("pages", F.lit(0)).alias("pages"), F.coalesce("records", F.lit(0)).alias("records"), status.alias("status")
+    after = F.col("_start").between(F.col("_first") - 1, F.col("_last") - 1)
+    ends = whole.groupBy(*CHAIN).agg(
+        F.min("stop_page").alias("stop_page"), F.max("_last").alias("_greatest"), F.max("_start").alias("_start"), F.max(F.when(after, F.col("_last"))).alias("_reach")
     )
+    last = F.when(F.col("_reach").isNotNull(), F.least("stop_page", "_reach"))
+    if bad is not None:
+        ends = ends.join(bad.groupBy(*CHAIN).agg((F.min("page_no") - 1).alias("_sound")), CHAIN, "left")
+        last = F.when(F.col("_reach").isNotNull(), F.least("stop_page", "_reach", "_sound"))
+    ends = ends.withColumn("last_page", F.when(last > F.col("_start"), last))
+    waiting = F.col("_greatest") > F.coalesce("last_page", "_start")
+    status = F.when(F.col("stop_page") <= F.col("last_page"), "complete").when(waiting, "gap").otherwise("open")
+    pages = F.coalesce(F.col("last_page") - F.col("_start"), F.lit(0)).cast("bigint")
+    return ends.select(*CHAIN, "stop_page", "last_page", pages.alias("pages"), status.alias("status"))
 
 
 def keep_pages(pages: DataFrame, ends: DataFrame) -> DataFrame:
@@ -275,13 +311,15 @@ __all__ = [
     "cap_pages",
     "chain_breaks",
     "chain_ends",
+    "decoded_pages",
     "fetch_id",
+    "joined_runs",
     "keep_pages",
     "latest_signals",
     "missing_pages",
     "next_params",
     "offset_requests",
-    "only_fetches",
+    "page_runs",
     "page_signals",
     "record_positions",
     "replay",

@@ -107,8 +107,9 @@ def infer_paths(
     max_depth: int = MAX_DEPTH,
     formats: tuple[str, ...] = FORMATS,
     depth: int | None = None,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The path table of JSON records.
+    """The path table of JSON records, or one for each value of the columns ``by``.
 
     One pass opens the records level by level, without a shuffle, and one hash
     aggregate on the path, reduced before its shuffle, counts them. ``depth``
@@ -116,13 +117,14 @@ def infer_paths(
     """
     if depth is None:
         depth = _depth(records, column, max_depth)
-    rows = records.select(F.lit(None).cast("string").alias("_f"), F.try_parse_json(column).alias("_v"))
+    rows = records.select(*by, F.lit(None).cast("string").alias("_f"), F.try_parse_json(column).alias("_v"))
     for level in range(1, depth + 1):
         inner = rows.sparkSession.tvf.variant_explode_outer(F.col("_v").outer())
         opened = rows.lateralJoin(inner.toDF("_pos", "_key", "_child"), how="left")
         # What opened is a container; only scalars and empty containers have their shape looked up.
         shape = F.when(F.col("_key").isNotNull(), "OBJECT").when(F.col("_pos").isNotNull(), "ARRAY")
         rows = _told(opened, level - 1, shape.otherwise(_shape(F.col("_v"))), formats).select(
+            *by,
             *[c for c in rows.columns if c[:2] in ("_t", "_s", "_z")],
             f"_t{level - 1}",
             "_f",
@@ -134,7 +136,7 @@ def infer_paths(
     rows = _told(rows, depth, last, formats).drop("_v")
     # Rows that differ only in their values fold here, before any shuffle.
     leaves = rows.groupBy(*rows.columns).agg(F.count("*").alias("_m"))
-    return _entries(leaves, depth).groupBy("path").agg(
+    return _entries(leaves, depth, by).groupBy(*by, "path").agg(
         F.sum(F.when(F.col("real"), F.col("_m")).otherwise(0)).alias("n"),
         F.sum(F.when(F.col("kind") == OBJECT, F.col("_m")).otherwise(0)).alias("objects"),
         F.bit_or("kind").alias("types"),
@@ -150,7 +152,7 @@ def _told(rows: DataFrame, level: int, shape: Column, formats: tuple[str, ...])
     return told.withColumn("_f", F.coalesce("_f", format_name(F.col("_x"), formats))).drop("_x")
 
 
-def _entries(leaves: DataFrame, depth: int) -> DataFrame:
+def _entries(leaves: DataFrame, depth: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Each value once: a leaf carries its ancestors, and only their first leaf reports them."""
     bit = F.lit(0)
     for i, name in enumerate(FORMATS):
@@ -176,8 +178,8 @@ def _entries(leaves: DataFrame, depth: int) -> DataFrame:
             F.lit(False).alias("real"),
         )
         entries.append(F.when(hollow, items))
-    opened = leaves.select("_m", F.explode(F.array_compact(F.array(*entries))).alias("_e"))
-    return opened.select("_m", "_e.path", "_e.kind", "_e.format", "_e.real")
+    opened = leaves.select(*by, "_m", F.explode(F.array_compact(F.array(*entries))).alias("_e"))
+    return opened.select(*by, "_m", "_e.path", "_e.kind", "_e.format", "_e.real")
 
 
 def merge_paths(*tables: DataFrame) -> DataFrame:
@@ -235,7 +237,7 @@ def _parent(path: Column) -> Column:
     return F.when(path != "", up)
 
 
-def describe_fields(paths: DataFrame) -> DataFrame:
+def describe_fields(paths: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per field: count, JSON type, column type, format, nullable, required.
 
     A field is nullable when a null was seen or an object lacked it, and required
@@ -243,10 +245,10 @@ def describe_fields(paths: DataFrame) -> DataFrame:
     itself on the parent path.
     """
     parents = paths.select(
-        F.col("path").alias("_parent"), F.col("objects").alias("_objects"), F.col("n").alias("_parent_n")
+        *by, F.col("path").alias("_parent"), F.col("objects").alias("_objects"), F.col("n").alias("_parent_n")
     )
     fields = paths.filter("path <> ''").withColumn("_parent", _parent(F.col("path")))
-    joined = fields.join(parents, "_parent", "left")
+    joined = fields.join(parents, [*by, "_parent"], "left")
     item = F.col("path").endswith("[]")
     missing = ~item & (F.col("n") < F.col("_objects"))
     one_format = F.bit_count("formats") == 1
@@ -256,6 +258,7 @@ def describe_fields(paths: DataFrame) -> DataFrame:
     nullable = _has(F.col("types"), NULL) | missing
     top = F.col("_parent") == ""
     return joined.select(
+        *by,
         "path",
         "n",
         json_type(F.col("types")).alias("json_type"),
@@ -290,7 +293,10 @@ def field_tree(paths: DataFrame, as_text: tuple[str, ...] = ()) -> Node:
     described = describe_fields(paths)
     for path in as_text:
         described = described.filter(~F.col("path").startswith(f"{path}.") & ~F.col("path").startswith(f"{path}[]"))
-    rows = described.collect()
+    return _tree(described.collect())
+
+
+def _tree(rows: list[Any]) -> Node:
     root = Node()
     for row in sorted(rows, key=lambda r: r.path):
         node = root
@@ -304,8 +310,8 @@ def field_tree(paths: DataFrame, as_text: tuple[str, ...] = ()) -> Node:
     return root
 
 
-def json_schema(paths: DataFrame) -> dict[str, Any]:
-    """The draft-07 JSON Schema of a path table."""
+def json_schema(paths: DataFrame | list[Any]) -> dict[str, Any]:
+    """The draft-07 JSON Schema of a path table, or of its described fields."""
 
     def render(node: Node) -> dict[str, Any]:
         kind = node.row.json_type
@@ -319,7 +325,7 @@ def json_schema(paths: DataFrame) -> dict[str, Any]:
             out["items"] = render(node.items)
         return out
 
-    root = field_tree(paths)
+    root = _tree(paths) if isinstance(paths, list) else field_tree(paths)
     schema: dict[str, Any] = {
         "$schema": "http://json-schema.org/draft-07/schema#",
         "type": "object",
@@ -358,18 +364,19 @@ def table_schema(paths: DataFrame, as_text: tuple[str, ...] = ()) -> T.StructTyp
     return struct(field_tree(paths, as_text))
 
 
-def quick_table_schema(records: DataFrame, column: str = "record", compat: bool = False) -> T.StructType:
+def quick_table_schema(records: DataFrame, column: str = "record", compat: bool = False, unknown: bool = False) -> T.StructType:
     """The table schema from one aggregate over the records, without counts or formats.
 
     ``compat`` turns a field whose objects or arrays differ in shape into text, instead of
-    merging the shapes.
+    merging the shapes. ``unknown`` keeps what only had nulls or empty containers as void and empty structs, so that other
+    runs can tell their types; ``stored_type`` gives the columns.
     """
     parsed = records.select(F.try_parse_json(column).alias("_v"))
     shape = parsed.agg(F.schema_of_variant_agg("_v")).first()[0]
     if not shape or not shape.startswith("OBJECT"):
         return T.StructType([])
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"\bVARIANT\b", "STRING", shape))
-    schema = _settle(T.DataType.fromDDL(ddl))
+    schema = _settle(T.DataType.fromDDL(ddl), unknown)
     if not compat:
         return schema
     inner = records.sparkSession.tvf.variant_explode(F.col("_v").outer()).toDF("_pos", "key", "_child")
@@ -386,19 +393,66 @@ def quick_table_schema(records: DataFrame, column: str = "record", compat: bool
     )
 
 
-def _settle(dtype: T.DataType) -> T.DataType:
+def _settle(dtype: T.DataType, unknown: bool = False) -> T.DataType:
     if isinstance(dtype, T.StructType):
-        fields = [T.StructField(f.name, _settle(f.dataType)) for f in sorted(dtype.fields, key=lambda f: f.name)]
-        return T.StructType(fields) if fields else T.StringType()
+        fields = [T.StructField(f.name, _settle(f.dataType, unknown)) for f in sorted(dtype.fields, key=lambda f: f.name)]
+        return T.StructType(fields) if fields or unknown else T.StringType()
     if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(_settle(dtype.elementType))
+        return T.ArrayType(_settle(dtype.elementType, unknown))
     if isinstance(dtype, (T.DecimalType, T.FloatType, T.DoubleType)):
         return T.DoubleType()
-    if isinstance(dtype, (T.LongType, T.BooleanType)):
+    if isinstance(dtype, (T.LongType, T.BooleanType)) or (unknown and isinstance(dtype, T.NullType)):
         return dtype
     return T.StringType()
 
 
+def stored_type(dtype: T.DataType, top: bool = True) -> T.DataType:
+    """How a type is stored: what is unknown yet, void or an object without fields, is text."""
+    if isinstance(dtype, T.StructType):
+        fields = [T.StructField(f.name, stored_type(f.dataType, False)) for f in dtype.fields]
+        return T.StructType(fields) if fields or top else T.StringType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(stored_type(dtype.elementType, False))
+    return T.StringType() if isinstance(dtype, T.NullType) else dtype
+
+
+def refit(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value of one table schema as one of a schema merged from it.
+
+    Numbers widen, objects get the fields they lack, and what became text is JSON text.
+    """
+    target = stored_type(want, False)
+    if have == want:
+        return value
+    if isinstance(have, T.NullType):
+        return F.lit(None).cast(target)
+    if isinstance(want, T.StringType):
+        nested = isinstance(have, (T.ArrayType, T.MapType)) or (isinstance(have, T.StructType) and have.fields)
+        return F.to_json(value) if nested else value.cast("string")
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        if not have.fields:
+            return F.from_json(value, target)
+        mine = {f.name: f.dataType for f in have.fields}
+        fields = [
+            (refit(value.getField(f.name), mine[f.name], f.dataType) if f.name in mine else F.lit(None).cast(stored_type(f.dataType, False))).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda item: refit(item, have.elementType, want.elementType))
+    return value.cast(target)
+
+
+def refit_rows(df: DataFrame, have: T.StructType, want: T.StructType, rest: tuple[str, ...] = ()) -> DataFrame:
+    """Rows stored under one schema with the columns of a merged one, and the columns ``rest`` as they are."""
+    mine = {f.name: f.dataType for f in have.fields}
+    columns = []
+    for f in want.fields:
+        known = refit(F.col(f"`{f.name}`"), mine[f.name], f.dataType) if f.name in mine else F.lit(None).cast(stored_type(f.dataType, False))
+        columns.append(known.alias(f.name))
+    return df.select(*columns, *[F.col(f"`{c}`") for c in rest])
+
+
 def merge_table_schemas(a: T.StructType, b: T.StructType) -> T.StructType:
     """The union of two table schemas; fields of different kinds become strings."""
 
@@ -411,7 +465,9 @@ def merge_table_schemas(a: T.StructType, b: T.StructType) -> T.StructType:
             return T.ArrayType(merge(x.elementType, y.elementType))
         if isinstance(x, T.NullType) or isinstance(y, T.NullType):
             return y if isinstance(x, T.NullType) else x
-        if {type(x), type(y)} == {T.LongType, T.DoubleType}:
+        if isinstance(x, T.IntegralType) and isinstance(y, T.IntegralType):
+            return T.LongType()
+        if all(isinstance(t, (T.IntegralType, T.FractionalType)) and not isinstance(t, T.DecimalType) for t in (x, y)):
             return T.DoubleType()
         return T.StringType()
 

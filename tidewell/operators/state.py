@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 from ..session import matching_paths, path_exists, remove_path
 
 STATE_SCHEMA = "stream string, partition_id string, cursor string, completed boolean"
-# How far an open chain has been written; not every state has it.
-PROGRESS = {"page": "int", "records": "bigint"}
+# How far an open chain has been written, and the greatest cursor it has shown; not every state has these. ``cursor`` is
+# the bound of a chain from its first page to its stop, where ``pending`` takes its place.
+PROGRESS = {"page": "int", "records": "bigint", "pending": "string"}
 FULL_SCHEMA = STATE_SCHEMA + "".join(f", {name} {kind}" for name, kind in PROGRESS.items())
 KEY = ["stream", "partition_id"]
 
@@ -74,20 +75,27 @@ def parse_state_lines(lines: DataFrame, column: str = "line", progress: bool = F
     return lines.select(F.from_json(column, FULL_SCHEMA if progress else STATE_SCHEMA).alias("_s")).select("_s.*")
 
 
-def export_state(state: DataFrame) -> DataFrame:
-    """The state as JSON documents, one row (``stream``, ``doc``) per stream, as ``parse_state`` reads them.
+def export_state(state: DataFrame, per_doc: int | None = None) -> DataFrame:
+    """The state as JSON documents, rows of ``stream``, ``doc``, as ``parse_state`` reads them.
 
-    They are built on the executors. A stream with so many partitions that one document is
-    too large goes through ``state_lines``.
+    They are built on the executors. Without ``per_doc`` a stream is one document, which its partitions must fit into; with it a stream
+    is as many documents as it takes for about that many partitions each, and reading all of them gives the state.
     """
     entry = F.struct("cursor", "completed")
     parts = F.collect_list(F.when(F.col("partition_id").isNotNull(), F.struct("partition_id", entry.alias("entry"))))
-    docs = state.groupBy("stream").agg(
+    if per_doc is None:
+        dealt = state.withColumn("_doc", F.lit(0))
+    else:
+        sizes = state.groupBy("stream").agg(F.ceil(F.count("*") / per_doc).alias("_docs"))
+        number = F.when(F.col("partition_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("partition_id"), F.col("_docs")))
+        dealt = state.join(sizes, "stream").withColumn("_doc", number)
+    docs = dealt.groupBy("stream", "_doc").agg(
         F.max(F.when(F.col("partition_id").isNull(), F.col("cursor"))).alias("cursor"),
         F.map_from_entries(F.array_sort(parts)).alias("partitions"),
     )
     body = F.to_json(F.struct("cursor", "partitions"), {"ignoreNullFields": "false"})
-    return docs.select("stream", F.concat(F.lit('{"streams":{'), F.to_json(F.array("stream")).substr(F.lit(2), F.length(F.to_json(F.array("stream"))) - 2), F.lit(":"), body, F.lit("}}")).alias("doc"))
+    name = F.to_json(F.array("stream"))
+    return docs.select("stream", F.concat(F.lit('{"streams":{'), name.substr(F.lit(2), F.length(name) - 2), F.lit(":"), body, F.lit("}}")).alias("doc"))
 
 
 def import_state(spark: SparkSession, text: str) -> DataFrame:
@@ -131,17 +139,23 @@ def publish_state(state: DataFrame, folder: str, version: int) -> None:
             remove_path(spark, old)
 
 
-def current_version(spark: SparkSession, folder: str) -> int | None:
-    """The number of the last committed version, or None."""
+def committed_versions(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of all committed versions, of which the last two are kept."""
     if not path_exists(spark, f"{folder}/commits"):
-        return None
+        return []
     commits = spark.read.schema("version bigint").json(f"{folder}/commits")
-    return commits.agg(F.max("version")).first()[0]
+    return [r.version for r in commits.distinct().orderBy(F.col("version").desc()).limit(3).collect()]
 
 
-def read_state(spark: SparkSession, folder: str) -> DataFrame:
-    """The last committed state; empty when there is none."""
-    version = current_version(spark, folder)
+def current_version(spark: SparkSession, folder: str) -> int | None:
+    """The number of the last committed version, or None."""
+    return max(committed_versions(spark, folder), default=None)
+
+
+def read_state(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """The last committed state, or that of an earlier version; empty when there is none."""
+    if version is None:
+        version = current_version(spark, folder)
     if version is None:
         return empty_state(spark)
     return spark.read.schema(T.StructType.fromDDL(FULL_SCHEMA)).parquet(f"{folder}/versions/{version:010d}")

@@ -16,16 +16,16 @@ from ..specs import Paging, Stop, StreamSpec, SyncSpec, TableSpec
 from ..streaming.landed import stream_sync
 from .common import Query, table
 
-CHAINS, ON_PAGE = 5, 100
+CHAINS, ON_PAGE = 5, 20
 MORE = Paging("offset", Stop("field", "more", False), limit=ON_PAGE)
 EVENTS = ["event_id", "user_id", "event_type"]
 ALL_EVENTS = "SELECT event_id, user_id, event_type FROM events"
 
 
-def event_chains(spark, folder, fmt="json", broken=None):
-    """Events dealt over five chains, 100 to a page; ``broken`` tells which records are cut off."""
+def event_chains(spark, folder, fmt="json", broken=None, record=None):
+    """Events dealt over five chains, 20 to a page, so that small tables have holes too; ``broken`` tells which records are cut off."""
     key = F.col("event_id")
-    record = F.to_json(F.struct(*EVENTS))
+    record = F.to_json(F.struct(*EVENTS)) if record is None else record
     if broken is not None:
         record = F.when(broken, F.substring(record, 1, 9)).otherwise(record)
     placed = table(spark, folder, "events").select(

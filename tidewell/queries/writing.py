@@ -79,6 +79,41 @@ def transformed_table(spark, folder):
     return rows.groupBy(F.col("o_orderdate_year").alias("years"), F.col("o_orderstatus_identity").alias("status")).agg(F.count("*").alias("n"))
 
 
+def _murmur_sql(name, key):
+    """DuckDB tables that hash a whole number of at most 63 bits, step by step."""
+
+    def times(x, c):
+        return f"(({x}) * {c}::UBIGINT) % 4294967296"
+
+    def turned(x, r):
+        return f"((({x}) << {r}) | (({x}) >> {32 - r})) & 4294967295"
+
+    steps = [f"{name}0 AS (SELECT *, 0::UBIGINT AS h, (({key}) % 4294967296)::UBIGINT AS w1, (({key}) // 4294967296)::UBIGINT AS w2 FROM {name})"]
+    at = 0
+
+    def then(expression, column="h"):
+        nonlocal at
+        steps.append(f"{name}{at + 1} AS (SELECT * REPLACE (({expression})::UBIGINT AS {column}) FROM {name}{at})")
+        at += 1
+
+    for word in ("w1", "w2"):
+        then(times(word, 0xCC9E2D51), word)
+        then(turned(word, 15), word)
+        then(times(word, 0x1B873593), word)
+        then(f"xor(h, {word})")
+        then(turned("h", 13))
+        then("(h * 5 + 3864292196) % 4294967296")
+    then("xor(h, 8::UBIGINT)")
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        then(f"xor(h, h >> {shift})")
+        then(times("h", factor))
+    then("xor(h, h >> 16)")
+    return ", ".join(steps), f"{name}{at}"
+
+
+_HASHED, _HASHED_LAST = _murmur_sql("o", "o_custkey")
+
+
 def bucket_sizes(spark, folder):
     orders = table(spark, folder, "orders")
     return orders.groupBy(transform_column(orders, "o_custkey", "bucket[16]").alias("bucket")).agg(F.count("*").alias("n"))
@@ -190,7 +225,10 @@ QUERIES = {
         FROM orders GROUP BY ALL
         """,
     ),
-    "bucket_sizes": Query(bucket_sizes),
+    "bucket_sizes": Query(
+        bucket_sizes,
+        f"WITH o AS (SELECT o_custkey FROM orders), {_HASHED} SELECT CAST((h & 2147483647) % 16 AS INTEGER) AS bucket, count(*) AS n FROM {_HASHED_LAST} GROUP BY 1",
+    ),
     "stream_sync_events": Query(
         streamed_sync,
         """

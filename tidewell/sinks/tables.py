@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 import uuid
 from collections.abc import Callable, Mapping
@@ -14,9 +15,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.hashing import bucket_number
 from ..operators.dedup import latest_per_key
 from ..operators.incremental import max_cursor
-from ..session import matching_paths, path_exists, remove_path, replace_path
+from ..operators.schema import merge_table_schemas, refit_rows, stored_type
+from ..session import folder_bytes, matching_paths, path_exists, remove_path, replace_path, write_text
 
 # The chain that a landed row came from; stored with it for cursors per partition, hidden from readers.
 PARTITION = "_partition"
@@ -68,6 +71,7 @@ def write_stream_table(
     allow_empty: bool = True,
     options: Mapping[str, Any] | None = None,
     check: Callable[[], None] | None = None,
+    shape: T.StructType | None = None,
 ) -> dict[str, Any]:
     """Write to ``{stream}/dt=…/run_id=…`` and return the row count, the new cursor and the slice's path.
 
@@ -75,7 +79,8 @@ def write_stream_table(
     aside and put in place only once they are complete, ``check`` has passed and there are some if
     there must be: a run that fails leaves the table as it was. A run replaces its own slice only, and keeps the date
     of its first attempt: repeating it gives the same table on any day. ``mode='overwrite'`` replaces the whole
-    stream, the new slice first.
+    stream, the new slice first. The schema of the slice is stored beside the table, for readers that merge schemas;
+    ``shape`` says more of it than the columns do (``quick_table_schema(unknown=True)``).
     """
     if fmt == "parquet" and compression not in COMPRESSION:
         raise ValueError(f"unknown compression: {compression}")
@@ -106,6 +111,7 @@ def write_stream_table(
     date = run_date or (re.search(r"/dt=([^/]+)/", earlier[0])[1] if earlier else utc_date())
     target = f"{path}/dt={date}/run_id={run}"
     if found["rows"]:
+        _keep_schema(spark, path, f"dt={date}/run_id={run}", shape or df.schema)
         replace_path(spark, aside, target)
     else:
         remove_path(spark, aside)
@@ -116,11 +122,64 @@ def write_stream_table(
 
 
 def read_stream_table(spark: SparkSession, base: str, stream: str, fmt: str = "parquet") -> DataFrame:
-    """All slices of a stream; columns that appeared later are NULL in older slices."""
-    reader = spark.read.format(fmt)
-    if fmt == "parquet":
-        reader = reader.option("mergeSchema", "true")
-    return reader.load(stream_path(base, stream)).drop(PARTITION)
+    """All slices of a stream; columns that appeared later are NULL in older slices.
+
+    Parquet slices whose types differ are read under the merged schema of all (``merge_table_schemas``): numbers widen,
+    objects get the fields they lack, and what conflicts becomes text. Nothing is rewritten for it.
+    """
+    path = stream_path(base, stream)
+    if fmt != "parquet":
+        return spark.read.format(fmt).load(path).drop(PARTITION)
+    return _read_slices(spark, path, "dt=*/run_id=*")[0].drop(PARTITION)
+
+
+def _schema_file(path: str, name: str) -> str:
+    return f"{path}/_schemas/{quote(name, safe='')}"
+
+
+def _keep_schema(spark: SparkSession, path: str, name: str, schema: T.StructType) -> None:
+    write_text(spark, _schema_file(path, name), json.dumps({"slice": name, "schema": schema.json()}))
+
+
+def _read_slices(spark: SparkSession, path: str, pattern: str, names: list[str] | None = None) -> tuple[DataFrame, T.StructType | None, list[dict[str, str]]]:
+    """Slices under their merged schema, that schema, and the types of the columns in each version of it.
+
+    Slices of one schema are read together, without looking into their files for it. What was written by others is read as
+    its files say. Only distinct schemas and names of slices come to the driver.
+    """
+    slices = {"/".join(p.rsplit("/", pattern.count("/") + 1)[1:]): p for p in matching_paths(spark, f"{path}/{pattern}")}
+    if names is not None:
+        slices = {n: p for n, p in slices.items() if n in names}
+    versions: dict[str, list[str]] = {}
+    if path_exists(spark, f"{path}/_schemas"):
+        kept = spark.read.text(f"{path}/_schemas").select(F.from_json("value", "slice string, schema string").alias("k"))
+        for row in kept.groupBy("k.schema").agg(F.collect_set("k.slice").alias("names")).collect():
+            held = sorted(slices[n] for n in row["names"] if n in slices)
+            if held:
+                versions[row["schema"]] = held
+    known = {p for held in versions.values() for p in held}
+    if not versions or any(p not in known for p in slices.values()):
+        # Not all is written here.
+        reader = spark.read.option("mergeSchema", "true").option("basePath", path)
+        return reader.parquet(*(slices.values() if names is not None else [path])), None, []
+    shapes = {text: T.StructType.fromJson(json.loads(text)) for text in versions}
+    kinds = [{f.name: f.dataType.simpleString() for f in shape.fields} for shape in shapes.values()]
+    texts = sorted(versions)
+    merged = shapes[texts[0]]
+    for text in texts[1:]:
+        merged = merge_table_schemas(merged, shapes[text])
+    # What folders say is told from all of them, so that every version gets the same types.
+    whole = spark.read.schema(stored_type(merged)).option("basePath", path).parquet(*(slices.values() if names is not None else [path]))
+    if len(texts) == 1:
+        return whole, merged, kinds
+    folders = [c for c in whole.columns if c not in merged.names]
+    out = None
+    for text in texts:
+        own = stored_type(shapes[text])
+        found = spark.read.schema(T.StructType([*own.fields, *[whole.schema[c] for c in folders]])).option("basePath", path).parquet(*versions[text])
+        fitted = refit_rows(found, shapes[text], merged, tuple(folders))
+        out = fitted if out is None else out.unionByName(fitted)
+    return out, merged, kinds
 
 
 def append_dedup(
@@ -132,6 +191,7 @@ def append_dedup(
     buckets: int = 64,
     batch: str | None = None,
     check: Callable[[], None] | None = None,
+    shape: T.StructType | None = None,
 ) -> DataFrame:
     """Merge rows into a table that has one row per key, the latest winning; NULL keys are keys like others.
 
@@ -161,6 +221,7 @@ def append_dedup(
         remove_path(spark, aside)
         raise
     if matching_paths(spark, f"{aside}/bucket=*"):
+        _keep_schema(spark, path, f"batch=b-{name}", shape or fresh.schema)
         replace_path(spark, aside, f"{path}/batch=b-{name}")
     else:
         remove_path(spark, aside)
@@ -176,28 +237,72 @@ def merge_layout(spark: SparkSession, base: str, stream: str) -> dict[str, Any]
     return json.loads(spark.read.text(path).first().value) if path_exists(spark, path) else None
 
 
+def _batches(spark: SparkSession, base: str, stream: str, names: list[str] | None = None) -> tuple[DataFrame, T.StructType | None]:
+    """The rows of all batches, or of some, with their ``bucket``, and their merged schema.
+
+    Keys whose type differs between batches have other hashes, so their buckets are told anew; ``_told`` marks that.
+    """
+    path = stream_path(base, stream)
+    table, shape, kinds = _read_slices(spark, path, "batch=*", names)
+    layout = merge_layout(spark, base, stream)
+    if any(len({kind.get(key) for kind in kinds}) > 1 for key in layout["keys"]):
+        number = F.pmod(F.xxhash64(*layout["keys"]), F.lit(layout["buckets"])).cast("int")
+        table = table.withColumns({"bucket": number, "_told": F.lit(True)})
+    return table.drop("batch"), shape
+
+
 def read_merged(spark: SparkSession, base: str, stream: str) -> DataFrame:
-    """The rows of a merge table: the latest of all batches per key. A single batch is read as it is."""
+    """The rows of a merge table: the latest of all batches per key.
+
+    Only buckets that several batches hold are folded, which shuffles them; the others are read as they are.
+    """
     path = stream_path(base, stream)
-    table = spark.read.option("mergeSchema", "true").parquet(path).drop("batch")
-    if len(matching_paths(spark, f"{path}/batch=*")) == 1:
+    table, shape = _batches(spark, base, stream)
+    held: dict[int, int] = {}
+    for folder in matching_paths(spark, f"{path}/batch=*/bucket=*"):
+        number = int(folder.rsplit("=", 1)[1])
+        held[number] = held.get(number, 0) + 1
+    several = sorted(n for n, count in held.items() if count > 1)
+    if not several:
         return table.drop(PARTITION)
     layout = merge_layout(spark, base, stream)
-    return latest_per_key(_tied(table), [*layout["keys"], "bucket"], [*layout["order"], "_tie"]).drop("_tie", PARTITION)
+
+    def folded(rows: DataFrame) -> DataFrame:
+        return latest_per_key(_tied(rows), [*layout["keys"], "bucket"], [*layout["order"], "_tie"]).drop("_tie", PARTITION)
+
+    if len(several) == len(held) or "_told" in table.columns:
+        return folded(table.drop("_told"))
+    alone = F.col("bucket").isin(*[n for n in held if n not in several])
+    return table.filter(alone).drop(PARTITION).unionByName(folded(table.filter(~alone)))
 
 
-def compact(spark: SparkSession, base: str, stream: str) -> None:
-    """Fold all batches of a merge table into one. A crash in between leaves rows that fold to the same table."""
+def compact(spark: SparkSession, base: str, stream: str, fan: int = 1) -> int:
+    """Fold batches of a merge table into one, and tell how many; a crash in between leaves rows that fold to the same table.
+
+    With ``fan`` above 1 only batches of about one size are folded, once there are ``fan`` of them: sizes grow by that
+    factor from tier to tier, so a row is written again once per tier and not at every compaction.
+    """
     path = stream_path(base, stream)
-    before = matching_paths(spark, f"{path}/batch=*")
-    if len(before) < 2:
-        return
+    batches = matching_paths(spark, f"{path}/batch=*")
+    chosen = batches
+    if fan > 1:
+        tiers: dict[int, list[str]] = {}
+        for batch in batches:
+            tiers.setdefault(int(math.log(max(folder_bytes(spark, batch), 1), fan)), []).append(batch)
+        full = [tier for tier in sorted(tiers) if len(tiers[tier]) >= fan]
+        chosen = tiers[full[0]] if full else []
+    if len(chosen) < 2:
+        return 0
     name = uuid.uuid4().hex
-    folded = read_merged(spark, base, stream)
+    layout = merge_layout(spark, base, stream)
+    table, shape = _batches(spark, base, stream, [b.rsplit("/", 1)[1] for b in chosen])
+    folded = latest_per_key(_tied(table.drop("_told")), [*layout["keys"], "bucket"], [*layout["order"], "_tie"]).drop("_tie")
     folded.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{path}/_staged/{name}")
+    _keep_schema(spark, path, f"batch=c-{name}", folded.drop("bucket").schema if shape is None else shape)
     replace_path(spark, f"{path}/_staged/{name}", f"{path}/batch=c-{name}")
-    for old in before:
+    for old in chosen:
         remove_path(spark, old)
+    return len(chosen)
 
 
 def _tied(df: DataFrame) -> DataFrame:
@@ -212,7 +317,7 @@ _UNIX_EPOCH = "1970-01-01 00:00:00"
 def transform_column(df: DataFrame, name: str, transform: str) -> Column:
     """A table-format partition transform as a column.
 
-    Years, months, days and hours are counted from 1970, as table formats store them.
+    Years, months, days and hours are counted from 1970, and buckets are those of the formats' own hash, as they store them.
     """
     match = _TRANSFORM.fullmatch(transform)
     if not match or (match[1] in ("bucket", "truncate")) != bool(match[2]):
@@ -222,7 +327,7 @@ def transform_column(df: DataFrame, name: str, transform: str) -> Column:
     if kind == "identity":
         return col
     if kind == "bucket":
-        return F.pmod(F.hash(col), F.lit(width))
+        return bucket_number(col, dtype, width)
     if kind == "truncate":
         if isinstance(dtype, T.StringType):
             return F.substring(col, 1, width)

@@ -51,6 +51,45 @@ def decode_pages(
     raise ValueError(f"unknown format: {fmt}")
 
 
+ITEMS = "array<struct<pos:int,record:string>>"
+
+
+def page_items(
+    pages: DataFrame,
+    fmt: str = "json",
+    records_path: str | None = None,
+    delimiter: str = ",",
+    has_header: bool = True,
+) -> DataFrame:
+    """Each page with its records as ``items``: what ``decode_pages`` gives, still in one row and made in one pass.
+
+    ``record`` is NULL where it could not be read; blank lines are left out, and ``pos`` counts them. ``item_records``
+    opens the pages.
+    """
+    if fmt == "csv":
+        return _csv_items(pages, delimiter, has_header)
+    if fmt == "json":
+        listed, texts = _json_texts(pages, records_path)
+    elif fmt == "jsonl":
+        listed, texts = pages, _jsonl_items(F.col("body"))
+    elif fmt == "xml":
+        listed, texts = _xml_texts(pages, records_path)
+    else:
+        raise ValueError(f"unknown format: {fmt}")
+    texts = F.coalesce(texts, F.array(F.lit(None).cast("string")))
+    numbered = F.transform(texts, lambda t, i: F.struct(i.alias("pos"), t.alias("record")))
+    some = F.filter(numbered, lambda r: r["record"].isNull() | (r["record"] != "")) if fmt == "jsonl" else numbered
+    return listed.select(*pages.columns, some.cast(ITEMS).alias("items"))
+
+
+def item_records(listed: DataFrame, fmt: str = "json") -> DataFrame:
+    """The rows of ``page_items``, one per record, as ``decode_pages`` gives them; ``at`` counts records without blank lines."""
+    keep = [c for c in listed.columns if c not in ("body", "items")]
+    rows = listed.select(*keep, F.posexplode("items").alias("at", "_item")).select(*keep, "at", "_item.*")
+    line = F.concat(F.lit("bad line "), (F.col("pos") + 1).cast("string"))
+    return rows.withColumn("error", F.when(F.col("record").isNull(), line if fmt == "jsonl" else F.lit("bad body")))
+
+
 def decode_typed(pages: DataFrame, schema: T.StructType, records_path: str | None = None) -> DataFrame:
     """JSON pages straight to typed columns, in one parse, when the schema is known.
 
@@ -73,13 +112,16 @@ def decode_typed(pages: DataFrame, schema: T.StructType, records_path: str | Non
     return rows.select(*_keep(pages), "pos", "error", "_row.*")
 
 
-def page_values(pages: DataFrame, fmt: str = "json") -> DataFrame:
+def page_values(pages: DataFrame, fmt: str = "json", delimiter: str = ",", has_header: bool = True) -> DataFrame:
     """The whole body of each page as one JSON value in ``value``: the raw view.
 
-    JSON Lines and CSV bodies become arrays; CSV has its header in the first line. Unreadable JSON and XML give NULL.
+    JSON Lines and CSV bodies become arrays. Unreadable JSON and XML give NULL.
     """
     if fmt == "csv":
-        return _csv_values(pages)
+        texts = F.transform("items", lambda r: r["record"])
+        text = F.concat(F.lit("["), F.concat_ws(",", texts), F.lit("]"))
+        listed = _csv_items(pages, delimiter, has_header)
+        return listed.select(*_keep(pages), F.when(F.col("body").isNotNull(), F.try_parse_json(text)).alias("value"))
     if fmt == "json":
         return pages.withColumn("value", F.try_parse_json("body")).drop("body")
     if fmt == "xml":
@@ -132,7 +174,12 @@ def _whole_json(body: Column) -> Column:
 
 
 def _json(pages: DataFrame, path: str | None) -> DataFrame:
-    """The records of JSON bodies as JSON texts.
+    listed, items = _json_texts(pages, path)
+    return _one_row_per_item(listed, items, drop=("_direct", "_v", "_values"))
+
+
+def _json_texts(pages: DataFrame, path: str | None) -> tuple[DataFrame, Column]:
+    """The records of JSON bodies as an array of JSON texts.
 
     The usual shape, an array of objects behind plain keys, is read in one pass
     that keeps the text of each record as it is. Every other shape goes through
@@ -164,8 +211,7 @@ def _json(pages: DataFrame, path: str | None) -> DataFrame:
     if not steps:
         whole = F.btrim(body, F.lit(WHITE_SPACE))
         texts = F.when(whole.startswith("{"), F.array(whole)).otherwise(texts)
-    items = F.coalesce("_direct", F.when(F.col("_v").isNotNull(), texts))
-    return _one_row_per_item(pages, items, drop=("_direct", "_v", "_values"))
+    return pages, F.coalesce("_direct", F.when(F.col("_v").isNotNull(), texts))
 
 
 def _trimmed_lines(body: Column) -> Column:
@@ -194,12 +240,18 @@ def csv_cells(line: Column, delimiter: str = ",") -> Column:
     return F.transform(cells, clean)
 
 
-def _csv_values(pages: DataFrame) -> DataFrame:
-    """Each CSV body as one array of objects, made in the row of its page."""
-    keep = _keep(pages)
-    lines = F.filter(F.transform(F.slice("_lines", 2, F.greatest(F.size("_lines"), F.lit(1))), lambda t: F.btrim(t, F.lit(WHITE_SPACE))), lambda t: t != "")
-    split = pages.select(*keep, F.split("body", "\r?\n").alias("_lines"))
-    cells = split.select(*keep, "_lines", csv_cells(F.get("_lines", F.lit(0))).alias("_names"), F.transform(lines, lambda t: csv_cells(t)).alias("_rows"))
+def _csv_items(pages: DataFrame, delimiter: str, has_header: bool) -> DataFrame:
+    """The records of each CSV body, made in the row of its page."""
+    trim = F.lit(WHITE_SPACE.replace(delimiter, ""))
+    split = pages.select(*pages.columns, F.split("body", "\r?\n").alias("_lines"))
+    names = csv_cells(F.get("_lines", F.lit(0)), delimiter)
+    if not has_header:
+        names = F.transform(names, lambda _, i: F.concat(F.lit("column_"), i.cast("string")))
+    rest = F.slice("_lines", 2 if has_header else 1, F.greatest(F.size("_lines"), F.lit(1)))
+    lines = F.transform(rest, lambda t, i: F.struct(i.alias("pos"), F.btrim(t, trim).alias("text")))
+    lines = F.filter(lines, lambda t: t["text"] != "")
+    rows = F.transform(lines, lambda t: F.struct(t["pos"].alias("pos"), csv_cells(t["text"], delimiter).alias("cells")))
+    cells = split.select(*pages.columns, names.alias("_names"), rows.alias("_rows"))
 
     def record(row: Column) -> Column:
         pairs = F.transform("_names", lambda name, i: F.concat(quote_json(name), F.lit(":"), csv_value_json(F.coalesce(F.get(row, i), F.lit("")))))
@@ -207,8 +259,8 @@ def _csv_values(pages: DataFrame) -> DataFrame:
         last = F.filter(pairs, lambda _, i: ~F.array_contains(F.slice("_names", i + 2, F.size("_names")), F.get("_names", i)))
         return F.concat(F.lit("{"), F.concat_ws(",", last), F.lit("}"))
 
-    text = F.concat(F.lit("["), F.concat_ws(",", F.transform("_rows", record)), F.lit("]"))
-    return cells.select(*keep, F.when(F.col("_lines").isNotNull(), F.try_parse_json(text)).alias("value"))
+    made = F.transform("_rows", lambda row: F.struct(row["pos"].alias("pos"), record(row["cells"]).alias("record")))
+    return cells.select(*pages.columns, F.coalesce(made, F.array()).cast(ITEMS).alias("items"))
 
 
 def _csv(pages: DataFrame, delimiter: str, has_header: bool) -> DataFrame:
@@ -248,7 +300,18 @@ def _xml_value(body: Column) -> Column:
     return F.when(~broken, F.from_xml(body, "variant", XML_OPTIONS))
 
 
-def _xml(pages: DataFrame, path: str | None) -> DataFrame:
+def _xml_texts(pages: DataFrame, path: str | None) -> tuple[DataFrame, Column]:
     pages = extract_elements(pages.withColumn("_v", _xml_value(F.col("body"))), "_v", path, "_values")
-    items = F.when(F.col("_v").isNotNull(), F.transform("_values", lambda v: F.to_json(v)))
-    return _one_row_per_item(pages, items, drop=("_v", "_values"))
+    return pages, F.when(F.col("_v").isNotNull(), F.transform("_values", lambda v: F.to_json(v)))
+
+
+def _xml(pages: DataFrame, path: str | None) -> DataFrame:
+    listed, items = _xml_texts(pages, path)
+    return _one_row_per_item(listed, items, drop=("_v", "_values"))
+
+
+def body_value(fmt: str) -> Column:
+    """The whole ``body`` as VARIANT, for what stands beside the records; JSON Lines and CSV have none."""
+    if fmt not in ("json", "xml"):
+        raise ValueError(f"{fmt} bodies hold records only: a cursor, flag or total beside them needs json or xml")
+    return F.try_parse_json("body") if fmt == "json" else _xml_value(F.col("body"))

@@ -74,6 +74,8 @@ class SyncSpec:
     error_strategy: ErrorStrategy = "fail"
     max_errors: int = 100
     buckets: int = 64
+    # Whether a partition with too many bad records fails its stream, or is left out alone.
+    fail_fast: bool = True
 
 
 @dataclass(frozen=True)
