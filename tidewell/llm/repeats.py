@@ -6,7 +6,7 @@ have an equal are sorted, and all that rule them out are exact, so none is lost:
 1. Documents are cut into pieces where their content says so. Of equal pieces, with the bytes that their last strings
    reach into, only the document with the least id goes on; for the others all strings of the piece are repeated.
 2. Every string of ``LENGTH`` bytes has a fingerprint, the least hash of the shorter strings in it. Equal strings have equal
-   fingerprints, so those found in one document only are done. Fingerprints travel as sorted runs, a bit for each comes back.
+   fingerprints, so those found in one document only are done. Fingerprints travel as sorted runs, and those that are shared come back.
 3. What is left is sorted by block of documents, equal strings folded, and sent to ranges of strings as runs that
    name only the bytes by which a string differs from the one before. A range merges its runs (``runs.merge_runs``).
 
@@ -17,11 +17,13 @@ from __future__ import annotations
 
 import hashlib
 import math
+import struct
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +32,11 @@ from ..session import scratch_path, staged
 from .runs import common_prefixes, front_coded, front_decoded, merge_runs
 
 LENGTH = 50
-PIECE = 256  # mean bytes of a piece
+PIECE = 128  # mean bytes of a piece
 TOGETHER = 1 << 19  # bytes hashed at a time
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 BLOCKS_A_FILE = 8
-RUN = 1 << 19  # strings of a run before it is cut into ranges
+RUN = 1 << 20  # strings of a run before it is cut into ranges
 FOLD = 1 << 21  # fingerprints of a bucket
 RANGE = 300_000  # strings of a range
 MOST_RANGES = 1 << 14
@@ -45,6 +47,20 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BYTES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
 
 
+def packed(numbers: np.ndarray | bytes) -> bytes:
+    """Bytes as they travel and are stored."""
+    return zstandard.ZstdCompressor(level=3).compress(numbers if isinstance(numbers, bytes) else numbers.tobytes())
+
+
+def unpacked(value: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_buffer()), kind)
+
+
+def _gram(length: int) -> int:
+    """Fingerprints are hashes of this many bytes: longer ones tell more strings apart, but there are more of them."""
+    return 2 * length // 3
+
+
 def string_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit hash of each run of ``k`` bytes, by doubling: it depends on those bytes alone."""
     part, held, length, skip = _BYTES[data], None, 1, 0
@@ -67,8 +83,8 @@ def string_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 
 def fingerprints(data: np.ndarray, length: int) -> np.ndarray:
-    """Per string of ``length`` bytes the least hash of the strings of half that length in it, mixed again to be even."""
-    gram = length // 2 + 1
+    """Per string of ``length`` bytes the least hash of the shorter strings in it, mixed again to be even."""
+    gram = _gram(length)
     least, width, spread = string_hashes(data, gram), length - gram + 1, 1
     n = len(data) - length + 1
     while 2 * spread <= width:
@@ -97,7 +113,7 @@ def _grouped(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 def cut_pieces(texts: list[bytes], length: int) -> Iterator[tuple[int, int, int, bytes]]:
     """(text, first string, end of strings, digest) of every piece of the texts."""
-    gram = length // 2 + 1
+    gram = _gram(length)
     for a, b in _grouped(np.array([len(t) for t in texts]), TOGETHER):
         data = b"".join(texts[a:b])
         if len(data) < length:
@@ -126,19 +142,20 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags, texts = (batch.column(i).to_pylist() for i in range(3))
-            found: dict[bytes, dict[tuple[int, int], list[tuple[int, int]]]] = {}
-            for i, start, end, key in cut_pieces(texts, length):
-                found.setdefault(key, {}).setdefault((ids[i], tags[i]), []).append((start, end))
-            done: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            rows: list[tuple[object, ...]] = []
-            for key, places in found.items():
-                least = min(d for d, _ in places)
-                for doc, spans in places.items():
-                    if doc[0] > least:
-                        done.setdefault(doc, []).extend(spans)
-                    else:
-                        rows.append((int.from_bytes(key[:8], "big", signed=True), int.from_bytes(key[8:], "big", signed=True), *doc, [s for s, _ in spans], [e for _, e in spans]))
-            rows += [(None, None, *doc, [s for s, _ in spans], [e for _, e in spans]) for doc, spans in done.items()]
+            pieces = list(cut_pieces(texts, length))
+            least: dict[bytes, int] = {}
+            for i, _, _, key in pieces:
+                if least.setdefault(key, ids[i]) > ids[i]:
+                    least[key] = ids[i]
+            mine: dict[tuple[bytes, int], tuple[list[int], list[int]]] = {}
+            done: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+            for i, start, end, key in pieces:
+                own = least[key] == ids[i]
+                starts, ends = mine.setdefault((key, tags[i]), ([], [])) if own else done.setdefault((ids[i], tags[i]), ([], []))
+                starts.append(start)
+                ends.append(end)
+            rows: list[tuple[object, ...]] = [(*struct.unpack(">qq", key), least[key], tag, *spans) for (key, tag), spans in mine.items()]
+            rows += [(None, None, *doc, *spans) for doc, spans in done.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, _PIECES)], schema=_PIECES)
 
     return docs.select("doc_id", "tag", "data").mapInArrow(run, PIECES)
@@ -159,7 +176,7 @@ def _known(docs: DataFrame, length: int) -> DataFrame:
 
 
 class Block:
-    """Parts of documents that may hold repeated strings; ``doc`` counts in ``ids``, ``start`` in the document."""
+    """Parts of documents that may hold repeated strings; ``doc`` counts in ``ids``, which ascend, ``start`` in the document."""
 
     def __init__(self, batch: pa.RecordBatch, i: int) -> None:
         self.name = batch.column(0)[i].as_py()
@@ -182,12 +199,12 @@ class Block:
             yield low + places, part, prints, change
 
 
-BLOCKS = "block string, ids array<bigint>, tags array<bigint>, doc binary, start binary, size binary, data binary"
-_BLOCKS = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("tags", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("doc", "start", "size", "data")]])
+BLOCKS = "block bigint, ids array<bigint>, tags array<bigint>, doc binary, start binary, size binary, data binary, drawn binary"
+_BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("tags", pa.list_(pa.int64())), *[(c, pa.binary()) for c in ("doc", "start", "size", "data", "drawn")]])
 
 
-def _blocks(docs: DataFrame, length: int) -> DataFrame:
-    """What the known ``spans`` leave of the documents, packed."""
+def _blocks(docs: DataFrame, length: int, draw: float) -> DataFrame:
+    """What the known ``spans`` leave of the documents, packed; ``drawn`` are strings of it, ``draw`` for each byte."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
@@ -197,8 +214,14 @@ def _blocks(docs: DataFrame, length: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             nonlocal total
+            order = sorted(range(len(ids)), key=ids.__getitem__)
+            place = {doc: k for k, doc in enumerate(order)}
+            parts[:] = sorted(((place[d], s, t) for d, s, t in parts), key=lambda p: p[:2])
+            ids[:], tags[:] = [ids[k] for k in order], [tags[k] for k in order]
             numbers = [np.array(c, np.int32).tobytes() for c in ([p[0] for p in parts], [p[1] for p in parts], [len(p[2]) for p in parts])]
-            row = [uuid.uuid4().hex, list(ids), list(tags), *numbers, b"".join(p[2] for p in parts)]
+            data = b"".join(p[2] for p in parts)
+            at = np.random.default_rng(len(data)).integers(0, len(data) - length + 1, math.ceil(draw * len(data)))
+            row = [uuid.uuid4().int >> 65, list(ids), list(tags), *numbers, data, b"".join(data[k : k + length] for k in at)]
             ids.clear(), tags.clear(), parts.clear()
             total = 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCKS)], schema=_BLOCKS)
@@ -232,15 +255,16 @@ def _bucketed(block: Block, length: int, bits: int) -> tuple[np.ndarray, np.ndar
         seen.append(prints[change] >> np.uint64(32 - bits))
         whose.append(block.ids[block.doc[part[change]]])
     values, docs = np.concatenate(seen), np.concatenate(whose)
-    order = np.lexsort((docs, values))
+    # Documents ascend within a block, and so they do among equal fingerprints.
+    order = np.argsort(values, kind="stable")
     values, docs = values[order], docs[order]
     starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
     ends = np.concatenate([starts[1:], [len(values)]]) - 1
     return values[starts], docs[starts] != docs[ends]
 
 
-def _prints(blocks: DataFrame, length: int, bits: int, draw: int) -> DataFrame:
-    """Runs of fingerprints by bucket, 32 bits of each; bucket -1 holds strings drawn for the ranges, one of about ``draw``."""
+def _prints(blocks: DataFrame, length: int, bits: int) -> DataFrame:
+    """Sorted runs of fingerprints by bucket: 32 bits of each, stored as steps, and a bit for those that two documents have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,42 +276,41 @@ def _prints(blocks: DataFrame, length: int, bits: int, draw: int) -> DataFrame:
                 for bucket in range(1 << bits):
                     s = slice(cuts[bucket], cuts[bucket + 1])
                     if s.stop > s.start:
-                        rows.append((bucket, block.name, (values[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), np.packbits(many[s]).tobytes()))
-                drawn = [block.data[p : p + length].tobytes() for places, _, prints, change in block.strings(length) for p in places[change & (prints * MIX % np.uint64(draw) == 0)]]
-                rows.append((-1, block.name, b"".join(drawn), b""))
+                        steps = np.diff((values[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32), prepend=np.uint32(0))
+                        rows.append((bucket, block.name, packed(steps), packed(np.packbits(many[s]))))
                 names = ["bucket", "block", "vals", "many"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.binary()))], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names)
 
-    return blocks.mapInArrow(run, "bucket int, block string, vals binary, many binary")
+    return blocks.mapInArrow(run, "bucket int, block bigint, vals binary, many binary")
 
 
-MASKS = "block string, bucket int, mask binary, n bigint"
+SHARED = "block bigint, bucket int, vals binary, n bigint"
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of a bucket: per run, a bit for each fingerprint that another document has, too."""
-    runs = [np.frombuffer(v.as_buffer(), np.uint32) for v in table.column("vals")]
+    """Of a bucket: per run, the fingerprints that another document has, too."""
+    runs = [np.cumsum(unpacked(v, np.uint32), dtype=np.uint32) for v in table.column("vals")]
     values = np.concatenate(runs)
-    shared = np.concatenate([np.unpackbits(np.frombuffer(m.as_buffer(), np.uint8), count=len(r)).astype(bool) for m, r in zip(table.column("many"), runs)])
+    shared = np.concatenate([np.unpackbits(unpacked(m, np.uint8), count=len(r)).astype(bool) for m, r in zip(table.column("many"), runs)])
     order = np.argsort(values, kind="stable")
     sorted_ = values[order]
     again = sorted_[1:] == sorted_[:-1]
     twice = np.concatenate([[False], again]) | np.concatenate([again, [False]])
     shared[order[twice]] = True
     ends = np.cumsum([len(r) for r in runs])
-    masks = [shared[e - len(r) : e] for e, r in zip(ends, runs)]
-    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "mask": pa.array([np.packbits(m).tobytes() for m in masks], pa.binary()), "n": pa.array([int(m.sum()) for m in masks], pa.int64())})
+    found = [r[shared[e - len(r) : e]] for e, r in zip(ends, runs)]
+    replies = [packed(np.diff(f, prepend=np.uint32(0))) for f in found]
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "vals": pa.array(replies, pa.binary()), "n": pa.array([len(f) for f in found], pa.int64())})
 
 
 # Runs of strings
 
-RUNS = "`range` int, prefixes binary, tails binary, counts binary, whose binary, places binary, ids array<bigint>, tags array<bigint>"
-_RUNS = pa.schema([("range", pa.int32()), *[(c, pa.binary()) for c in ("prefixes", "tails", "counts", "whose", "places")], ("ids", pa.list_(pa.int64())), ("tags", pa.list_(pa.int64()))])
+RUNS = "`range` int, block bigint, prefixes binary, tails binary, counts binary, whose binary, places binary, docs binary, ids binary"
+_RUNS = pa.schema([("range", pa.int32()), ("block", pa.int64()), *[(c, pa.binary()) for c in ("prefixes", "tails", "counts", "whose", "places", "docs", "ids")]])
 
 
-def _candidates(block: Block, shared: np.ndarray, values: np.ndarray, length: int, bits: int) -> Iterator[np.ndarray]:
-    """Places in a block whose strings may be found elsewhere."""
-    wanted = values[shared]
+def _candidates(block: Block, wanted: np.ndarray, length: int, bits: int) -> Iterator[np.ndarray]:
+    """Places in a block whose strings may be found elsewhere, by the fingerprints that are."""
     for places, _, prints, change in block.strings(length):
         mine = prints[change] >> np.uint64(32 - bits)
         at = np.searchsorted(wanted, mine)
@@ -302,14 +325,17 @@ def _run_rows(block: Block, where: np.ndarray, length: int, splitters: np.ndarra
     begin = np.concatenate([[0], np.cumsum(block.size, dtype=np.int64)])
     part = np.searchsorted(begin, where, side="right") - 1
     doc, place = block.doc[part], (block.start[part] + where - begin[part]).astype(np.int32)
-    # By document first; the sort of strings is stable, so the least document leads its equals.
-    order = np.argsort(block.ids[doc], kind="stable")
+    # Parts stand by document, and the sort of strings is stable, so the least document leads its equals.
     rows = np.empty((len(where), length + 1), np.uint8)
-    rows[:, :length] = sliding_window_view(block.data, length)[where[order]]
+    rows[:, :length] = sliding_window_view(block.data, length)[where]
     rows[:, length] = 1  # so that no string ends in zeros, which numpy drops
     flat = rows.view(f"S{length + 1}").ravel()
-    by = np.argsort(flat, kind="stable")
-    order, rows, flat = order[by], rows[by, :length], flat[by]
+    # Sorted by the first bytes as numbers; what is left for whole strings is nearly in order.
+    head = np.zeros((len(where), 8), np.uint8)
+    head[:, : min(8, length)] = rows[:, : min(8, length)]
+    order = np.argsort(head.view(">u8").ravel().astype(np.uint64), kind="stable")
+    order = order[np.argsort(flat[order], kind="stable")]
+    rows, flat = rows[order, :length], flat[order]
     doc, place = doc[order].astype(np.int32), place[order]
     prefixes = common_prefixes(rows)
     starts = np.flatnonzero(np.concatenate([[True], prefixes[1:] < length]))
@@ -317,12 +343,13 @@ def _run_rows(block: Block, where: np.ndarray, length: int, splitters: np.ndarra
     least = block.ids[doc[starts]]
     later = block.ids[doc] > least[group]
 
-    def owners(chosen: np.ndarray) -> tuple[bytes, bytes, list[int], list[int]]:
+    def owners(chosen: np.ndarray) -> tuple[bytes, ...]:
         held, numbers = np.unique(doc[chosen], return_inverse=True)
-        return numbers.reshape(-1).astype(np.int32).tobytes(), place[chosen].tobytes(), block.ids[held].tolist(), block.tags[held].tolist()
+        steps = np.diff(block.ids[held], prepend=0)
+        return packed(numbers.reshape(-1).astype(np.int32)), packed(place[chosen]), packed(np.diff(held, prepend=0).astype(np.int32)), packed(steps)
 
     if later.any():
-        yield (-1, b"", b"", b"", *owners(np.flatnonzero(later)))
+        yield (-1, block.name, b"", b"", b"", *owners(np.flatnonzero(later)))
     counts = np.bincount(group[~later], minlength=len(starts)).astype(np.int32)
     rows = rows[starts]
     cuts = np.concatenate([[0], np.searchsorted(flat[starts], splitters), [len(starts)]])
@@ -332,7 +359,7 @@ def _run_rows(block: Block, where: np.ndarray, length: int, splitters: np.ndarra
         a, b = cuts[number], cuts[number + 1]
         if b > a:
             mine = common_prefixes(rows[a:b])
-            yield (number, mine.tobytes(), front_coded(rows[a:b], mine), counts[a:b].tobytes(), *owners(kept[upto[a] : upto[b]]))
+            yield (number, block.name, packed(mine), packed(front_coded(rows[a:b], mine)), packed(counts[a:b]), *owners(kept[upto[a] : upto[b]]))
 
 
 def _runs(blocks: DataFrame, length: int, bits: int, splitters: np.ndarray) -> DataFrame:
@@ -342,22 +369,18 @@ def _runs(blocks: DataFrame, length: int, bits: int, splitters: np.ndarray) -> D
         for batch in batches:
             for i in range(batch.num_rows):
                 block = Block(batch, i)
-                values, _ = _bucketed(block, length, bits)
-                shared = np.zeros(len(values), bool)
-                cuts = np.searchsorted(values >> np.uint64(32), np.arange((1 << bits) + 1, dtype=np.uint64))
-                for m in batch.column(7)[i].as_py():
-                    a, b = cuts[m["bucket"]], cuts[m["bucket"] + 1]
-                    shared[a:b] = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=b - a).astype(bool)
+                replies = sorted((m["bucket"], m["vals"]) for m in batch.column(8)[i].as_py())
+                wanted = np.concatenate([np.uint64(k << 32) + np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(v), np.uint32), dtype=np.uint64) for k, v in replies])
                 held: list[np.ndarray] = []
                 n = 0
 
                 def out() -> Iterator[pa.RecordBatch]:
                     for row in _run_rows(block, np.concatenate(held), length, splitters):
                         # What is settled passes through the same exchange, spread over numbers below 0.
-                        number = row[0] if row[0] >= 0 else -1 - int(block.name[:8], 16) % ranges
+                        number = row[0] if row[0] >= 0 else -1 - block.name % ranges
                         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((number, *row[1:]), _RUNS)], schema=_RUNS)
 
-                for where in _candidates(block, shared, values, length, bits):
+                for where in _candidates(block, wanted, length, bits):
                     held.append(where)
                     n += len(where)
                     if n >= RUN:
@@ -369,50 +392,81 @@ def _runs(blocks: DataFrame, length: int, bits: int, splitters: np.ndarray) -> D
     return blocks.mapInArrow(run, RUNS)
 
 
-HITS = "doc_id bigint, tag bigint, places array<int>"
-
-
-def _hits(ids: np.ndarray, tags: np.ndarray, places: np.ndarray) -> pa.Table:
-    """Places gathered by document."""
-    order = np.lexsort((places, tags, ids))
-    ids, tags, places = ids[order], tags[order], places[order]
-    starts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])) if len(ids) else np.zeros(0, np.int64)
-    offsets = np.concatenate([starts, [len(ids)]]).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(places.astype(np.int32)))
-    return pa.table({"doc_id": pa.array(ids[starts], pa.int64()), "tag": pa.array(tags[starts], pa.int64()), "places": lists})
+HITS = "block bigint, docs binary, places binary"
 
 
 def merged_range(table: pa.Table, length: int) -> pa.Table:
-    """The places of a range's strings that a document with a smaller id has, too."""
-    who, tag, place = [], [], []
-    for i in range(table.num_rows):
-        numbers = np.frombuffer(table.column("whose")[i].as_buffer(), np.int32)
-        ids, tags = (table.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("ids", "tags"))
-        who.append(ids[numbers])
-        tag.append(tags[numbers])
-        place.append(np.frombuffer(table.column("places")[i].as_buffer(), np.int32))
-    if table.column("range")[0].as_py() < 0:
-        return _hits(np.concatenate(who), np.concatenate(tag), np.concatenate(place))
-    runs, counts = [], []
+    """The places of a range's strings that a document with a smaller id has, too: by block and document in it."""
+    blocks = table.column("block").to_pylist()
+    docs, ids, place = [], [], []
     for i in range(table.num_rows):
-        prefixes = np.frombuffer(table.column("prefixes")[i].as_buffer(), np.uint8)
-        data = front_decoded(prefixes, table.column("tails")[i].as_py(), length).tobytes()
-        runs.append(([data[k : k + length] for k in range(0, len(data), length)], prefixes.tolist()))
-        counts.append(np.frombuffer(table.column("counts")[i].as_buffer(), np.int32))
-    which, index, same = (np.array(c) for c in merge_runs(runs, length))
-    first_string = np.concatenate([[0], np.cumsum([len(c) for c in counts])])
-    each = np.concatenate(counts).astype(np.int64)
-    first_place = np.concatenate([[0], np.cumsum(each)])
-    who, tag, place = np.concatenate(who), np.concatenate(tag), np.concatenate(place)
-    string = first_string[which] + index
-    starts = np.flatnonzero(~same.astype(bool))
-    # All places of a string in a run are of one document.
-    doc = who[first_place[string]]
-    least = np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.concatenate([starts, [len(doc)]])))
-    hit = np.zeros(len(each), bool)
-    hit[string[doc > least]] = True
-    chosen = np.repeat(hit, each)
-    return _hits(who[chosen], tag[chosen], place[chosen])
+        numbers = unpacked(table.column("whose")[i], np.int32)
+        docs.append(np.cumsum(unpacked(table.column("docs")[i], np.int32))[numbers].astype(np.int32))
+        ids.append(np.cumsum(unpacked(table.column("ids")[i], np.int64))[numbers])
+        place.append(unpacked(table.column("places")[i], np.int32))
+    ends = np.cumsum([len(p) for p in place])
+    hit = np.ones(ends[-1], bool)
+    if table.column("range")[0].as_py() >= 0:
+        runs, counts = [], []
+        for i in range(table.num_rows):
+            prefixes = unpacked(table.column("prefixes")[i], np.uint8).tolist()
+            runs.append((front_decoded(prefixes, unpacked(table.column("tails")[i], np.uint8).tobytes(), length), prefixes))
+            counts.append(unpacked(table.column("counts")[i], np.int32))
+        which, shared = (np.array(c) for c in merge_runs(runs, length))
+        each = np.concatenate(counts).astype(np.int64)
+        first_place = np.concatenate([[0], np.cumsum(each)])
+        # The strings of a run come out in their own order.
+        string = np.empty(len(which), np.int64)
+        string[np.argsort(which, kind="stable")] = np.arange(len(which))
+        starts = np.flatnonzero(shared < length)
+        # All places of a string in a run are of one document.
+        doc = np.concatenate(ids)[first_place[string]]
+        least = np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.concatenate([starts, [len(doc)]])))
+        later = np.zeros(len(each), bool)
+        later[string[doc > least]] = True
+        hit = np.repeat(later, each)
+    rows = []
+    for i, end in enumerate(ends):
+        mine = hit[end - len(place[i]) : end]
+        if mine.any():
+            rows.append((blocks[i], packed(docs[i][mine]), packed(place[i][mine])))
+    names = ["block", "docs", "places"]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.binary(), pa.binary()))], names)
+
+
+SPANS = "array<struct<starts:int,ends:int>>"
+_SPANS = pa.list_(pa.struct([("starts", pa.int32()), ("ends", pa.int32())]))
+
+
+def united(starts: np.ndarray, ends: np.ndarray) -> list[dict[str, int]]:
+    """Runs of bytes, those that touch as one."""
+    if not len(starts):
+        return []
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    new = np.concatenate([[True], starts[1:] > reach[:-1]])
+    last = np.concatenate([np.flatnonzero(new)[1:], [len(new)]]) - 1
+    return [{"starts": s, "ends": e} for s, e in zip(starts[new].tolist(), reach[last].tolist())]
+
+
+def _hit_spans(hits: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
+    """The places found of a block's documents as runs of bytes per document; a block has no more places than bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, tags = (batch.column(c)[i].values for c in (0, 1))
+                found = batch.column(2)[i].values
+                docs, places = (np.concatenate([unpacked(v, np.int32) for v in found.field(name)]) for name in ("docs", "places"))
+                order = np.lexsort((places, docs))
+                docs, places = docs[order], places[order].astype(np.int64)
+                starts = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
+                made = [united(p, p + length) for p in np.split(places, starts[1:])]
+                which = pa.array(docs[starts].astype(np.int64))
+                yield pa.RecordBatch.from_arrays([ids.take(which), tags.take(which), pa.array(made, _SPANS)], ["doc_id", "tag", "spans"])
+
+    gathered = hits.groupBy("block").agg(F.collect_list(F.struct("docs", "places")).alias("found"))
+    return gathered.join(blocks.select("block", "ids", "tags"), "block").select("ids", "tags", "found").mapInArrow(run, f"doc_id bigint, tag bigint, spans {SPANS}")
 
 
 # The whole
@@ -431,46 +485,37 @@ def _removed(docs: DataFrame, length: int) -> DataFrame:
     bits = max(2, math.ceil(math.log2(max(1, total * 0.08 / FOLD))))
     known = staged(_known(docs, length), "known")
     path = scratch_path(spark, "blocks")
-    _blocks(_join_docs(docs, known, "8 * size(spans)"), length).write.option("maxRecordsPerFile", BLOCKS_A_FILE).parquet(path)
-    blocks = spark.read.schema(BLOCKS).parquet(path)
-
     ranges = min(MOST_RANGES, max(2, math.ceil(total * 0.06 / RANGE)))
-    prints = staged(_prints(blocks, length, bits, max(1, int(total / 13 / (ranges * SAMPLES)))), "prints")
-    told = prints.filter("bucket >= 0").groupBy("bucket").applyInArrow(_shared, MASKS)
-    masks = staged(told.filter("n > 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks")), "masks")
+    packs = _blocks(_join_docs(docs, known, "8 * size(spans)"), length, ranges * SAMPLES / max(1, total))
+    packs.write.option("maxRecordsPerFile", BLOCKS_A_FILE).option("compression", "zstd").parquet(path)
+    blocks = spark.read.schema(BLOCKS).parquet(path)
+    told = _prints(blocks, length, bits).groupBy("bucket").applyInArrow(_shared, SHARED)
+    replies = staged(told.filter("n > 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "vals")).alias("replies")), "replies")
     # Bounded: about SAMPLES strings for each of at most MOST_RANGES ranges.
-    drawn = b"".join(bytes(r[0]) for r in prints.filter("bucket < 0").select("vals").toLocalIterator())
+    drawn = b"".join(bytes(r[0]) for r in blocks.select("drawn").toLocalIterator())
     strings = np.sort(np.array([drawn[k : k + length] + b"\x01" for k in range(0, len(drawn), length)], f"S{length + 1}"))
     splitters = np.unique(strings[:: max(1, len(strings) // ranges)][1:])
 
-    size = masks.agg(F.sum(F.expr("aggregate(masks, 0L, (t, m) -> t + octet_length(m.mask) + 24)"))).first()[0] or 0
-    armed = blocks.join(F.broadcast(masks) if size <= BROADCAST_BYTES else masks, "block").select(*[c.split()[0] for c in BLOCKS.split(", ")], "masks")
+    size = replies.agg(F.sum(F.expr("aggregate(replies, 0L, (t, m) -> t + octet_length(m.vals) + 24)"))).first()[0] or 0
+    armed = blocks.join(F.broadcast(replies) if size <= BROADCAST_BYTES else replies, "block").select(*[c.split()[0] for c in BLOCKS.split(", ")], "replies")
 
     def merge(table: pa.Table) -> pa.Table:
         return merged_range(table, length)
 
     hits = _runs(armed, length, bits, splitters).groupBy("range").applyInArrow(merge, HITS)
-    # Places of a document: no more than it has bytes.
-    places = hits.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("places")).alias("places"))
-    both = places.join(known, ["doc_id", "tag"], "full").select("doc_id", "tag", "places", "spans")
+    reached = F.transform("spans", lambda s: F.struct(s["starts"].alias("starts"), (s["ends"] + length - 1).alias("ends")))
+    parts = known.select("doc_id", "tag", reached.cast(SPANS).alias("spans")).unionByName(_hit_spans(hits, blocks, length))
+    whole = parts.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("starts", pa.int32()), ("ends", pa.int32())]))
         for batch in batches:
-            made = []
-            for i in range(batch.num_rows):
-                at, spans = batch.column(2)[i], batch.column(3)[i].as_py()
-                at = np.sort(at.values.to_numpy(zero_copy_only=False)) if at.is_valid else np.zeros(0, np.int32)
-                starts = np.concatenate([at, [s["starts"] for s in spans or []]]).astype(np.int64)
-                ends = np.concatenate([at + length, [s["ends"] + length - 1 for s in spans or []]]).astype(np.int64)
-                order = np.argsort(starts, kind="stable")
-                starts, reach = starts[order], np.maximum.accumulate(ends[order])
-                new = np.concatenate([[True], starts[1:] > reach[:-1]])
-                last = np.concatenate([np.flatnonzero(new)[1:], [len(new)]]) - 1
-                made.append([{"starts": int(s), "ends": int(e)} for s, e in zip(starts[new], reach[last])])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, kind)], ["doc_id", "tag", "spans"])
-
-    return both.mapInArrow(join, "doc_id bigint, tag bigint, spans array<struct<starts:int,ends:int>>")
+            spans = batch.column(2)
+            sides = [spans.flatten().field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("starts", "ends")]
+            cuts = np.cumsum([len(s) for s in spans])[:-1]
+            made = [united(a, b) for a, b in zip(*(np.split(side, cuts) for side in sides))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, _SPANS)], ["doc_id", "tag", "spans"])
+
+    return whole.mapInArrow(join, f"doc_id bigint, tag bigint, spans {SPANS}")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: tuple[str, ...] = ()) -> DataFrame:

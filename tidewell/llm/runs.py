@@ -22,18 +22,19 @@ def front_coded(rows: np.ndarray, prefixes: np.ndarray) -> bytes:
     return rows[np.arange(rows.shape[1])[None, :] >= prefixes[:, None]].tobytes()
 
 
-def front_decoded(prefixes: np.ndarray, tails: bytes, length: int) -> np.ndarray:
-    """The rows again: a byte within the shared prefix is that of the last row which wrote its place."""
-    n = len(prefixes)
-    wrote = np.arange(length)[None, :] >= prefixes[:, None]
-    rows = np.zeros((n, length), np.uint8)
-    rows[wrote] = np.frombuffer(tails, np.uint8)
-    last = np.maximum.accumulate(np.where(wrote, np.arange(n)[:, None], 0), axis=0)
-    return np.take_along_axis(rows, last, axis=0)
+def front_decoded(prefixes: Sequence[int], tails: bytes, length: int) -> list[bytes]:
+    """The rows again, one after the other."""
+    rows, row, at = [], b"", 0
+    for known in prefixes:
+        to = at + length - known
+        row = row[:known] + tails[at:to]
+        rows.append(row)
+        at = to
+    return rows
 
 
-def merge_runs(runs: Sequence[tuple[list[bytes], list[int]]], length: int) -> tuple[list[int], list[int], list[bool]]:
-    """All strings of sorted runs in order: (run, index in it, whether equal to the string before).
+def merge_runs(runs: Sequence[tuple[list[bytes], list[int]]], length: int) -> tuple[list[int], list[int]]:
+    """All strings of sorted runs in order: the run of each, and how many bytes it shares with the string before.
 
     A run is its strings and how many bytes each shares with the one before. Players of the tree carry the length of
     the prefix that they share with the last string given out. Where these lengths differ they decide alone; where they are
@@ -43,51 +44,42 @@ def merge_runs(runs: Sequence[tuple[list[bytes], list[int]]], length: int) -> tu
     count = 1
     while count < len(runs):
         count *= 2
-    strings = [r[0] for r in runs] + [[]] * (count - len(runs))
-    shared = [list(r[1]) for r in runs] + [[]] * (count - len(runs))
-    heads: list[bytes] = [s[0] if s else b"" for s in strings]
+    rest = [zip(*run) for run in runs] + [iter(())] * (count - len(runs))
+    heads: list[bytes] = [b""] * count
     # -1: the run has ended, and loses against all others.
-    known = [0 if s else -1 for s in strings]
-    at = [0] * count
+    known = [-1] * count
     losers = [0] * count
     number = int.from_bytes  # big-endian
-
-    def meet(c: int, hc: int, o: int) -> tuple[int, bool]:
-        """Bytes that two heads share, given that they share ``hc``, and whether ``c`` comes first."""
-        x, y = heads[c][hc:], heads[o][hc:]
-        if x == y:
-            return length, True
-        apart = (number(x) ^ number(y)).bit_length()
-        return length - (apart + 7) // 8, x < y
-
-    # Winners of the first matches, from the leaves up.
-    winners = list(range(count)) * 2
+    for k, strings in enumerate(rest):
+        first = next(strings, None)
+        if first is not None:
+            heads[k], known[k] = first[0], 0
+    # Winners of the first matches, from the leaves up; nothing is known of them yet.
+    winners = [0] * count + list(range(count))
     for node in range(count - 1, 0, -1):
-        a, b = winners[2 * node] if 2 * node < count else 2 * node - count, winners[2 * node + 1] if 2 * node + 1 < count else 2 * node + 1 - count
-        if known[a] < 0 or known[b] < 0:
-            winner, loser = (b, a) if known[a] < 0 else (a, b)
+        w, o = winners[2 * node], winners[2 * node + 1]
+        if known[w] < 0 or known[o] < 0:
+            if known[w] < 0:
+                w, o = o, w
         else:
-            both, first = meet(a, 0, b)
-            winner, loser = (a, b) if first else (b, a)
-            known[loser] = both
-        winners[node], losers[node] = winner, loser
-    w = winners[1] if count > 1 else 0
-    hw = known[w] if known[w] < 0 else 0
+            x, y = heads[w], heads[o]
+            if y < x:
+                w, o = o, w
+            known[o] = length - ((number(x) ^ number(y)).bit_length() + 7 >> 3)
+        winners[node], losers[node] = w, o
+    w = winners[1]
+    hw = known[w]
     which: list[int] = []
-    index: list[int] = []
-    same: list[bool] = []
+    shared: list[int] = []
+    give, tell = which.append, shared.append
     while hw >= 0:
-        i = at[w]
-        which.append(w)
-        index.append(i)
-        same.append(hw == length)
-        i += 1
-        at[w] = i
-        if i < len(strings[w]):
-            heads[w] = strings[w][i]
-            hw = shared[w][i]
-        else:
+        give(w)
+        tell(hw)
+        following = next(rest[w], None)
+        if following is None:
             hw = -1
+        else:
+            heads[w], hw = following
         node = (w + count) >> 1
         while node:
             o = losers[node]
@@ -97,17 +89,16 @@ def merge_runs(runs: Sequence[tuple[list[bytes], list[int]]], length: int) -> tu
                 known[w] = hw
                 w, hw = o, ho
             elif ho == hw and hw >= 0:
-                if hw == length:
+                x, y = heads[w][hw:], heads[o][hw:]
+                if x == y:
                     known[o] = length
                 else:
-                    both, first = meet(w, hw, o)
-                    if first:
+                    both = length - ((number(x) ^ number(y)).bit_length() + 7 >> 3)
+                    if x < y:
                         known[o] = both
                     else:
                         losers[node] = w
                         known[w] = both
                         w = o
             node >>= 1
-    if same:
-        same[0] = False
-    return which, index, same
+    return which, shared
