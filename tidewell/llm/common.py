@@ -30,6 +30,16 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+# Measured bytes that a broadcast side may have.
+BROADCAST_BYTES = 16 << 20
+
+
+def broadcast_if_few_bytes(df: DataFrame, size: Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` hinted for broadcast if the bytes of its rows, ``size`` each, add up to few; ``df`` should be stored."""
+    total = df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns called like an operator's results, whatever their case: the results replace them."""
     taken = {n.lower() for n in names}

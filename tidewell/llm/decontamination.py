@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, words
+from ..session import staged
+from .common import broadcast_if_few_bytes, broadcast_if_small, words
 
 WINDOW = 10
 GRAM = 5
@@ -122,15 +123,19 @@ def contamination(
         ),
         lambda a: a["hit"].cast("bigint"),
     )
-    per_doc = per_doc.withColumn("n_hit", union)
-    # Documents hit by the same sets of items have the same list of items: it is made once for all of them.
-    combos = per_doc.filter(F.size("set_ids") > 0).select("set_ids").distinct()
+    per_doc = staged(per_doc.withColumn("n_hit", union), "contamination")
+    # Documents hit by the same sets of items have the same list of items: it is made once for all of them. Most
+    # documents are hit by none, and stay out of the join.
+    some = F.size("set_ids") > 0
+    combos = per_doc.filter(some).select("set_ids").distinct()
     listed = combos.select("set_ids", F.explode("set_ids").alias("set_id")).join(sets, "set_id")
     listed = listed.groupBy("set_ids").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"))
     listed = listed.select(
         "set_ids", F.size("_items").cast("bigint").alias("n_items"), F.sha2(F.array_join("_items", ","), 256).alias("items_sha256")
     )
-    done = per_doc.join(listed, "set_ids", "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    listed = broadcast_if_few_bytes(staged(listed, "listed"), 8 * F.size("set_ids") + 120)
+    told = per_doc.filter(some).join(listed, "set_ids").unionByName(per_doc.filter(~some), allowMissingColumns=True)
+    done = told.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return done.select(
         F.col("_id").alias(doc_id),
         F.col("n_words").cast("bigint").alias("n_words"),
