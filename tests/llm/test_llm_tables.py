@@ -70,6 +70,10 @@ def test_sharding_repeated_rows_and_none(spark):
     rows = sharding.shard_documents(same, 3).collect()
     assert len(rows) == 33 and len({(r.shard, r.slot) for r in rows}) == 33
     assert sharding.shard_documents(same.limit(0), 3).count() == 0
+    # Equal rows are cut like any others.
+    equal = spark.createDataFrame([(1, "y" * 100)] * 60 + [(i, "z" * (i % 90)) for i in range(60)], "doc_id bigint, text string")
+    rows = sharding.shard_documents(equal, 6).collect()
+    assert len(rows) == 120 and len(shards_ok(rows, 6, max(r.size for r in rows))) == 6
 
 
 # Decontamination

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .common import without
 
 KEY_BITS = 63
@@ -28,9 +29,10 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + ROW_BYTES
 
 
-def sort_key(doc_id: Column, text: Column) -> Column:
+def sort_key(text: Column, *low: Column) -> Column:
+    """The hash of the text above the hash of what tells rows with equal texts apart."""
     high = F.shiftleft(F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1)), 32)
-    return high.bitwiseOR(F.xxhash64(doc_id, F.lit("shard")).bitwiseAND(F.lit((1 << 32) - 1)))
+    return high.bitwiseOR(F.xxhash64(*low, F.lit("shard")).bitwiseAND(F.lit((1 << 32) - 1)))
 
 
 def _cells(keyed: DataFrame, shift: int, within: list[int] | None, previous: int) -> dict[int, tuple[int, int]]:
@@ -40,12 +42,16 @@ def _cells(keyed: DataFrame, shift: int, within: list[int] | None, previous: int
     return {r["cell"]: (r["bytes"], r["n"]) for r in sums.collect()}
 
 
+class EqualKeys(Exception):
+    """A splitter lies within rows of one key."""
+
+
 def find_splitters(keyed: DataFrame, shards: int, tolerance: float) -> tuple[list[int], int]:
     """Keys at which shards 1, 2, ... begin, and the bytes of all rows.
 
     ``keyed`` has ``_key`` and ``_size``. The bytes below a splitter differ from an
     equal share by at most ``tolerance`` of a shard, or by part of one row where a
-    row is larger than that.
+    row is larger than that. Raises ``EqualKeys`` where only a cut through rows of one key would do.
     """
     shift = KEY_BITS - PROBE_BITS
     found = _cells(keyed, shift, None, KEY_BITS)
@@ -70,7 +76,9 @@ def find_splitters(keyed: DataFrame, shards: int, tolerance: float) -> tuple[lis
                     below += size
                     continue
                 to_start, to_end = target - below, below + size - target
-                if min(to_start, to_end) <= slack or rows == 1 or shift == 0:
+                if shift == 0 and rows > 1 and min(to_start, to_end) > slack:
+                    raise EqualKeys
+                if min(to_start, to_end) <= slack or rows == 1:
                     done[i] = (cell if to_start <= to_end else cell + 1) << shift
                 else:
                     refine[i] = (cell, below)
@@ -105,7 +113,17 @@ def shard_documents(
     own slot; no rows give no rows. Columns called like a result are replaced.
     """
     base = without(docs, RESULTS)
-    keyed = base.withColumns({"_size": size_of(F.col(text)), "_key": sort_key(F.col(doc_id), F.col(text))})
+    try:
+        return _placed(base, sort_key(F.col(text), F.col(doc_id)), shards, tolerance, block_bytes, text, doc_id)
+    except EqualKeys:
+        # Rows that are equal in id and text are told apart by a number of their own, which is stored to stay theirs.
+        numbered = staged(base.withColumn("_copy", F.monotonically_increasing_id()), "copies")
+        found = _placed(numbered, sort_key(F.col(text), F.col(doc_id), F.col("_copy")), shards, tolerance, block_bytes, text, doc_id)
+        return found.drop("_copy")
+
+
+def _placed(base: DataFrame, key: Column, shards: int, tolerance: float, block_bytes: int, text: str, doc_id: str) -> DataFrame:
+    keyed = base.withColumns({"_size": size_of(F.col(text)), "_key": key})
     narrow = keyed.select("_key", "_size").persist()
     try:
         splitters, total = find_splitters(narrow, shards, tolerance)
