@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -84,6 +85,24 @@ def test_extraction_by_text_not_by_marks():
     assert got[-6:] == long and "Home" not in got
 
 
+def test_extraction_names_do_not_cost_the_article():
+    body = "".join(f"<p>Paragraph {i} says what the page is about, at some length and in whole sentences.</p>" for i in range(8))
+    for html in (
+        f'<div class="layout sidebar-right"><article>{body}</article></div>',
+        f'<div id="search-engine-history">{body}</div>',
+        f'<div class="wrapper skip-ads"><article>{body}</article></div>',
+        f'<div class="layout-two-col sidebar"><main>{body}</main></div>',
+    ):
+        assert sum(t.startswith("Paragraph") for t in extraction.page_blocks(html)) == 8
+    assert extraction.page_blocks(f'<article>{body}</article><div class="comments"><p>I like it very much indeed, all of it.</p></div>')[-1].startswith("Paragraph 7")
+
+
+def test_extraction_is_linear_in_end_tags_without_a_start():
+    start = time.process_time()
+    assert extraction.page_blocks("<div>" * 20_000 + "</section>" * 20_000 + "<p>x</p>") == []
+    assert time.process_time() - start < 5
+
+
 def test_extraction_rows(spark):
     df = spark.createDataFrame([(None, "u", None, "t"), (2**60 + 1, None, "<article><p>a</article>", "t"), (2**60 + 1, None, "<article><p>a</article>", "t")], "page_id bigint, url string, html string, text string")
     got = sorted(map(tuple, extraction.extract(df).select("page_id", "url", "text", "n_chars").collect()), key=str)

@@ -11,6 +11,7 @@ that share their container with a kept one are kept.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -62,11 +63,13 @@ def _names(value: str | None) -> set[str]:
 class _Lines(HTMLParser):
     """Lines of a page: text, number of the outermost article it stands in, number of its container; 0 for none."""
 
-    def __init__(self) -> None:
+    def __init__(self, by_name: bool = True) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int]] = []
         self.open: list[tuple[str, bool]] = []  # element, whether it is dropped
         self.containers: list[int] = [0]
+        self.counts: Counter[str] = Counter()  # open elements by name, so that end tags without a start cost nothing
+        self.by_name = by_name
         self.dropped = self.articles = self.article = self.made = 0
         self.text: list[str] = []
 
@@ -86,6 +89,8 @@ class _Lines(HTMLParser):
         named = dict(attrs)
         if (named.get("role") or "").strip().lower() in ROLES and not tag == "article":
             return True
+        if not self.by_name:
+            return False
         names = _names(named.get("class")) | _names(named.get("id"))
         if tag == "article":
             return bool(names & READERS)
@@ -111,6 +116,7 @@ class _Lines(HTMLParser):
         if (drop and tag not in SILENT or tag in ARTICLE) and not self.dropped:
             self._end_line(gap=True)
         self.open.append((tag, drop))
+        self.counts[tag] += 1
         self.made += 1
         if tag not in FLOW:
             self.containers.append(self.made)
@@ -127,6 +133,7 @@ class _Lines(HTMLParser):
     def _close(self, depth: int) -> None:
         while len(self.open) > depth:
             tag, drop = self.open.pop()
+            self.counts[tag] -= 1
             if tag not in INLINE and not self.dropped:
                 self._end_line(gap=tag in ARTICLE)
             if tag not in FLOW:
@@ -135,6 +142,8 @@ class _Lines(HTMLParser):
             self.articles -= tag in ARTICLE
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.counts[tag]:
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == tag:
                 self._close(depth)
@@ -152,14 +161,24 @@ class _Lines(HTMLParser):
         self._end_line()
 
 
-def page_lines(html: str) -> list[tuple[str, int, int]]:
-    """Lines of a page, with empty ones where something was dropped."""
-    parser = _Lines()
+def page_lines(html: str, by_name: bool = True) -> list[tuple[str, int, int]]:
+    """Lines of a page, with empty ones where something was dropped; without ``by_name`` no class or id drops anything."""
+    parser = _Lines(by_name)
     parser.feed(html)
     parser.close()
     return parser.lines
 
 
+def page_blocks(html: str) -> list[str]:
+    """The blocks of a page's article.
+
+    A class or id only says what an element is called. Where parts that are dropped for it hold the article, and no
+    window of what is left is full enough, the lines are looked at again without regard to names.
+    """
+    kept = main_blocks(page_lines(html))
+    return kept or main_blocks(page_lines(html, by_name=False))
+
+
 def main_blocks(lines: list[tuple[str, int, int]]) -> list[str]:
     """The lines between surge and dive points that are kept."""
     filled = np.flatnonzero([len(t) for t, _, _ in lines])
@@ -198,7 +217,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """
 
     def run(texts: list[str]) -> tuple[dict, None]:
-        blocks = [main_blocks(page_lines(html)) for html in texts]
+        blocks = [page_blocks(html) for html in texts]
         text = ["\n\n".join(b) for b in blocks]
         kinds = {"text": pa.string(), "n_chars": pa.int64(), "blocks": pa.list_(pa.string())}
         return {k: pa.array(v, kinds[k]) for k, v in {"text": text, "n_chars": [len(t) for t in text], "blocks": blocks}.items()}, None
