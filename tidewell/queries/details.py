@@ -82,7 +82,7 @@ QUERIES = {
     ),
     "infer_depth_cap": Query(
         depth_cap,
-        """WITH l AS (SELECT unnest(range(11)) AS k) SELECT array_to_string([('l' || i) FOR i IN range(k + 1)], '.') AS path, (SELECT count(*) FROM nation) AS n, 'object' AS json_type FROM l WHERE k < 10""",
+        """WITH l AS (SELECT unnest(range(11)) AS k) SELECT array_to_string([('l' || i) FOR i IN range(k + 1)], '.') AS path, (SELECT count(*) FROM nation) AS n, 'object' AS json_type FROM l""",
     ),
     "query_with_cursor": Query(
         query_with_cursor, "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE (o_orderstatus <> 'F' OR o_custkey < 50) AND o_orderkey > 4000"
