@@ -174,3 +174,15 @@ def test_catalog(spark, recs):
     typed = table_json_schema(T.StructType.fromDDL("a int, b timestamp, c array<double>, d decimal(9,2)"))["properties"]
     assert typed["b"] == {"type": ["string", "null"], "format": "date-time"}
     assert typed["c"]["items"] == {"type": "number"} and typed["d"]["type"] == ["string", "null"]
+
+
+def test_conform_step_of_prices(spark, tmp_path):
+    """Prices whose double, plus 1, minus itself is a little less than 1: the step is 1 all the same."""
+    from tidewell.queries.schemas import QUERIES
+
+    prices = [0.9, 1000.5, 255.02, 255.03, 255.04]
+    assert sum(p + 1 - p < 1 for p in prices) == 4
+    rows = [(k, k, "F", p, "1-URGENT") for k, p in enumerate(prices)]
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    assert {r.step for r in QUERIES["infer_and_conform"].run(spark, str(tmp_path)).collect()} == {1}

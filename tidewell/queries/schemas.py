@@ -100,7 +100,7 @@ def infer_and_conform(spark, folder):
         F.col("buyer.key").alias("buyer"),
         F.array_join("tags", "|").alias("tags"),
         F.col("lines")[0]["closed"].alias("closed"),
-        (F.col("lines")[1]["price"] - F.col("lines")[0]["price"]).cast("bigint").alias("step"),
+        F.round(F.col("lines")[1]["price"] - F.col("lines")[0]["price"]).cast("bigint").alias("step"),
     )
 
 
