@@ -15,6 +15,7 @@ from tidewell.operators.state import empty_state
 from tidewell.plans.sync import sync_landed
 from tidewell.session import matching_paths
 from tidewell.sinks.tables import append_dedup, compact, read_merged, read_stream_table, write_stream_table
+from tidewell.sources.decode import decode_pages
 from tidewell.specs import Paging, StreamSpec, SyncSpec
 
 
@@ -235,3 +236,19 @@ def test_hashes_against_plain_steps(spark):
     assert [r[0] for r in df.select(murmur3(F.col("v"), T.DecimalType(18, 2))).collect()] == [plain_murmur(fewest(int(d.scaleb(2)))) for d in decimals]
     with pytest.raises(ValueError):
         murmur3(F.lit(1.5), T.DoubleType())
+
+
+@pytest.mark.parametrize("path", ["$.a[-2:]", "$.a[::2]", "$.a[2::-1]"])
+def test_slices_make_their_items_once(spark, pages, path):
+    """The number of items is asked for at every item: it must not open the array anew each time."""
+    found = decode_pages(pages('{"a":[1,2,3,4,5]}'), "json", path)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" in plan and "size(try_variant_get" not in plan
+
+
+def test_bodies_of_grouped_pages_are_bounded(spark):
+    """More users give more bodies, not longer ones."""
+    from tidewell.queries.shapes import USERS_IN_BODY, grouped_pages
+
+    found = grouped_pages(spark, "/root/testdata/sf0.01").select(F.regexp_count("body", F.lit('"user id":')).alias("n"))
+    assert found.agg(F.max("n")).first()[0] <= USERS_IN_BODY

@@ -315,7 +315,8 @@ def _opener(step: Step):
     if step is None:
         return _open
     if isinstance(step, Slice):
-        return lambda v: F.coalesce(_cut(_as_array(v), step), _no_elements())
+        # The items get a name: the cut asks for their number at every item, and must not make them anew for it.
+        return lambda v: F.flatten(F.transform(F.array(F.coalesce(_as_array(v), _no_elements())), lambda items: _cut(items, step)))
     if isinstance(step, Union):
         def chosen(v: Column) -> Column:
             parts = [_opener(c)(v) if isinstance(c, Slice) else F.array_compact(F.array(_walk(v, [c]))) for c in step.choices]

@@ -86,20 +86,27 @@ FORMS = {
 }
 
 
+USERS_IN_BODY = 5
+
+
 def grouped_pages(spark, folder):
-    """Events by user, ten pages: ``{"groups":[{"user id":…,"even":…,"vip":…,"items":[{"id":…,"kind":…,"user":…}]}]}``; ``vip`` is rare."""
+    """Events by user, ten pages: ``{"groups":[{"user id":…,"even":…,"vip":…,"items":[{"id":…,"kind":…,"user":…}]}]}``; ``vip`` is rare.
+
+    A page comes in bodies of a few users each, so that no body grows with the number of users.
+    """
     events = table(spark, folder, "events")
     item = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("user_id").alias("user"))
     users = events.groupBy("user_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
     vip = F.when(F.col("user_id") % 7 == 0, F.lit(1))
     group = F.to_json(F.struct(F.col("user_id").alias("user id"), (F.col("user_id") % 2 == 0).alias("even"), vip.alias("vip"), "items"))
-    pages = users.groupBy((F.col("user_id") % 10).alias("page_no")).agg(F.sort_array(F.collect_list(F.struct("user_id", group.alias("text")))).alias("_g"))
+    part = F.floor(F.col("user_id") / (10 * USERS_IN_BODY)).alias("_part")
+    pages = users.groupBy((F.col("user_id") % 10).alias("page_no"), part).agg(F.sort_array(F.collect_list(F.struct("user_id", group.alias("text")))).alias("_g"))
     body = F.concat(F.lit('{"groups":['), F.concat_ws(",", F.transform("_g", lambda g: g["text"])), F.lit("]}"))
     return pages.select(F.col("page_no").cast("int").alias("page_no"), body.alias("body"))
 
 
 def path_forms(spark, folder):
-    pages = grouped_pages(spark, folder)
+    pages = staged(grouped_pages(spark, folder), "grouped")
     found = [
         decode_pages(pages, "json", path).select(F.lit(form).alias("form"), "page_no", F.col("record").cast("bigint").alias("value"))
         for form, path in FORMS.items()
