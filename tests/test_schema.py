@@ -3,6 +3,7 @@ import json
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.catalog import discover, table_json_schema
@@ -186,3 +187,11 @@ def test_conform_step_of_prices(spark, tmp_path):
     orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string")
     orders.write.parquet(f"{tmp_path}/orders.parquet")
     assert {r.step for r in QUERIES["infer_and_conform"].run(spark, str(tmp_path)).collect()} == {1}
+
+
+def test_fields_are_described_from_one_reading(spark, recs):
+    """The path table is made once: no join of it with itself, so the records are opened once."""
+    found = describe_fields(infer_paths(recs({"a": {"b": 1}}, {"a": None}).withColumn("k", F.lit(1)), by=("k",)), by=("k",))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+    assert {(r.path, r.n, r.nullable, r.required) for r in found.collect()} == {("a", 2, True, False), ("a.b", 1, False, False)}

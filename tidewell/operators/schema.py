@@ -21,7 +21,7 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,7 +117,7 @@ def infer_paths(
     """
     if depth is None:
         depth = _depth(records, column, max_depth)
-    rows = records.select(*by, F.lit(None).cast("string").alias("_f"), F.try_parse_json(column).alias("_v"))
+    rows = records.select(*by, F.lit(None).cast("int").alias("_f"), F.try_parse_json(column).alias("_v"))
     for level in range(1, depth + 1):
         inner = rows.sparkSession.tvf.variant_explode_outer(F.col("_v").outer())
         opened = rows.lateralJoin(inner.toDF("_pos", "_key", "_child"), how="left")
@@ -145,26 +145,30 @@ def infer_paths(
 
 
 def _told(rows: DataFrame, level: int, shape: Column, formats: tuple[str, ...]) -> DataFrame:
-    """Add the shape of ``_v`` as ``_t{level}``, and note the format of a string."""
+    """Add the kind of ``_v`` as ``_t{level}``, and note the format of a string as ``_f``; both are bits from here on."""
     kind = f"_t{level}"
-    text = F.when(F.col(kind) == "STRING", F.col("_v").cast("string"))
-    told = rows.withColumn(kind, shape).withColumn("_x", text)
-    return told.withColumn("_f", F.coalesce("_f", format_name(F.col("_x"), formats))).drop("_x")
+    told = rows.withColumn("_x", shape).withColumn(kind, _kind(F.col("_x")))
+    told = told.withColumn("_x", F.when(F.col(kind) == STRING, F.col("_v").cast("string")))
+    return told.withColumn("_f", F.coalesce("_f", _format_bit(format_name(F.col("_x"), formats)))).drop("_x")
+
+
+def _format_bit(name: Column) -> Column:
+    bit = F.lit(None).cast("int")
+    for i, known in enumerate(FORMATS):
+        bit = F.when(name == known, 1 << i).otherwise(bit)
+    return bit
 
 
 def _entries(leaves: DataFrame, depth: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Each value once: a leaf carries its ancestors, and only their first leaf reports them."""
-    bit = F.lit(0)
-    for i, name in enumerate(FORMATS):
-        bit = F.when(F.col("_f") == name, 1 << i).otherwise(bit)
     entries = []
     for level in range(depth + 1):
-        kind = _kind(F.col(f"_t{level}"))
+        kind = F.col(f"_t{level}")
         path = F.concat(F.lit(""), *[F.col(f"_s{i}") for i in range(1, level + 1)])
         first = kind.isNotNull()
         for below in range(level + 1, depth + 1):
             first = first & ~F.coalesce(F.col(f"_z{below}"), F.lit(False))
-        form = F.when(kind == STRING, bit).otherwise(0)
+        form = F.when(kind == STRING, F.coalesce("_f", F.lit(0))).otherwise(0)
         entry = F.struct(path.alias("path"), kind.alias("kind"), form.alias("format"), F.lit(True).alias("real"))
         entries.append(F.when(first, entry))
         # An array that opened to nothing is empty; its items are of unknown kind.
@@ -241,14 +245,17 @@ def describe_fields(paths: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per field: count, JSON type, column type, format, nullable, required.
 
     A field is nullable when a null was seen or an object lacked it, and required
-    when every record has it and it is not nullable. The path table is joined to
-    itself on the parent path.
+    when every record has it and it is not nullable. A window over the fields of one
+    object brings them its counts.
     """
-    parents = paths.select(
-        *by, F.col("path").alias("_parent"), F.col("objects").alias("_objects"), F.col("n").alias("_parent_n")
-    )
-    fields = paths.filter("path <> ''").withColumn("_parent", _parent(F.col("path")))
-    joined = fields.join(parents, [*by, "_parent"], "left")
+    # Every field stands beside the object that holds it: one exchange, and the path table is made once.
+    own = F.when((F.col("objects") > 0) | (F.col("path") == ""), F.struct(F.col("path").alias("parent"), F.lit(True).alias("own")))
+    held = F.when(F.col("path") != "", F.struct(_parent(F.col("path")).alias("parent"), F.lit(False).alias("own")))
+    placed = paths.select("*", F.explode(F.array_compact(F.array(own, held))).alias("_at"))
+    placed = placed.select(*paths.columns, F.col("_at.parent").alias("_parent"), F.col("_at.own").alias("_own"))
+    beside = Window.partitionBy(*by, "_parent")
+    joined = placed.withColumns({f"_{name}": F.max(F.when(F.col("_own"), F.col(column))).over(beside) for name, column in (("objects", "objects"), ("parent_n", "n"))})
+    joined = joined.filter("NOT _own")
     item = F.col("path").endswith("[]")
     missing = ~item & (F.col("n") < F.col("_objects"))
     one_format = F.bit_count("formats") == 1
