@@ -10,7 +10,7 @@ from tidewell.functions.paths import extract_elements, parse_path, path_string
 from tidewell.functions.text import link_url, sanitise_name
 from tidewell.operators.conform import conform
 from tidewell.operators.errors import TooManyErrors, bad_records, check_errors, good_records
-from tidewell.sources.decode import csv_cells, decode_pages, decode_typed, page_values
+from tidewell.sources.decode import csv_cells, decode_pages, decode_typed, page_items, page_values
 
 
 def records(df):
@@ -186,3 +186,11 @@ def test_link_headers(spark):
     got = [r.u for r in df.select("i", link_url(F.col("h")).alias("u")).orderBy("i").collect()]
     assert got == list(cases.values())
     assert spark.range(1).select(sanitise_name(F.lit("a.b.c"))).first()[0] == "a_b_c"
+
+
+def test_csv_keys_are_made_once_per_page(spark, pages):
+    """What the header decides does not stand in the expression that makes the records."""
+    listed = page_items(pages("a,b,a\n1,2,3\n4,5,6"), "csv")
+    # The lambda over the records sees the keys as a variable.
+    assert "transform(array(filter(" in listed._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["record"] for r in listed.first()["items"]] == ['{"b":2,"a":3}', '{"b":5,"a":6}']

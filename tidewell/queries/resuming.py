@@ -107,18 +107,15 @@ def committed_bound(spark, folder):
 
 def written_as(spark, folder, fmt):
     """The event chains as JSON Lines, CSV or XML bodies, with the same records."""
-    pages = event_chains(spark, folder, "jsonl")
-    lines = F.split("body", "\n")
-    cell = lambda t, name: F.get_json_object(t, f"$.{name}")
     names = ("event_id", "user_id", "event_type")
     if fmt == "csv":
-        rows = F.transform(lines, lambda t: F.concat_ws(",", *[cell(t, n) for n in names]))
-        return pages.withColumn("body", F.concat(F.lit(",".join(names) + "\n"), F.concat_ws("\n", rows)))
+        pages = event_chains(spark, folder, "jsonl", record=F.concat_ws(",", *[F.col(n).cast("string") for n in names]))
+        return pages.withColumn("body", F.concat(F.lit(",".join(names) + "\n"), F.col("body")))
     if fmt == "xml":
-        tags = lambda t: F.concat(*[F.concat(F.lit(f"<{n}>"), cell(t, n), F.lit(f"</{n}>")) for n in names])
-        rows = F.transform(lines, lambda t: F.concat(F.lit("<row>"), tags(t), F.lit("</row>")))
-        return pages.withColumn("body", F.concat(F.lit("<rows>"), F.array_join(rows, ""), F.lit("</rows>")))
-    return pages
+        tags = F.concat(*[F.concat(F.lit(f"<{n}>"), F.col(n).cast("string"), F.lit(f"</{n}>")) for n in names])
+        pages = event_chains(spark, folder, "jsonl", record=F.concat(F.lit("<row>"), tags, F.lit("</row>")))
+        return pages.withColumn("body", F.concat(F.lit("<rows>"), F.replace("body", F.lit("\n"), F.lit("")), F.lit("</rows>")))
+    return event_chains(spark, folder, "jsonl")
 
 
 def empty_body(fmt):

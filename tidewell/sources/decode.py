@@ -252,14 +252,18 @@ def _csv_items(pages: DataFrame, delimiter: str, has_header: bool) -> DataFrame:
     lines = F.filter(lines, lambda t: t["text"] != "")
     rows = F.transform(lines, lambda t: F.struct(t["pos"].alias("pos"), csv_cells(t["text"], delimiter).alias("cells")))
     cells = split.select(*pages.columns, names.alias("_names"), rows.alias("_rows"))
+    # What the header decides is made once per page. A repeated column name keeps its last cell.
+    keyed = F.transform("_names", lambda name, i: F.struct(i.alias("i"), F.concat(quote_json(name), F.lit(":")).alias("key"), name.alias("name")))
+    last = F.filter(keyed, lambda c: ~F.array_contains(F.slice("_names", c["i"] + 2, F.size("_names")), c["name"]))
 
-    def record(row: Column) -> Column:
-        pairs = F.transform("_names", lambda name, i: F.concat(quote_json(name), F.lit(":"), csv_value_json(F.coalesce(F.get(row, i), F.lit("")))))
-        # A repeated column name keeps its last cell.
-        last = F.filter(pairs, lambda _, i: ~F.array_contains(F.slice("_names", i + 2, F.size("_names")), F.get("_names", i)))
-        return F.concat(F.lit("{"), F.concat_ws(",", last), F.lit("}"))
+    def record(row: Column, columns: Column) -> Column:
+        pairs = F.transform(columns, lambda c: F.concat(c["key"], csv_value_json(F.coalesce(F.get(row, c["i"]), F.lit("")))))
+        return F.concat(F.lit("{"), F.concat_ws(",", pairs), F.lit("}"))
 
-    made = F.transform("_rows", lambda row: F.struct(row["pos"].alias("pos"), record(row["cells"]).alias("record")))
+    def opened(columns: Column) -> Column:
+        return F.transform("_rows", lambda row: F.struct(row["pos"].alias("pos"), record(row["cells"], columns).alias("record")))
+
+    made = F.flatten(F.transform(F.array(last), opened))
     return cells.select(*pages.columns, F.coalesce(made, F.array()).cast(ITEMS).alias("items"))
 
 
