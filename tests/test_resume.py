@@ -265,3 +265,16 @@ def test_a_page_that_must_be_fetched_again_waits(spark, tmp_path):
     assert ids(spark, base) == [1, 2]
     land_batch(landed(spark, [2], 3, "jsonl", fetched="2024-01-02 00:00:00"), 1, spec, base, folder, "2024-01-01", retry)
     assert ids(spark, base) == [1, 2, 3, 4, 5, 6]
+
+
+def test_a_batch_of_many_pages_lands_as_several_files(spark, tmp_path, monkeypatch):
+    """More pages give more files to a batch, so no task writes or reads all of it; the batches stay as many."""
+    from tidewell.queries import carried
+
+    base = str(tmp_path)
+    monkeypatch.setattr(carried, "scratch_path", lambda spark, label: f"{base}/{label}")
+    monkeypatch.setattr(carried, "PAGES_IN_FILE", 5, raising=False)
+    rows = carried.streamed_pages(spark, "/root/testdata/sf0.001").agg(F.count("*"), F.count_distinct("event_id"), F.max("batches")).first()
+    files = len(matching_paths(spark, f"{base}/streamed-pages/landing/*.parquet"))
+    assert files > carried.FILES and files % carried.FILES == 0
+    assert rows[0] == rows[1] == 1000 and rows[2] == carried.FILES

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.catalog import sample
 from ..operators.state import read_state
-from ..session import matching_paths, scratch_path
+from ..session import matching_paths, scratch_path, staged
 from ..sinks.tables import append_dedup, compact, read_merged, read_stream_table, stream_path
 from ..sources.pages import stream_pages
 from ..sources.tables import partition_predicates, quantile_cuts
@@ -19,19 +19,24 @@ from .common import Query, table
 from .landing import CHAINS, MORE, event_chains
 
 FILES = 4
+PAGES_IN_FILE = 20_000
 
 
 def streamed_pages(spark, folder):
-    """Pages spread over files in no order, some landed twice, one file to a batch: chains go on from batch to batch."""
+    """Pages spread over files in no order, some landed twice, one file to a batch: chains go on from batch to batch.
+
+    What would be a file of very many pages lands as several, which make up the batch together.
+    """
     base = scratch_path(spark, "streamed-pages")
     pages = event_chains(spark, folder).withColumn("url", F.lit(None).cast("string"))
     file = F.pmod(F.xxhash64("partition_id", "page_no"), F.lit(FILES)).cast("int")
     twice = pages.filter("page_no % 3 = 1").withColumn("_file", (file + 1) % FILES)
-    spread = pages.withColumn("_file", file).unionByName(twice)
+    spread = staged(pages.withColumn("_file", file).unionByName(twice), "spread")
+    pieces = 1 + spread.count() // (FILES * PAGES_IN_FILE)
     for number in range(FILES):
-        spread.filter(F.col("_file") == number).drop("_file").coalesce(1).write.mode("append").parquet(f"{base}/landing")
+        spread.filter(F.col("_file") == number).drop("_file").repartition(pieces).write.mode("append").parquet(f"{base}/landing")
     spec = StreamSpec("events", "json", "data", MORE, cursor_field="event_id")
-    stream_landed(stream_pages(spark, f"{base}/landing", max_files=1), spec, f"{base}/out", f"{base}/checkpoint", f"{base}/state", "2024-02-01")
+    stream_landed(stream_pages(spark, f"{base}/landing", max_files=pieces), spec, f"{base}/out", f"{base}/checkpoint", f"{base}/state", "2024-02-01")
     state = read_state(spark, f"{base}/state/events").filter("completed")
     told = state.agg(F.count("*").alias("completed"), F.max(F.col("cursor").cast("bigint")).alias("cursor"))
     versions = F.lit(len(matching_paths(spark, f"{base}/checkpoint/commits/[0-9]*")))
