@@ -383,3 +383,23 @@ def test_pipeline_result(pieces):
     assert isinstance(pieces, pd.DataFrame) and pieces.groupby("sequence_id")["length"].sum().max() <= 1024
     ends = pieces.sort_values("start").groupby("doc_id").tail(1)
     assert (ends["start"] + ends["length"] == ends["doc_tokens"]).all()
+
+
+def test_near_duplicates_settles_few_pairs_in_one_round(spark, monkeypatch):
+    """A class of many near copies, and outsiders that nobody is near to: who cannot link takes no part, and outsiders meet the rest once."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("bdgklmnrst") + rng.choice("aeiou") for _ in range(3))
+    base = [word() for _ in range(120)]
+
+    def edited(n):
+        at = set(rng.sample(range(120), n))
+        return " ".join(word() if i in at else w for i, w in enumerate(base))
+
+    texts = [edited(2) for _ in range(80)] + [edited(6) for _ in range(60)]
+    rounds, taken = [], []
+    unsettled, may_link = near_dedup._unsettled, near_dedup._may_link
+    monkeypatch.setattr(near_dedup, "_unsettled", lambda placed, first: rounds.append(first) or unsettled(placed, first))
+    monkeypatch.setattr(near_dedup, "_may_link", lambda bounds, threshold: taken.append((bounds.count(), may_link(bounds, threshold).count())) or may_link(bounds, threshold))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_classes(texts)
+    assert len(rounds) <= 3 and taken[0][1] < taken[0][0]

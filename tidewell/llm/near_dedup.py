@@ -14,8 +14,9 @@ Copies are one node. In a bucket no pair is made that a class already implies: f
 meets the one that meets most others; then, in buckets that still hold several classes, the members with the least of
 their own meet the members of other classes, four times as many members in each round, until the bucket is
 one class or all pairs between its classes have been compared or ruled out by what the two texts share
-with anyone. Once few pairs are left, one round takes them all. So a group of thousands of near
-copies costs about one comparison a member, and no link is lost.
+with anyone. Members with too much of their own to be near to any text take no part. Once few pairs between
+classes are left, one round takes them all: everyone outside a bucket's largest class meets the other classes. So a group of
+thousands of near copies costs about one comparison a member, and no link is lost.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from .shingles import Shingles, chunks, mix, shingles
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # of each weighting: a pair at the threshold by it meets with probability 1 - (1 - 0.8**3)**12 = 0.9998
 WIDTH, DEPTH = 1 << 18, 2  # of the sketch
-ALL_PAIRS = 20_000_000  # pairs of one bucket, over all buckets with several classes, that one round may take
+ALL_PAIRS = 20_000_000  # pairs between classes of one bucket, either way, over all buckets, that one round may take
 BROADCAST_NODES = 1_000_000  # numbers of 8 bytes that may be broadcast
 SLICES = 64  # pieces in which sketches are added up
 
@@ -215,6 +216,12 @@ def _may_reach(total: str, shared: str, threshold: float) -> Column:
     return common * 1.0001 >= threshold * (F.col(total) + F.col(f"hub_{total}") - common)
 
 
+def _may_link(bounds: DataFrame, threshold: float) -> DataFrame:
+    """The nodes that may reach the threshold with any text: what two have in common is no more than either has, so it must be enough of this one."""
+    enough = [F.col(shared) * 1.0001 >= threshold * F.col(total) for total, shared in (("total", "shared"), ("total_n", "shared_n"))]
+    return bounds.filter(enough[0] | enough[1])
+
+
 def _texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The text of each of the ``nodes``; only those texts move."""
     found = docs.select(F.xxhash64("text").alias("node"), "text").join(nodes, "node", "left_semi")
@@ -233,6 +240,16 @@ def _split(placed: DataFrame) -> DataFrame:
     return found.filter(F.col("_low") < F.col("_high")).select("bucket", "n")
 
 
+def _unsettled(placed: DataFrame, first: int) -> DataFrame:
+    """The buckets of ``first`` members or more in several classes: their largest class, and how many pairs stand between classes."""
+    classes = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    found = classes.groupBy("bucket").agg(
+        F.max(F.struct("c", "root")).alias("_most"), F.count("*").alias("_classes"), F.sum("c").alias("_n"), F.sum(F.col("c") * F.col("c")).alias("_squares")
+    )
+    pairs = ((F.col("_n") * F.col("_n") - F.col("_squares")) / 2).cast("bigint")
+    return found.filter((F.col("_classes") > 1) & (F.col("_n") >= first)).select("bucket", F.col("_most.root").alias("largest"), pairs.alias("pairs"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``class_id``, ``node``.
 
@@ -260,29 +277,32 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     placed = shared.filter("n > 2").select("bucket", "node", "n").join(told, "node")
     live = staged(placed.join(_split(placed), "bucket", "left_semi").select("bucket", "node", "n"), "live")
     bounds = staged(shared_weights(broadcast_if_small(live.select("node").distinct(), BROADCAST_NODES), docs, idf), "bounds")
-    own = nodes_of(signed).join(bounds, "node")
+    # Members that no text can be near to have met their hub and are done; the rounds take the others.
+    own = nodes_of(signed).join(_may_link(bounds, threshold), "node")
     cleanest = Window.partitionBy("bucket").orderBy(F.desc(F.col("shared") / F.col("total")), "node")
-    live = staged(live.join(own, "node").withColumn("rank", F.row_number().over(cleanest)), "ranks")
-    tested, first, last = [pairs], 1, 4
+    live = staged(live.select("bucket", "node").join(own, "node").withColumn("rank", F.row_number().over(cleanest)), "ranks")
+    first, last = 1, 4
     while True:
         placed = live.join(told, "node")
-        split = _split(placed.filter(F.col("n") >= first))
-        size = split.agg(F.count("*").alias("buckets"), F.sum(F.col("n") * F.col("n")).alias("pairs")).first()
+        split = _unsettled(placed, first)
+        size = split.agg(F.count("*").alias("buckets"), F.sum("pairs").alias("pairs")).first()
         if not size["buckets"]:
             break
-        if first > 1 and size["pairs"] <= ALL_PAIRS:
+        if first > 1 and 2 * size["pairs"] <= ALL_PAIRS:
             last = (1 << 31) - 1
-        here = placed.join(split.select("bucket"), "bucket", "left_semi")
+        here = placed.join(split.select("bucket", "largest"), "bucket")
         columns = ["node", "root", "buckets", "total", "shared", "total_n", "shared_n"]
-        hub = here.filter(F.col("rank").between(first, last)).select("bucket", *[F.col(c).alias(f"hub_{c}") for c in columns])
+        meets = F.col("rank").between(first, last)
+        if last == (1 << 31) - 1:
+            # Of two members of different classes one is outside the largest.
+            meets = meets & (F.col("root") != F.col("largest"))
+        hub = here.filter(meets).select("bucket", *[F.col(c).alias(f"hub_{c}") for c in columns])
         may_link = _may_reach("total", "shared", threshold) | _may_reach("total_n", "shared_n", threshold)
         once = F.array_min(F.array_intersect("buckets", "hub_buckets")) == F.col("bucket")  # a pair meets in one of its buckets
-        met = here.join(hub, "bucket").filter((F.col("root") != F.col("hub_root")) & may_link & once)
+        # Who ranks before ``first`` has met all that are in other classes now: classes only grow.
+        met = here.filter(F.col("rank") >= first).join(hub, "bucket").filter((F.col("root") != F.col("hub_root")) & may_link & once)
         new = met.select(F.greatest("node", "hub_node").alias("a"), F.least("node", "hub_node").alias("b")).distinct()
-        for old in tested:
-            new = new.join(old, ["a", "b"], "left_anti")
-        new = staged(new, "pairs")
-        tested.append(new)
+        new = staged(new.join(pairs, ["a", "b"], "left_anti"), "pairs")
         more = staged(compared(new, docs, idf, threshold), "links")
         # Only the classes that the new links join are named anew.
         ends = more.join(told.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
