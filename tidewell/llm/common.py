@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shingles import chunks
+
 # Fixed by the task: words are what stands between runs of these characters, after lower-casing A-Z.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,18 +48,27 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+# Bytes of text that a task of ``map_texts`` opens at a time, however many the texts of a batch have.
+OPEN_BYTES = 3_000_000
+
+
 def map_texts(rows: DataFrame, text: str, carried: list[Column], made: str, make: Callable[[list[str]], tuple[dict[str, Any], Any]]) -> DataFrame:
     """The ``carried`` columns of ``rows`` beside what ``make`` makes of their texts, batch by batch.
 
-    ``make`` gets the texts of a batch, empty where null, and gives the columns of the schema ``made`` and, unless
+    ``make`` gets some texts of a batch, empty where null, and gives the columns of the schema ``made`` and, unless
     each text gives one row, the number of the text each row belongs to. Carried values pass as they are, nulls included.
     """
     chosen = rows.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), *carried)
     kept = chosen.schema.fields[1:]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [made])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            for first, some in chunks(batch.column(0), OPEN_BYTES):
+                yield batch.slice(first, len(some))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
             columns, owners = make(batch.column(0).to_pylist())
             given = [batch.column(i + 1) for i in range(len(kept))]
             if owners is not None:

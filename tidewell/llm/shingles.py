@@ -92,13 +92,13 @@ def shingles(texts: pa.Array) -> Shingles:
     return Shingles(text[new], hashes[new], np.diff(new, append=len(text)), n)
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Consecutive pieces of an array, by bytes; each with its first place."""
+def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive pieces of an array, of about ``limit`` bytes; each with its first place."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     first = 0
     while first < len(texts):
         done = sizes[first - 1] if first else 0
-        last = int(np.searchsorted(sizes, done + CHUNK_BYTES)) + 1
+        last = int(np.searchsorted(sizes, done + limit)) + 1
         last = min(max(last, first + 1), first + CHUNK_TEXTS, len(texts))
         yield first, texts.slice(first, last - first)
         first = last
