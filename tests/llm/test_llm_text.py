@@ -262,6 +262,6 @@ def test_texts_of_a_batch_are_opened_by_bytes(spark, monkeypatch):
 
     monkeypatch.setattr(common, "OPEN_BYTES", 1000)
     docs = spark.createDataFrame([(i, None if i % 10 == 0 else f"é{i}" * 50) for i in range(60)], "doc_id bigint, text string").coalesce(1)
-    made = common.map_texts(docs, "text", [F.col("doc_id")], "n int, bytes bigint", lambda t: ({"n": [len(t)] * len(t), "bytes": [sum(len(x.encode()) for x in t)] * len(t)}, None)).collect()
+    made = common.map_texts(docs, "text", [F.col("doc_id")], "n bigint, bytes bigint", lambda t: ({"n": [len(t)] * len(t), "bytes": [sum(len(x.encode()) for x in t)] * len(t)}, None)).collect()
     assert [r.doc_id for r in made] == list(range(60))
     assert max(r.bytes for r in made) < 1300 and min(r.n for r in made) >= 1
