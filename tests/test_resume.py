@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators.paging import joined_runs, page_runs, page_signals, replay, usable_ends
 from tidewell.operators.state import empty_state, read_state
+from tidewell.plans import sync
 from tidewell.plans.sync import sync_all, sync_landed
 from tidewell.session import matching_paths, shared_folder
 from tidewell.sinks.tables import read_stream_table
@@ -278,3 +279,16 @@ def test_a_batch_of_many_pages_lands_as_several_files(spark, tmp_path, monkeypat
     files = len(matching_paths(spark, f"{base}/streamed-pages/landing/*.parquet"))
     assert files > carried.FILES and files % carried.FILES == 0
     assert rows[0] == rows[1] == 1000 and rows[2] == carried.FILES
+
+
+def test_state_does_not_gather_the_pages_of_a_chain(spark):
+    """The pages of one chain are decoded where they are, whatever state is joined: not all in one task."""
+    body = F.concat(F.lit('{"more":'), (F.col("id") < 39).cast("string"), F.lit(',"data":[{"a":'), F.col("id").cast("string"), F.lit("}]}"))
+    pages = spark.range(0, 40, 1, 4).select(
+        F.lit("events").alias("stream"), F.lit("p0").alias("partition_id"), (F.col("id") + 1).cast("int").alias("page_no"), F.lit(200).alias("status"),
+        F.create_map().cast("map<string,string>").alias("headers"), body.alias("body"), F.lit("2024-02-01 00:00:00").cast("timestamp").alias("fetched_at"),
+    )
+    spec = StreamSpec("events", "json", "data", Paging("offset", Stop("field", "more", False), limit=1))
+    found = sync.landed(pages, spec, empty_state(spark))
+    assert found.records.count() == 40
+    assert found.pages.select(F.input_file_name()).distinct().count() == 4

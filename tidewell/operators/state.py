@@ -14,12 +14,19 @@ STATE_SCHEMA = "stream string, partition_id string, cursor string, completed boo
 PROGRESS = {"page": "int", "records": "bigint", "pending": "string"}
 FULL_SCHEMA = STATE_SCHEMA + "".join(f", {name} {kind}" for name, kind in PROGRESS.items())
 KEY = ["stream", "partition_id"]
+# State of so many chains goes to every task of a join; more is shuffled, which its many keys spread.
+BROADCAST_CHAINS = 100_000
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
+def beside_rows(state: DataFrame) -> DataFrame:
+    """``state`` for a join with pages or records: few chains are broadcast, as a shuffle by chain would bring all bodies of one into one task."""
+    return F.broadcast(state) if state.limit(BROADCAST_CHAINS + 1).count() <= BROADCAST_CHAINS else state
+
+
 def cursor_updates(rows: DataFrame) -> DataFrame:
     """Rows of ``stream, cursor`` and optionally ``partition_id, completed`` as state rows."""
     partition = F.col("partition_id") if "partition_id" in rows.columns else F.lit(None)

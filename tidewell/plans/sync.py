@@ -23,7 +23,7 @@ from ..operators.incremental import greatest_cursors, max_cursor, newer_than, ne
 from ..operators.messages import log_messages, state_messages, summary_message
 from ..operators.paging import CHAIN, decoded_pages, latest_signals, record_positions, replay, usable_ends
 from ..operators.schema import quick_table_schema, stored_type
-from ..operators.state import PROGRESS, STATE_SCHEMA, empty_state, get_cursor, upsert_state
+from ..operators.state import PROGRESS, STATE_SCHEMA, beside_rows, empty_state, get_cursor, upsert_state
 from ..operators.summary import run_summary
 from ..session import path_exists, release, staged
 from ..sinks.tables import PARTITION, append_dedup, stream_path, write_stream_table
@@ -140,7 +140,7 @@ def landed(pages: DataFrame, spec: StreamSpec, state: DataFrame | None = None) -
     ok = ok.withColumn("partition_id", F.coalesce("partition_id", F.lit("")))
     if state is not None:
         known = chain_state(state, spec.name).select(*CHAIN, F.col("completed").alias("_completed"), F.col("page").alias("_page"))
-        ok = ok.join(known, CHAIN, "left").filter("NOT coalesce(_completed, false) AND page_no > coalesce(_page, 0)").drop("_completed", "_page")
+        ok = ok.join(beside_rows(known), CHAIN, "left").filter("NOT coalesce(_completed, false) AND page_no > coalesce(_page, 0)").drop("_completed", "_page")
     scratch: list[str] = []
     decoded = staged(decoded_pages(ok, spec.paging, spec.fmt, spec.records_path, **spec.decode_options), "decoded", scratch)
     return _chosen(decoded, spec, state, scratch)
@@ -264,7 +264,7 @@ def _sync_found(
         rows = conform(good, schema)
         if incremental and field:
             bounds = mine.filter("cursor IS NOT NULL").select(F.col("partition_id").alias(PARTITION), "cursor")
-            rows = newer_than_state(rows, bounds, [PARTITION], field)
+            rows = newer_than_state(rows, beside_rows(bounds), [PARTITION], field)
         done = _write(rows, base, spec.name, run_id, sync, spec.primary_key, field, floor, **write_options)
         if field:
             shown = mine.select("partition_id", F.coalesce("pending", "cursor").alias("cursor"))

@@ -35,7 +35,9 @@ def event_chains(spark, folder, fmt="json", broken=None, record=None):
         F.struct(key.alias("k"), record.alias("text")).alias("row"),
     )
     pages = placed.groupBy("stream", "partition_id", "page_no").agg(F.sort_array(F.collect_list("row")).alias("rows"))
-    last = F.max("page_no").over(Window.partitionBy("stream", "partition_id"))
+    # One row per chain is joined: a window would bring all bodies of a chain into one task.
+    ends = placed.groupBy("stream", "partition_id").agg(F.max("page_no").alias("_last"))
+    pages, last = pages.join(F.broadcast(ends), ["stream", "partition_id"]), F.col("_last")
     texts = F.transform("rows", lambda r: r["text"])
     lines = F.concat_ws("\n", texts)
     whole = F.concat(F.lit('{"more":'), (F.col("page_no") < last).cast("string"), F.lit(',"data":['), F.concat_ws(",", texts), F.lit("]}"))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.state import empty_state
 from ..plans.sync import landed_records, sync_landed
-from ..session import scratch_path
+from ..session import scratch_path, staged
 from ..sinks.tables import read_stream_table
 from ..specs import Paging, Stop, StreamSpec, SyncSpec
 from .common import Query, table
@@ -36,10 +36,15 @@ PLACED = f"""WITH e AS (SELECT event_id, event_id % {CHAINS} AS chain, event_id
   max(event_id // {CHAINS * ON_PAGE} + 1) OVER (PARTITION BY event_id % {CHAINS}) AS last FROM events)"""
 
 
+def _with_last(pages: DataFrame) -> DataFrame:
+    """The pages with the number of their chain's last as ``_last``: one row per chain is joined, bodies stay where they are."""
+    ends = pages.groupBy("stream", "partition_id").agg(F.max("page_no").alias("_last"))
+    return pages.join(F.broadcast(ends), ["stream", "partition_id"])
+
+
 def holes(spark, folder):
     """Chain 0 misses its first page, 1 three in a row, 2 and 3 two pages each that land in either order, 4 its last."""
-    pages = event_chains(spark, folder)
-    last = F.max("page_no").over(Window.partitionBy("stream", "partition_id"))
+    pages = _with_last(staged(event_chains(spark, folder), "landed"))
     chain, page = F.col("partition_id"), F.col("page_no")
     missing = (
         ((chain == "p0") & (page == 1))
@@ -48,7 +53,7 @@ def holes(spark, folder):
         | ((chain == "p4") & (page == F.col("_last")))
     )
     late = ((chain == "p2") & (page == 2)) | ((chain == "p3") & (page == 5))
-    marked = pages.withColumn("_last", last).withColumns({"_missing": missing, "_late": late})
+    marked = pages.withColumns({"_missing": missing, "_late": late})
     spec = StreamSpec("events", "json", "data", MORE, cursor_field="event_id")
     landed = [marked.filter(test).drop("_last", "_missing", "_late") for test in ("NOT _missing", "NOT _late", "true")]
     base, results = runs(spark, "holes", spec, landed)
@@ -58,11 +63,10 @@ def holes(spark, folder):
 
 def newest_first(spark, folder):
     """Chains whose first page has the greatest ids: what later pages hold is older than what is written."""
-    pages = event_chains(spark, folder)
-    last = F.max("page_no").over(Window.partitionBy("stream", "partition_id"))
+    pages, last = _with_last(event_chains(spark, folder)), F.col("_last")
     turned = pages.withColumn("page_no", last - F.col("page_no") + 1)
     body = F.concat(F.lit('{"more":'), (F.col("page_no") < last).cast("string"), F.substring("body", F.locate(",", F.col("body")), F.length("body")))
-    turned = turned.withColumn("body", body)
+    turned = staged(turned.withColumn("body", body).drop("_last"), "landed")
     spec = StreamSpec("events", "json", "data", MORE, cursor_field="event_id")
     base, results = runs(spark, "newest", spec, [turned.filter("page_no <= 2"), turned.filter("page_no <= 3 OR partition_id = 'p1'"), turned])
     state = results[-1].state.filter("partition_id IS NOT NULL")

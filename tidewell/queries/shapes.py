@@ -40,7 +40,7 @@ def _told(rows: DataFrame) -> DataFrame:
 
 
 def _drifting_runs(spark, folder, name, sync):
-    pages, spec = drifting(spark, folder), StreamSpec("events", "json", "data", MORE, ("event_id",), "event_id")
+    pages, spec = staged(drifting(spark, folder), "landed"), StreamSpec("events", "json", "data", MORE, ("event_id",), "event_id")
     base, state = scratch_path(spark, name), empty_state(spark)
     for number, chains in enumerate((("p4",), ("p0", "p1"), ("p2", "p3")), 1):
         done = sync_landed(pages.filter(F.col("partition_id").isin(*chains)), spec, state, base, f"run-{number}", sync, run_date=f"2024-02-0{number}")
