@@ -403,3 +403,23 @@ def test_near_duplicates_settles_few_pairs_in_one_round(spark, monkeypatch):
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs_of(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == plain_classes(texts)
     assert len(rounds) <= 3 and taken[0][1] < taken[0][0]
+
+
+def test_first_of_each_moves_few_texts(spark, monkeypatch):
+    """However many documents stay, the texts that are shuffled are those of rows that go, and a few more."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices("bcdfghklmnpqrstvwz", k=60)) + f" {i}" for i in range(3000)]
+    rows = [(i, texts[min(i, 2899)], "en") for i in range(3000)]  # 100 copies of the last
+    # An id with unlike texts is the least of several classes; rows without an id; repeated rows; null and empty texts.
+    rows += [(5, "one unlike text", "en"), (7000, "one unlike text", "en"), (None, "no id", "en"), (None, "no id either", "en")]
+    rows += [rows[7]] * 2 + [(8000, None, "en"), (8000, "", "en"), (8001, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(8)
+    moved = []
+    split = near_dedup._may_be_in
+    monkeypatch.setattr(near_dedup, "_may_be_in", lambda *a: moved.append(split(*a)) or moved[-1])
+    got = near_dedup.first_of_each(docs)
+    assert got.columns == docs.columns
+    wanted = [(i, t) for i, t, _ in rows[:2900]] + [(5, "one unlike text"), (None, "no id"), (None, "no id either"), (8000, "")]
+    assert sorted(((r.doc_id, r.text or "") for r in got.collect()), key=str) == sorted(wanted, key=str)
+    maybe = moved[0].filter("_maybe").count()
+    assert 106 <= maybe < 106 + 3000 * 0.1

@@ -39,6 +39,8 @@ WIDTH, DEPTH = 1 << 18, 2  # of the sketch
 ALL_PAIRS = 20_000_000  # pairs between classes of one bucket, either way, over all buckets, that one round may take
 BROADCAST_NODES = 1_000_000  # numbers of 8 bytes that may be broadcast
 SLICES = 64  # pieces in which sketches are added up
+KEY_BITS = 16  # of bitmaps for each key they mark
+MOST_BITS = 1 << 27  # of all bitmaps together, which every task gets; with fewer bits a key more rows meet a mark by chance
 
 
 def _cells(hashes: np.ndarray, row: int) -> np.ndarray:
@@ -258,6 +260,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts are copies of each other, and other texts without words are like nothing but their copies. Repeated
     rows are copies. A class whose ids are all null has a null id. Other columns are ignored.
     """
+    return _classes(docs, threshold).select("doc_id", "class_id", "node")
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """``near_duplicates``, and ``root``, which tells classes of the same id apart."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spark = docs.sparkSession
     idf = inverse_frequencies(frequencies(docs), docs.count())
@@ -311,20 +318,44 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         first, last = last + 1, 4 * last
     found = signed.select("doc_id", "node").join(told, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = found.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return found.join(least, "root").select("doc_id", "class_id", "node")
+    return found.join(least, "root").select("doc_id", "class_id", "node", "root")
+
+
+def _may_be_in(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``rows`` and ``_maybe``: false where ``key`` (long) is surely none of ``keys`` (``_key``, stored), whatever their number; rows stay where they are.
+
+    The keys are marked in bitmaps of 2**15 bits, and the row's bit is looked up.
+    """
+    bits = max(1 << 15, min(MOST_BITS, KEY_BITS * keys.count()))
+    place = F.pmod(key, F.lit(bits))
+    marks = keys.select(F.pmod("_key", F.lit(bits)).alias("_place")).select(F.shiftright("_place", 15).alias("_bitmap"), F.col("_place").bitwiseAND((1 << 15) - 1).alias("_bit"))
+    marks = marks.repartition("_bitmap").groupBy("_bitmap").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.substring("_bits", F.shiftright(place.bitwiseAND((1 << 15) - 1), 3).cast("int") + 1, F.lit(1))
+    marked = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), place.bitwiseAND(7).cast("int")) == 1
+    found = rows.join(F.broadcast(marks), F.shiftright(place, 15) == F.col("_bitmap"), "left")
+    return found.withColumn("_maybe", F.coalesce(marked, F.lit(False))).drop("_bitmap", "_bits")
 
 
 def first_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with the least id of their class, one each, unchanged; documents without an id in classes of their own stay."""
-    classes = near_duplicates(docs, threshold)
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("class_id").alias("_class"), F.col("node").alias("_node"))
-    kept = staged(kept.agg(F.count("*").alias("_rows")), "kept")
+    """The documents with the least id of their class, one each, unchanged; documents without an id in classes of their own stay.
+
+    Only rows that go or are repeated, and the few that bitmaps cannot tell from them, are joined; the texts of all others stay where they are.
+    """
+    rows = staged(_classes(docs, threshold).groupBy("root", "class_id", "doc_id", "node").agg(F.count("*").alias("_rows")), "rows")
+    is_first = F.col("doc_id").eqNullSafe(F.col("class_id"))
     # One text of the class, should its least id come with several.
-    one = kept.groupBy("_class").agg(F.min("_node").alias("_node"))
-    kept = kept.join(one, ["_class", "_node"]) if kept.groupBy("_class").count().filter("count > 1 AND _class IS NOT NULL").limit(1).count() else kept
-    mine = F.col("doc_id").eqNullSafe(F.col("_class")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_node"))
-    single = docs.join(broadcast_if_small(kept.filter("_rows = 1").select("_class", "_node")), mine, "left_semi")
-    if not kept.filter("_rows > 1").limit(1).count():
-        return single
-    again = docs.join(broadcast_if_small(kept.filter("_rows > 1").select("_class", "_node")), mine, "left_semi")
-    return single.unionByName(again.withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).drop("_key"))
+    one = rows.filter(is_first).groupBy("root").agg(F.min("node").alias("node"))
+    goes = rows.filter(~is_first).unionByName(rows.filter(is_first).join(one, ["root", "node"], "left_anti").select(rows.columns))
+    again = rows.filter(is_first & (F.col("_rows") > 1)).join(one, ["root", "node"], "left_semi").select(rows.columns)
+    met = goes.withColumn("_again", F.lit(False)).unionByName(again.withColumn("_again", F.lit(True)))
+    met = staged(met.select(F.col("doc_id").alias("_id"), F.col("node").alias("_text"), F.xxhash64("doc_id", "node").alias("_key"), "_again"), "met")
+
+    doc_id, node = F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce("text", F.lit("")))
+    told = _may_be_in(docs, F.xxhash64(doc_id, node), met.select("_key"))
+    maybe = told.filter("_maybe").drop("_maybe")
+    same = doc_id.eqNullSafe(F.col("_id")) & (node == F.col("_text"))
+    kept = told.filter("NOT _maybe").drop("_maybe").unionByName(maybe.join(met, same, "left_anti"))
+    if not met.filter("_again").limit(1).count():
+        return kept
+    repeated = maybe.join(met.filter("_again"), same, "left_semi").withColumn("_text", node)
+    return kept.unionByName(repeated.dropDuplicates(["doc_id", "_text"]).drop("_text"))
