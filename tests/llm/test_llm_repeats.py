@@ -1,7 +1,9 @@
 """Repeated passages against a table of all strings in plain Python."""
 
 import hashlib
+import os
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -149,3 +151,58 @@ def test_known_prefixes_are_not_compared_again():
     merge_runs(runs, 50)
     # Each of 400 strings meets two others on its way up; behind the known prefix at most 10 of its 50 bytes are left.
     assert Watched.looked < 2 * 2 * 400 * 11 + 6 * 50
+
+
+def test_merging_many_runs_takes_no_python_call_per_string():
+    """The time of a merge must not grow with the number of runs: an input of 6 GB has hundreds in each range."""
+    draw = np.random.default_rng(6)
+    runs = []
+    for _ in range(400):
+        rows = np.unique(draw.integers(97, 101, (60, 50)).astype(np.uint8), axis=0)
+        runs.append(([r.tobytes() for r in rows], common_prefixes(rows).tolist()))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event.endswith("call")
+
+    sys.setprofile(count)
+    try:
+        which, shared = merge_runs(runs, 50)
+    finally:
+        sys.setprofile(None)
+    left = [iter(run[0]) for run in runs]
+    got = [next(left[w]) for w in which]
+    assert got == sorted(s for run in runs for s in run[0])
+    assert shared == common_prefixes(np.frombuffer(b"".join(got), np.uint8).reshape(-1, 50)).tolist()
+    assert calls < len(got) / 5
+
+
+def test_large_replies_do_not_shuffle_texts_and_scratch_goes(spark, monkeypatch, tmp_path):
+    seen, kept = [], []
+    monkeypatch.setattr(repeats, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(repeats, "BLOCKS_A_FILE", 2)
+    runs, path = repeats._runs, repeats.scratch_path
+
+    def watched(blocks, *rest):
+        seen.append(blocks._jdf.queryExecution().executedPlan().toString())
+        return runs(blocks, *rest)
+
+    def named(spark, label):
+        kept.append(str(tmp_path / path(spark, label).rsplit("/", 1)[1]))
+        return kept[-1]
+
+    monkeypatch.setattr(repeats, "_runs", watched)
+    monkeypatch.setattr(repeats, "scratch_path", named)
+    rows = corpus(11, 120)
+    # As at size, where nothing is small enough to be broadcast unasked.
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert removed(spark, rows) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert seen and not any("Exchange hashpartitioning" in plan or "SortMergeJoin" in plan for plan in seen)
+    # Blocks of text are stored in the shared folder only while they are needed.
+    assert kept and not any(os.path.exists(k) for k in kept)

@@ -15,6 +15,8 @@ A string that many documents share arrives once per block and range, never once
 
 from __future__ import annotations
 
+import functools
+import gc
 import hashlib
 import math
 import struct
@@ -25,11 +27,12 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..session import scratch_path, staged
-from .runs import common_prefixes, front_coded, front_decoded, merge_runs
+from ..session import release, scratch_path, staged
+from .runs import AT_ONCE, common_prefixes, decoded_rows, front_coded, merge_runs
 
 LENGTH = 50
 PIECE = 128  # mean bytes of a piece
@@ -42,18 +45,32 @@ RANGE = 300_000  # strings of a range
 MOST_RANGES = 1 << 14
 SAMPLES = 64  # strings drawn for each range
 BROADCAST_BYTES = 48 << 20
+BATCH_BYTES = 2 << 20  # packed bytes of runs that leave a task at a time
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 _BYTES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
 
 
+@functools.cache
+def _coders() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One of each for all of a worker: a run has small parts for very many ranges."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def packed(numbers: np.ndarray | bytes) -> bytes:
     """Bytes as they travel and are stored."""
-    return zstandard.ZstdCompressor(level=3).compress(numbers if isinstance(numbers, bytes) else numbers.tobytes())
+    return _coders()[0].compress(numbers if isinstance(numbers, bytes) else numbers.tobytes())
 
 
 def unpacked(value: pa.Scalar, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_buffer()), kind)
+    return np.frombuffer(_coders()[1].decompress(value.as_buffer()), kind)
+
+
+def _steps(numbers: np.ndarray) -> np.ndarray:
+    """The first number, and by how much each is greater than the one before."""
+    out = numbers.copy()
+    out[1:] -= numbers[:-1]
+    return out
 
 
 def _gram(length: int) -> int:
@@ -161,9 +178,9 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("doc_id", "tag", "data").mapInArrow(run, PIECES)
 
 
-def _known(docs: DataFrame, length: int) -> DataFrame:
+def _known(docs: DataFrame, length: int, scratch: list[str]) -> DataFrame:
     """Per document the pieces that a document with a smaller id has, too (``spans``: from a string to the end of strings)."""
-    pieces = staged(_pieces(docs, length), "pieces")
+    pieces = staged(_pieces(docs, length), "pieces", scratch)
     first = pieces.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = pieces.join(first, ["k1", "k2"]).filter("doc_id > least")
     spans = F.arrays_zip("starts", "ends")
@@ -343,23 +360,33 @@ def _run_rows(block: Block, where: np.ndarray, length: int, splitters: np.ndarra
     least = block.ids[doc[starts]]
     later = block.ids[doc] > least[group]
 
+    number = np.zeros(len(block.ids), np.int32)
+
     def owners(chosen: np.ndarray) -> tuple[bytes, ...]:
-        held, numbers = np.unique(doc[chosen], return_inverse=True)
-        steps = np.diff(block.ids[held], prepend=0)
-        return packed(numbers.reshape(-1).astype(np.int32)), packed(place[chosen]), packed(np.diff(held, prepend=0).astype(np.int32)), packed(steps)
+        mine = doc[chosen]
+        held = np.unique(mine) if len(mine) * 8 < len(number) else np.flatnonzero(np.bincount(mine, minlength=len(number)))
+        number[held] = np.arange(len(held), dtype=np.int32)
+        return packed(number[mine]), packed(place[chosen]), packed(_steps(held.astype(np.int32))), packed(_steps(block.ids[held]))
 
     if later.any():
         yield (-1, block.name, b"", b"", b"", *owners(np.flatnonzero(later)))
     counts = np.bincount(group[~later], minlength=len(starts)).astype(np.int32)
-    rows = rows[starts]
+    rows, prefixes = rows[starts], prefixes[starts]
     cuts = np.concatenate([[0], np.searchsorted(flat[starts], splitters), [len(starts)]])
+    full = np.flatnonzero(cuts[1:] > cuts[:-1])
+    # Every range decodes its part alone.
+    prefixes[cuts[full]] = 0
+    added = np.concatenate([[0], np.cumsum(length - prefixes.astype(np.int64))])
     kept = np.flatnonzero(~later)
     upto = np.concatenate([[0], np.cumsum(counts)])
-    for number in range(len(cuts) - 1):
-        a, b = cuts[number], cuts[number + 1]
-        if b > a:
-            mine = common_prefixes(rows[a:b])
-            yield (number, block.name, packed(mine), packed(front_coded(rows[a:b], mine)), packed(counts[a:b]), *owners(kept[upto[a] : upto[b]]))
+    # Coded for several ranges at a time.
+    for first, last in _grouped((cuts[1:] - cuts[:-1])[full], AT_ONCE):
+        low = cuts[full[first]]
+        tails = front_coded(rows[low : cuts[full[last - 1] + 1]], prefixes[low : cuts[full[last - 1] + 1]])
+        for k in full[first:last]:
+            a, b = cuts[k], cuts[k + 1]
+            mine = tails[added[a] - added[low] : added[b] - added[low]]
+            yield (int(k), block.name, packed(prefixes[a:b]), packed(mine), packed(counts[a:b]), *owners(kept[upto[a] : upto[b]]))
 
 
 def _runs(blocks: DataFrame, length: int, bits: int, splitters: np.ndarray) -> DataFrame:
@@ -370,15 +397,22 @@ def _runs(blocks: DataFrame, length: int, bits: int, splitters: np.ndarray) -> D
             for i in range(batch.num_rows):
                 block = Block(batch, i)
                 replies = sorted((m["bucket"], m["vals"]) for m in batch.column(8)[i].as_py())
-                wanted = np.concatenate([np.uint64(k << 32) + np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(v), np.uint32), dtype=np.uint64) for k, v in replies])
+                wanted = np.concatenate([np.uint64(k << 32) + np.cumsum(np.frombuffer(_coders()[1].decompress(v), np.uint32), dtype=np.uint64) for k, v in replies])
                 held: list[np.ndarray] = []
                 n = 0
 
                 def out() -> Iterator[pa.RecordBatch]:
+                    rows: list[tuple[object, ...]] = []
+                    size = 0
                     for row in _run_rows(block, np.concatenate(held), length, splitters):
                         # What is settled passes through the same exchange, spread over numbers below 0.
-                        number = row[0] if row[0] >= 0 else -1 - block.name % ranges
-                        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((number, *row[1:]), _RUNS)], schema=_RUNS)
+                        rows.append((row[0] if row[0] >= 0 else -1 - block.name % ranges, *row[1:]))
+                        size += sum(len(v) for v in row[2:])
+                        if size >= BATCH_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUNS)], schema=_RUNS)
+                            rows, size = [], 0
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUNS)], schema=_RUNS)
 
                 for where in _candidates(block, wanted, length, bits):
                     held.append(where)
@@ -407,17 +441,17 @@ def merged_range(table: pa.Table, length: int) -> pa.Table:
     ends = np.cumsum([len(p) for p in place])
     hit = np.ones(ends[-1], bool)
     if table.column("range")[0].as_py() >= 0:
-        runs, counts = [], []
-        for i in range(table.num_rows):
-            prefixes = unpacked(table.column("prefixes")[i], np.uint8).tolist()
-            runs.append((front_decoded(prefixes, unpacked(table.column("tails")[i], np.uint8).tobytes(), length), prefixes))
-            counts.append(unpacked(table.column("counts")[i], np.int32))
-        which, shared = (np.array(c) for c in merge_runs(runs, length))
+        prefixes, tails, counts = ([unpacked(v, kind) for v in table.column(name)] for name, kind in (("prefixes", np.uint8), ("tails", np.uint8), ("counts", np.int32)))
+        rows = decoded_rows(np.concatenate(prefixes), np.concatenate(tails), length)
+        del tails
+        upto = np.cumsum([0] + [len(p) for p in prefixes])
+        which, shared = (np.array(c) for c in merge_runs([(rows[a:b], p) for a, b, p in zip(upto[:-1], upto[1:], prefixes)], length))
+        del rows
         each = np.concatenate(counts).astype(np.int64)
         first_place = np.concatenate([[0], np.cumsum(each)])
         # The strings of a run come out in their own order.
         string = np.empty(len(which), np.int64)
-        string[np.argsort(which, kind="stable")] = np.arange(len(which))
+        string[np.argsort(which.astype(np.uint16 if len(prefixes) < 1 << 16 else np.int64), kind="stable")] = np.arange(len(which))
         starts = np.flatnonzero(shared < length)
         # All places of a string in a run are of one document.
         doc = np.concatenate(ids)[first_place[string]]
@@ -478,26 +512,68 @@ def _join_docs(docs: DataFrame, told: DataFrame, sizes: str) -> DataFrame:
     return docs.join(F.broadcast(told) if total <= BROADCAST_BYTES else told, ["doc_id", "tag"], "left")
 
 
-def _removed(docs: DataFrame, length: int) -> DataFrame:
+def _armed(blocks: DataFrame, replies: DataFrame, path: str, scratch: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Blocks with the fingerprints that others share, without a shuffle of their text; and the blocks as they are stored now.
+
+    Replies of up to ``BROADCAST_BYTES`` are broadcast. More are broadcast for some files of blocks at a time, which are stored
+    anew with them and removed; a block without a reply has no shared string, and ends here.
+    """
+    spark = blocks.sparkSession
+    names = [*[c.split()[0] for c in BLOCKS.split(", ")], "replies"]
+    # One number per block of some megabytes.
+    sizes = dict(replies.select("block", F.expr("aggregate(replies, 0L, (t, m) -> t + octet_length(m.vals) + 24)")).collect())
+    if not sizes or sum(sizes.values()) <= BROADCAST_BYTES:
+        return blocks.join(F.broadcast(replies), "block").select(*names), blocks
+    files: dict[str, list[int]] = {}
+    for name, block in blocks.select(F.col("_metadata.file_name"), "block").collect():
+        files.setdefault(name, []).append(block)
+    chosen = sorted(files)
+    target = scratch_path(spark, "armed")
+    scratch.append(target)
+    for a, b in _grouped(np.array([sum(sizes.get(k, 0) for k in files[f]) for f in chosen]), BROADCAST_BYTES):
+        paths = [f"{path}/{f}" for f in chosen[a:b]]
+        mine = replies.filter(F.col("block").isin([k for f in chosen[a:b] for k in files[f] if k in sizes]))
+        some = spark.read.schema(BLOCKS).parquet(*paths).join(F.broadcast(mine), "block").select(*names)
+        some.write.mode("append").option("maxRecordsPerFile", BLOCKS_A_FILE).option("compression", "zstd").parquet(target)
+        release(spark, paths)
+    stored = spark.read.schema(StructType([*blocks.schema, replies.schema["replies"]])).parquet(target)
+    return stored, stored
+
+
+def _settle(spark: SparkSession, scratch: list[str]) -> None:
+    """Remove what is stored in ``scratch``, and have Spark remove the shuffle files of plans that are out of use.
+
+    It does so only when the driver's garbage is collected; until then every step would keep the disk of all before.
+    """
+    release(spark, scratch)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _removed(docs: DataFrame, length: int, scratch: list[str]) -> DataFrame:
     """Per document (``doc_id``, ``tag``): the maximal runs of bytes that go, as ``spans`` of ``starts`` and ``ends``."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     bits = max(2, math.ceil(math.log2(max(1, total * 0.08 / FOLD))))
-    known = staged(_known(docs, length), "known")
+    pieces: list[str] = []
+    known = staged(_known(docs, length, pieces), "known", scratch)
+    _settle(spark, pieces)
     path = scratch_path(spark, "blocks")
+    scratch.append(path)
     ranges = min(MOST_RANGES, max(2, math.ceil(total * 0.06 / RANGE)))
     packs = _blocks(_join_docs(docs, known, "8 * size(spans)"), length, ranges * SAMPLES / max(1, total))
     packs.write.option("maxRecordsPerFile", BLOCKS_A_FILE).option("compression", "zstd").parquet(path)
     blocks = spark.read.schema(BLOCKS).parquet(path)
     told = _prints(blocks, length, bits).groupBy("bucket").applyInArrow(_shared, SHARED)
-    replies = staged(told.filter("n > 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "vals")).alias("replies")), "replies")
+    replies = staged(told.filter("n > 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "vals")).alias("replies")), "replies", scratch)
+    del told, packs
     # Bounded: about SAMPLES strings for each of at most MOST_RANGES ranges.
-    drawn = b"".join(bytes(r[0]) for r in blocks.select("drawn").toLocalIterator())
+    drawn = b"".join(bytes(r[0]) for r in blocks.select("drawn").collect())
     strings = np.sort(np.array([drawn[k : k + length] + b"\x01" for k in range(0, len(drawn), length)], f"S{length + 1}"))
     splitters = np.unique(strings[:: max(1, len(strings) // ranges)][1:])
 
-    size = replies.agg(F.sum(F.expr("aggregate(replies, 0L, (t, m) -> t + octet_length(m.vals) + 24)"))).first()[0] or 0
-    armed = blocks.join(F.broadcast(replies) if size <= BROADCAST_BYTES else replies, "block").select(*[c.split()[0] for c in BLOCKS.split(", ")], "replies")
+    armed, blocks = _armed(blocks, replies, path, scratch)
+    _settle(spark, [])
 
     def merge(table: pa.Table) -> pa.Table:
         return merged_range(table, length)
@@ -533,7 +609,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: tuple[str, ...]
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     taken = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), data.alias("data"), *[F.col(f"`{c}`") for c in keep])
     searched = taken.filter(F.col("doc_id").isNotNull() & (F.octet_length("data") >= length)).select("doc_id", "tag", "data")
-    removed = staged(_removed(searched, length), "removed")
+    scratch: list[str] = []
+    removed = staged(_removed(searched, length, scratch), "removed")
+    _settle(docs.sparkSession, scratch)
     told = _join_docs(taken, removed, "8 * size(spans)")
     told = told.withColumns({"_n": F.octet_length("data"), "removed": F.coalesce("spans", F.array().cast("array<struct<starts:int,ends:int>>"))})
     # What stays lies between the end of one run and the start of the next.
